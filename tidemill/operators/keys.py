@@ -14,33 +14,41 @@ def _order(order_by) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order_by]
 
 
-def read_with_row_id(spark: SparkSession, path: str, key: str = "row_id") -> DataFrame:
-    """Parquet rows numbered 1..n in file order, without a sort or a shuffle of the rows.
+def _number(df: DataFrame, group: list[str], position: str, key: str) -> DataFrame:
+    """Keys 1..n: groups in their order, and rows by their consecutive position in the group.
 
-    The position inside a file comes from the reader. Only the number of rows per file is
-    aggregated (the scan reads no data column for it), and one offset per file is joined back.
+    Only one row per group (a file or a file split) is aggregated, ordered and joined back;
+    the rows themselves are neither sorted nor shuffled.
     """
-    rows = spark.read.parquet(path)
-    file_path, row_index = F.col("_metadata.file_path"), F.col("_metadata.row_index")
-    per_file = rows.groupBy(file_path.alias("_file")).agg(F.count(F.lit(1)).alias("_rows"))
-    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = df.groupBy(*group).agg(
+        F.count(F.lit(1)).alias("_rows"), F.min(position).alias("_first"), F.max(position).alias("_last")
+    )
+    before = Window.orderBy(*group).rowsBetween(Window.unboundedPreceding, -1)
     offsets = materialize(
-        per_file.select("_file", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")),
-        "file-offsets",
+        sizes.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0))), "row-offsets"
     )
-    return (
-        rows.select("*", file_path.alias("_file"), row_index.alias("_index"))
-        .join(broadcast_if_small(offsets), "_file")
-        .withColumn(key, F.col("_offset") + F.col("_index") + 1)
-        .drop("_file", "_index", "_offset")
+    if not offsets.filter("_last - _first + 1 <> _rows").isEmpty():
+        raise ValueError("row positions have gaps: number the rows before filtering them")
+    side = broadcast_if_small(offsets.select(*group, (F.col("_before") - F.col("_first") + 1).alias("_shift")))
+    kept = [c for c in df.columns if c not in group and c != position]
+    return df.join(side, group).select((F.col(position) + F.col("_shift")).alias(key), *kept)
+
+
+def read_with_row_id(spark: SparkSession, path: str, key: str = "row_id") -> DataFrame:
+    """Parquet rows numbered 1..n in file order. The position in a file comes from the reader."""
+    rows = spark.read.parquet(path).select(
+        "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_index")
     )
+    return _number(rows, ["_file"], "_index", key)
+
+
+SOURCE_POSITION = ["src_file", "src_block", "src_seq"]
 
 
 def with_source_position(df: DataFrame) -> DataFrame:
     """Add ``src_file, src_block, src_seq``, whose order is the order of rows in the files.
 
-    For row formats such as CSV. Call it on the frame a file reader returned, then order by
-    the three columns, for example in :func:`dense_key`.
+    For row formats such as CSV. Call it on the frame a file reader returned, before any filter.
     """
     return df.select(
         "*",
@@ -50,7 +58,13 @@ def with_source_position(df: DataFrame) -> DataFrame:
     )
 
 
-SOURCE_POSITION = ["src_file", "src_block", "src_seq"]
+def number_by_position(df: DataFrame, key: str = "row_id") -> DataFrame:
+    """Keys 1..n in file order, in place of the columns of :func:`with_source_position`.
+
+    ``df`` must be a written table that holds those columns: another scan of the source could
+    be split differently.
+    """
+    return _number(df, SOURCE_POSITION[:2], SOURCE_POSITION[2], key)
 
 
 def dense_key(df: DataFrame, key: str, order_by) -> DataFrame:

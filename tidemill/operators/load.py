@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemill.operators.keys import dedupe_keep_first
+from tidemill.storage import materialize
 
 SMALL_BATCH_ROWS = 1_000_000
 _RANGE_TYPES = (T.IntegralType, T.StringType, T.DateType)
@@ -22,7 +23,8 @@ def anti_join_new(
     The usual case is a small batch against a huge target. The batch is counted, and when it
     is small its keys are broadcast to the target scan, with their range as a pushed-down
     filter, so that the target is neither shuffled nor read in full. A larger batch takes the
-    shuffled anti join, where AQE splits skewed partitions.
+    shuffled anti join, where AQE splits skewed partitions. ``new`` is evaluated more than
+    once, so it should be read from files or be a written table.
     """
     known = existing.select(*keys)
     leading = keys[0]
@@ -49,7 +51,7 @@ def insert_or_ignore(
 def new_rows(target: DataFrame, batch: DataFrame, keys: list[str], required: list[str], order_by) -> DataFrame:
     """The part of ``batch`` that insert-or-ignore would add."""
     filled = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [*required, *keys]])
-    first = dedupe_keep_first(batch.filter(filled), keys, order_by)
+    first = materialize(dedupe_keep_first(batch.filter(filled), keys, order_by), "batch")
     return anti_join_new(first, target, keys)
 
 

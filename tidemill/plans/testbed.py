@@ -13,7 +13,7 @@ from tidemill.plans.transform import transform
 from tidemill.plans.warehouse import build_warehouse
 from tidemill.storage import VersionedTables, scratch_path
 
-_BUILT: dict[tuple[str, str], dict[str, DataFrame]] = {}
+_BUILT: dict[tuple[str, str], tuple[VersionedTables, dict[str, DataFrame]]] = {}
 _LOCK = Lock()
 
 
@@ -94,20 +94,20 @@ def staging_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transform(cleaned(spark, sf_dir))
 
 
-def build(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def build(spark: SparkSession, sf_dir: str) -> tuple[VersionedTables, dict[str, DataFrame]]:
     """Write staging and the star schema to the shared folder."""
     store = VersionedTables(spark, scratch_path(spark, "warehouse"))
     staging = store.replace("staging", staging_plan(spark, sf_dir))
-    return {"staging": staging, **build_warehouse(staging, store)}
+    return store, {"staging": staging, **build_warehouse(staging, store)}
 
 
 def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The tables of :func:`build`, written once per application and source folder."""
     key = (spark.sparkContext.applicationId, sf_dir)
     with _LOCK:
-        if key not in _BUILT:
+        if key not in _BUILT or not _BUILT[key][0].exists("fact_sales"):
             _BUILT[key] = build(spark, sf_dir)
-        return _BUILT[key]
+        return _BUILT[key][1]
 
 
 def staging(spark: SparkSession, sf_dir: str) -> DataFrame:
