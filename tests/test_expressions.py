@@ -20,7 +20,9 @@ def one(spark, value, expression, kind="string"):
 
 
 def test_find_all_emails(spark):
-    assert one(spark, CONTACT, text.find_all("v")) == ["rahul@gmail.com", "priya@yahoo.com"]
+    for search in (text.find_all, text.find_emails):
+        assert one(spark, CONTACT, search("v")) == ["rahul@gmail.com", "priya@yahoo.com"]
+        assert one(spark, "none", search("v")) == [] and one(spark, None, search("v")) is None
     assert one(spark, "é@x.fr none@", text.find_all("v")) == ["é@x.fr"]
 
 
@@ -37,13 +39,13 @@ def test_mask_ten_digits_only(spark):
 @given(st.lists(st.text(alphabet=" \t\n\x0b\x1c\x85\xa0 　abé_.@1٣²", max_size=30), min_size=1, max_size=20))
 def test_text_functions_match_python(spark, values):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
-    rows = df.select("i", text.strip("v"), text.split_words("v"), text.mask("v"), text.find_all("v")).collect()
-    for i, stripped, words, masked, found in rows:
+    rows = df.select("i", text.strip("v"), text.split_words("v"), text.mask("v"), text.find_all("v"), text.find_emails("v")).collect()
+    for i, stripped, words, masked, found, emails in rows:
         v = values[i]
         assert stripped == v.strip()
         assert words == re.split(r"\s+", v.strip())
         assert masked == re.sub(r"\d{10}", "XXXXXXXXXX", v)
-        assert found == re.findall(r"[\w\.-]+@[\w\.-]+\.\w+", v)
+        assert emails == found == re.findall(r"[\w\.-]+@[\w\.-]+\.\w+", v)
 
 
 def test_strip_keeps_inner_runs(spark):

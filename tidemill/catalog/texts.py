@@ -12,7 +12,7 @@ from tidemill.sources import files, html
 
 
 def regex_emails(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = table(spark, sf_dir, "documents").select("doc_id", text.find_all("text").alias("found"))
+    found = table(spark, sf_dir, "documents").select("doc_id", text.find_emails("text").alias("found"))
     return found.select("doc_id", F.size("found").alias("n"), F.array_join("found", "|").alias("emails"))
 
 

@@ -41,6 +41,13 @@ def find_all(col: Column | str, pattern: str = EMAIL_PATTERN) -> Column:
     return F.regexp_extract_all(col, F.lit(pattern), F.lit(0))
 
 
+def find_emails(col: Column | str) -> Column:
+    """Every e-mail address in order. Text without an @ is not searched at all."""
+    text = F.col(col) if isinstance(col, str) else col
+    none = F.when(text.isNotNull(), F.array().cast("array<string>"))
+    return F.when(F.contains(text, F.lit("@")), find_all(text)).otherwise(none)
+
+
 def split_words(col: Column | str) -> Column:
     """Split the trimmed text on runs of white space."""
     return F.split(strip(col), WHITESPACE_CLASS + "+")

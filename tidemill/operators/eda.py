@@ -186,26 +186,44 @@ def describe_stats(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, DESCRIBE_SCHEMA)
 
 
-def _correlation(a: Column, b: Column) -> Column:
-    """Pearson over rows where both are present; NULL when either does not vary."""
-    both = a.isNotNull() & b.isNotNull()
-    spread = F.stddev_pop(F.when(both, a)) * F.stddev_pop(F.when(both, b))
-    return F.try_divide(F.covar_pop(a, b), spread)
-
-
 def corr_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
-    """``column_a, column_b, correlation`` for all ordered pairs, from one aggregate."""
+    """``column_a, column_b, correlation`` for all ordered pairs: Pearson over the rows where
+    both are present, NULL when either does not vary.
+
+    A light first pass finds columns that are constant or have gaps. Constant columns and the
+    diagonal then need no aggregate, and columns without gaps share one deviation among all
+    their pairs, so k such columns cost k(k+1)/2 aggregates in the second pass.
+    """
     typed = {c: _number(c) for c in columns}
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    one_row = df.agg(*[_correlation(typed[a], typed[b]).alias(f"p{i}") for i, (a, b) in enumerate(pairs)])
+    seen = df.agg(
+        F.count(F.lit(1)).alias("rows"),
+        *[F.struct(F.count(v), F.min(v), F.max(v)).alias(f"c{i}") for i, v in enumerate(typed.values())],
+    ).first()
+    varies, complete = {}, {}
+    for i, c in enumerate(columns):
+        present, low, high = seen[f"c{i}"]
+        varies[c] = low is not None and high > low
+        complete[c] = present == seen["rows"]
+
+    def deviation(of: str, other: str) -> Column:
+        value = typed[of] if complete[other] else F.when(typed[other].isNotNull(), typed[of])
+        return F.stddev_pop(value)
+
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :] if varies[a] and varies[b]]
+    one_row = df.agg(
+        F.lit(1.0).alias("one"),
+        *[
+            F.try_divide(F.covar_pop(typed[a], typed[b]), deviation(a, b) * deviation(b, a)).alias(f"p{i}")
+            for i, (a, b) in enumerate(pairs)
+        ],
+    )
+    place = {pair: f"p{i}" for i, pair in enumerate(pairs)}
     cells = []
-    for i, (a, b) in enumerate(pairs):
-        for left, right in {(a, b), (b, a)}:
-            cells.append(
-                F.struct(
-                    F.lit(left).alias("column_a"), F.lit(right).alias("column_b"), F.col(f"p{i}").alias("correlation")
-                )
-            )
+    for a in columns:
+        for b in columns:
+            name = "one" if a == b and varies[a] else place.get((a, b)) or place.get((b, a))
+            value = F.col(name) if name else F.lit(None).cast("double")
+            cells.append(F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), value.alias("correlation")))
     return one_row.select(F.inline(F.array(*cells)))
 
 

@@ -9,27 +9,26 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemill.operators.keys import dedupe_keep_first
-from tidemill.storage import materialize
+from tidemill.storage import BROADCAST_BYTES, byte_size, materialize
 
-SMALL_BATCH_ROWS = 1_000_000
 _RANGE_TYPES = (T.IntegralType, T.StringType, T.DateType)
 
 
 def anti_join_new(
-    new: DataFrame, existing: DataFrame, keys: list[str], small_batch_rows: int = SMALL_BATCH_ROWS
+    new: DataFrame, existing: DataFrame, keys: list[str], small_batch_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Rows of ``new`` whose key is not in ``existing``.
 
-    The usual case is a small batch against a huge target. The batch is counted, and when it
-    is small its keys are broadcast to the target scan, with their range as a pushed-down
+    The usual case is a small batch against a huge target. The keys of the batch are
+    measured, and when they are small they are broadcast to the target scan, with their range as a pushed-down
     filter, so that the target is neither shuffled nor read in full. A larger batch takes the
     shuffled anti join, where AQE splits skewed partitions. ``new`` is evaluated more than
     once, so it should be read from files or be a written table.
     """
     known = existing.select(*keys)
     leading = keys[0]
-    rows, low, high = new.agg(F.count(F.lit(1)), F.min(leading), F.max(leading)).first()
-    if rows > small_batch_rows:
+    size, low, high = new.agg(byte_size(new, keys), F.min(leading), F.max(leading)).first()
+    if size > small_batch_bytes:
         return new.join(known.distinct(), keys, "left_anti")
     if isinstance(new.schema[leading].dataType, _RANGE_TYPES) and low is not None:
         known = known.filter(F.col(leading).between(F.lit(low), F.lit(high)))

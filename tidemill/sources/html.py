@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Executors get the parser with the task and need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 TABLE_ROWS_SCHEMA = "table_idx int, row_idx int, is_header boolean, cells array<string>"
 
 LINK_PATTERN = r'(?is)<a\s[^>]*?href="([^"]*)"'

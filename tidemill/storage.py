@@ -11,6 +11,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _LOCAL_DIRS: dict[str, str] = {}
 
@@ -64,12 +65,33 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Hint a broadcast only after counting the rows; larger sides stay with the shuffle join.
+BROADCAST_BYTES = 64 << 20
+_ROW_BYTES = 16
+_VALUE_BYTES = 8
 
-    ``df`` should be a written table (see :func:`materialize`), so that the count is cheap.
+
+def byte_size(df: DataFrame, columns: list[str] | None = None) -> Column:
+    """Aggregate that estimates the bytes of the chosen columns in memory, from the data itself.
+
+    Text and binary values count with their real length. Nested columns have no bound, so they
+    are not accepted.
+    """
+    per_row = F.lit(_ROW_BYTES)
+    for field in df.select(*(columns or df.columns)).schema.fields:
+        if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            raise TypeError(f"no size bound for nested column {field.name}")
+        per_row = per_row + _VALUE_BYTES
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            per_row = per_row + F.coalesce(F.octet_length(field.name), F.lit(0))
+    return F.coalesce(F.sum(per_row.cast("long")), F.lit(0))
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast only after measuring the frame; a larger one stays with the shuffle join.
+
+    ``df`` should be a written table (see :func:`materialize`), so that measuring it is cheap.
     """
-    return F.broadcast(df) if df.count() <= max_rows else df
+    return F.broadcast(df) if df.agg(byte_size(df)).first()[0] <= max_bytes else df
 
 
 class VersionedTables:
