@@ -23,85 +23,54 @@ def _number(column: str) -> Column:
     return nan_to_null(F.col(quoted(column)).cast("double"))
 
 
-def _values(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(column_name, value) rows without NULL."""
-    typed = df.select(*[_number(c).alias(c) for c in columns])
-    return typed.unpivot([], [F.col(quoted(c)) for c in columns], "column_name", "value").filter(
-        "value is not null"
-    )
-
-
 def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float]) -> dict[str, dict[float, float]]:
     """Exact quantiles with linear interpolation, for all columns in one pass.
 
     The built-in ``percentile`` gathers every distinct value of a group in one task. Here the
-    values are first reduced to (value, copies), range sorted and written; the number of rows
-    per sort partition (bounded by columns x shuffle partitions) tells in which partition each
-    wanted rank lies, and only those partitions are searched.
+    values are first reduced to (column, value, copies), range sorted and written; the number of
+    rows per sort partition (bounded by columns x shuffle partitions) tells in which partition
+    each wanted rank lies, and only those partitions are searched.
     """
-    copies = _values(df, columns).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
-    stored = materialize(
-        copies.orderBy("column_name", "value").withColumn("part", F.spark_partition_id()), "value-copies"
-    )
-    sizes: dict[str, list[tuple[int, int]]] = {c: [] for c in columns}
-    for row in stored.groupBy("column_name", "part").agg(F.sum("n").alias("n")).collect():
-        sizes[row["column_name"]].append((row["part"], row["n"]))
-
-    wanted: dict[tuple[str, int], list[int]] = {}
-    starts: dict[tuple[str, int], int] = {}
-    totals: dict[str, int] = {}
-    for column in columns:
-        parts = sorted(sizes[column])
-        totals[column] = sum(n for _, n in parts)
-        ranks = set()
-        for p in probabilities if totals[column] else []:
-            place = (totals[column] - 1) * p
-            ranks |= {math.floor(place), math.ceil(place)}
+    values = df.select(F.posexplode(F.array(*[_number(c) for c in columns])).alias("c", "value"))
+    copies = values.filter("value is not null").groupBy("c", "value").agg(F.count(F.lit(1)).alias("n"))
+    stored = materialize(copies.orderBy("c", "value").withColumn("part", F.spark_partition_id()), "value-copies")
+    sizes: dict[int, list[tuple[int, int]]] = {c: [] for c in range(len(columns))}
+    for row in stored.groupBy("c", "part").agg(F.sum("n").alias("n")).collect():
+        sizes[row["c"]].append((row["part"], row["n"]))
+
+    totals = {c: sum(n for _, n in parts) for c, parts in sizes.items()}
+    # Wanted ranks as (column, partition) -> [(rank, rank inside the partition)].
+    wanted: dict[tuple[int, int], list[tuple[int, int]]] = {}
+    for c, parts in sizes.items():
+        places = [(totals[c] - 1) * p for p in probabilities] if totals[c] else []
+        ranks = sorted({f(place) for place in places for f in (math.floor, math.ceil)})
         start = 0
-        for part, n in parts:
-            inside = sorted(r for r in ranks if start <= r < start + n)
+        for part, n in sorted(parts):
+            inside = [(r, r - start) for r in ranks if start <= r < start + n]
             if inside:
-                wanted[column, part] = inside
-                starts[column, part] = start
+                wanted[c, part] = inside
             start += n
 
-    found: dict[tuple[str, int], float] = {}
+    found: dict[tuple[int, int], float] = {}
     if wanted:
-        here = reduce(
-            lambda a, b: a | b,
-            [(F.col("column_name") == c) & (F.col("part") == p) for c, p in wanted],
-        )
-        upto = Window.partitionBy("column_name", "part").orderBy("value")
-        cumulative = stored.filter(here).select(
-            "column_name", "part", "value", "n", F.sum("n").over(upto).alias("upto")
-        )
-        hit = reduce(
-            lambda a, b: a | b,
-            [
-                (F.col("column_name") == c)
-                & (F.col("part") == p)
-                & (F.col("upto") > r - starts[c, p])
-                & (F.col("upto") - F.col("n") <= r - starts[c, p])
-                for (c, p), ranks in wanted.items()
-                for r in ranks
-            ],
-        )
-        for row in cumulative.filter(hit).collect():
-            key = (row["column_name"], row["part"])
-            for rank in wanted[key]:
-                if row["upto"] - row["n"] <= rank - starts[key] < row["upto"]:
-                    found[row["column_name"], rank] = row["value"]
+        here, hit = [], []
+        for (c, part), ranks in wanted.items():
+            at = (F.col("c") == c) & (F.col("part") == part)
+            here.append(at)
+            hit += [at & (F.col("upto") > r) & (F.col("upto") - F.col("n") <= r) for _, r in ranks]
+        upto = Window.partitionBy("c", "part").orderBy("value")
+        searched = stored.filter(reduce(Column.__or__, here)).withColumn("upto", F.sum("n").over(upto))
+        for row in searched.filter(reduce(Column.__or__, hit)).collect():
+            for rank, inside in wanted[row["c"], row["part"]]:
+                if row["upto"] - row["n"] <= inside < row["upto"]:
+                    found[row["c"], rank] = row["value"]
 
     result: dict[str, dict[float, float]] = {}
-    for column in columns:
-        result[column] = {}
-        for p in probabilities:
-            if not totals[column]:
-                result[column][p] = None
-                continue
-            place = (totals[column] - 1) * p
-            low = found[column, math.floor(place)]
-            high = found[column, math.ceil(place)]
+    for c, column in enumerate(columns):
+        result[column] = dict.fromkeys(probabilities)
+        for p in probabilities if totals[c] else []:
+            place = (totals[c] - 1) * p
+            low, high = found[c, math.floor(place)], found[c, math.ceil(place)]
             result[column][p] = low + (high - low) * (place - math.floor(place))
     return result
 

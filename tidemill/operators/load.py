@@ -19,11 +19,11 @@ def anti_join_new(
 ) -> DataFrame:
     """Rows of ``new`` whose key is not in ``existing``.
 
-    The usual case is a small batch against a huge target. The keys of the batch are
-    measured, and when they are small they are broadcast to the target scan, with their range as a pushed-down
-    filter, so that the target is neither shuffled nor read in full. A larger batch takes the
-    shuffled anti join, where AQE splits skewed partitions. ``new`` is evaluated more than
-    once, so it should be read from files or be a written table.
+    The usual case is a small batch against a huge target. The keys of the batch are measured.
+    Small ones are broadcast to the target scan, with their range as a pushed-down filter, so
+    that the target is neither shuffled nor read in full. A larger batch takes the shuffled anti
+    join, where AQE splits skewed partitions. ``new`` is evaluated more than once, so it should
+    be read from files or be a written table.
     """
     known = existing.select(*keys)
     leading = keys[0]

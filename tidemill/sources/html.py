@@ -16,6 +16,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 TABLE_ROWS_SCHEMA = "table_idx int, row_idx int, is_header boolean, cells array<string>"
 
+ROWS_PER_BATCH = 20_000
+
 LINK_PATTERN = r'(?is)<a\s[^>]*?href="([^"]*)"'
 TITLE_PATTERN = r"(?is)<title[^>]*>(.*?)</title>"
 
@@ -87,18 +89,25 @@ def extract_html_tables(pages: DataFrame, key: str, html: str) -> DataFrame:
     """One row per table row: ``key, table_idx, row_idx, is_header, cells``.
 
     The only Python function in the library, because HTML has no built-in reader. It is a
-    narrow map over Arrow batches: one page at a time, no shuffle.
+    narrow map over Arrow batches, one page at a time and without a shuffle, and pages without
+    a table never reach it. For very large pages lower
+    ``spark.sql.execution.arrow.maxRecordsPerBatch``.
     """
+    columns = [key, "table_idx", "row_idx", "is_header", "cells"]
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = [
-                (k, *row) for k, text in zip(batch[key], batch[html]) for row in table_rows(text)
-            ]
-            yield pd.DataFrame(out, columns=[key, "table_idx", "row_idx", "is_header", "cells"])
+            out = []
+            for page, text in zip(batch[key], batch[html]):
+                out += [(page, *row) for row in table_rows(text)]
+                if len(out) >= ROWS_PER_BATCH:
+                    yield pd.DataFrame(out, columns=columns)
+                    out = []
+            yield pd.DataFrame(out, columns=columns)
 
     key_type = pages.schema[key].dataType.simpleString()
-    return pages.select(key, html).mapInPandas(parse, f"`{key}` {key_type}, {TABLE_ROWS_SCHEMA}")
+    with_table = pages.select(key, html).filter(F.col(html).rlike("(?i)<table"))
+    return with_table.mapInPandas(parse, f"`{key}` {key_type}, {TABLE_ROWS_SCHEMA}")
 
 
 def pick_table(rows: DataFrame, index: int, names: list[str]) -> DataFrame:

@@ -49,11 +49,11 @@ def path_matches(spark: SparkSession, pattern: str) -> bool:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder, dropped when the application ends."""
-    app = spark.sparkContext.applicationId
-    path = f"{shared_dir(spark)}/tidemill/{app}/{label}-{uuid.uuid4().hex[:12]}"
+    mine = f"{shared_dir(spark)}/tidemill/{spark.sparkContext.applicationId}"
+    path = f"{mine}/{label}-{uuid.uuid4().hex[:12]}"
     fs, hpath = filesystem(spark, path)
     fs.mkdirs(hpath)
-    fs.deleteOnExit(hpath)
+    fs.deleteOnExit(filesystem(spark, mine)[1])
     return path
 
 
