@@ -115,13 +115,22 @@ def test_sales_walkthrough(spark):
 def test_run_log(spark):
     audit = RunAudit(spark, "p")
     audit.record("extract", spark.createDataFrame([(1, "Alice"), (2, "Bob"), (3, "Charlie")], "id int, name string"))
-    audit.finish("success")
+    audit.check("nulls", 0)
+    audit.finish()
     rows = [(r["step"], r["stage"], r["status"], r["rows"], r["columns"]) for r in audit.table().collect()]
     assert sorted(rows) == [
-        (0, "initialised", "ok", None, None), (1, "extract", "ok", 3, 2), (2, "finished", "success", None, None),
+        (0, "initialised", "ok", None, None), (1, "extract", "ok", 3, 2), (2, "nulls", "PASSED", 0, None),
+        (3, "finished", "success", None, None),
     ]
 
 
+def test_run_log_with_a_warning(spark):
+    audit = RunAudit(spark, "p")
+    audit.check("rows", 3)
+    audit.finish()
+    assert {r["stage"]: r["status"] for r in audit.table().collect()}["finished"] == "warning"
+
+
 def arrive(spark, tmp_path, **options):
     return arrivals.stream_new_arrivals(
         spark, str(tmp_path / "in"), order_frame(spark, ORDERS).schema, ["order_id"], ["order_date"],
@@ -133,8 +142,9 @@ def test_arrivals_load_each_key_once(spark, tmp_path):
     schema = order_frame(spark, ORDERS).schema
     arrivals.backfill(order_frame(spark, ORDERS[:3]), str(tmp_path / "target"))
     late = (1006, 2, 101, 1, "2026-08-06")
-    order_frame(spark, [*ORDERS[2:], late, (1006, 9, 9, 9, "2026-08-07")]).write.parquet(str(tmp_path / "in"))
-    assert arrive(spark, tmp_path, files_per_batch=1) >= 1
+    twice = (1006, 9, 9, 9, "2026-08-07")  # in one file with the other row of its key, hence in one batch
+    order_frame(spark, [*ORDERS[2:], late, twice]).coalesce(1).write.parquet(str(tmp_path / "in"))
+    assert arrive(spark, tmp_path, files_per_batch=1) == 1
 
     def stored():
         return sorted(map(tuple, arrivals.read_target(spark, str(tmp_path / "target"), schema).select(*schema.names).collect()))

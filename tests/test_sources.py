@@ -32,12 +32,20 @@ def test_csv_null_tokens_and_bad_numbers(spark, tmp_path):
     assert [tuple(r) for r in df.orderBy("id").collect()] == [
         (1, None, 85), (2, "Priya", None), (3, 'A "b", c', None), (4, None, 105),
     ]
-    text = files.read_csv_text(spark.read.option("header", True).option("escape", '"'), str(path), STUDENT)
+    text = files.read_csv_text(spark, str(path))
     assert [(r["id"], r["failed_columns"]) for r in files.cast_failures(text, STUDENT).collect()] == [("3", "marks")]
     status = df.select("id", range_status(F.col("marks"), 0, 100).alias("s"))
     assert {r["id"]: r["s"] for r in status.collect()} == {1: "ok", 2: "missing", 3: "missing", 4: "anomaly"}
 
 
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("marks,extra,id,name\n85,x,1,Rahul\n")
+    assert tuple(files.read_csv(spark, str(tmp_path / "a.csv"), STUDENT).first()) == (1, "Rahul", 85)
+    (tmp_path / "b.csv").write_text("id,name,marks,extra\n2,Priya,92,y\n")
+    with pytest.raises(Exception, match="header"):
+        files.read_csv(spark, [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")], STUDENT).collect()
+
+
 def test_csv_inferred_types_and_several_files(spark, tmp_path):
     (tmp_path / "a.csv").write_text("id,v\n1,2.5\n")
     (tmp_path / "b.csv").write_text("id,v\n2,3.5\n")
@@ -56,6 +64,9 @@ def test_csv_dates(spark, tmp_path):
     path.write_text("id,at\n1,1/31/2018 22:56\n2,soon\n")
     df = files.read_csv(spark, str(path), "id int, at timestamp_ntz", timestamp_format="M/d/yyyy H:mm")
     assert [r["at"] for r in df.orderBy("id").collect()] == [datetime(2018, 1, 31, 22, 56), None]
+    text = files.read_csv_text(spark, str(path))
+    failed = files.cast_failures(text, "id int, at timestamp_ntz", timestamp_format="M/d/yyyy H:mm").collect()
+    assert [(r["id"], r["failed_columns"]) for r in failed] == [("2", "at")]
 
 
 def test_csv_sink_keeps_spaces_quotes_and_breaks(spark, tmp_path):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemill.operators import quality
 from tidemill.plans import reports, supply_chain, testbed, warehouse
-from tidemill.sources import files
+from tidemill.sources import files, sinks
 from tidemill.storage import VersionedTables
 
 SF = "/root/testdata/sf0.001"
@@ -76,6 +76,9 @@ def test_raw_file_to_star(spark, tmp_path):
 
     stages = {r["stage"]: (r["status"], r["rows"]) for r in t["audit"].collect()}
     assert stages["fact_sales"] == ("ok", 4) and stages["finished"] == ("success", None)
+    assert stages["null foreign keys"] == stages["staging and fact rows"] == ("PASSED", 0)
+    assert sinks.success_line(t["quality_audit"]) == "3/3"
+    assert sinks.success_line(t["report_audit"]) == "14/14" and sinks.success_line(t["export_audit"]) == "6/6"
     exported = files.read_csv(spark, str(tmp_path / "out/export/dim_product"))
     assert exported.columns == t["dim_product"].columns and exported.count() == 2
     performance = files.read_csv(spark, str(tmp_path / "out/reports/overall_performance")).first()

@@ -103,6 +103,8 @@ def dedupe_keep_first(df: DataFrame, keys: list[str], order_by) -> DataFrame:
     leaves each map task as one row.
     """
     rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.distinct()
     ranked = F.struct(*_order(order_by))
     kept = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), ranked).alias("_row"))
     return kept.select(*keys, "_row.*").select(*df.columns)

@@ -23,14 +23,12 @@ def employee_rules() -> dict:
 
 
 def employees(spark: SparkSession, csv_paths: list[str], store: VersionedTables) -> DataFrame:
-    """CSV files as one table, first row per id, valid rows, unseen ids appended.
+    """CSV files as one table, first row per id (files in name order), valid rows, unseen ids appended.
 
     Returns the quarantined rows with the reason.
     """
-    text = files.read_csv_text(
-        spark.read.option("header", True).option("escape", '"'), csv_paths, EMPLOYEE
-    )
-    typed = files.typed_columns(with_source_position(text), EMPLOYEE, keep=SOURCE_POSITION)
+    placed = with_source_position(files.read_csv_text(spark, csv_paths))
+    typed = files.typed_columns(placed, EMPLOYEE, keep=SOURCE_POSITION)
     first = dedupe_keep_first(typed, ["id"], SOURCE_POSITION).drop(*SOURCE_POSITION)
     valid, quarantine = quality.split_valid(first, employee_rules())
     new = anti_join_new(valid, store.read("employees"), ["id"]) if store.exists("employees") else valid

@@ -34,6 +34,31 @@ def _as_schema(schema: T.StructType | str) -> T.StructType:
     return T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
 
+def read_csv_text(
+    spark: SparkSession,
+    path: str | list[str],
+    names: list[str] | None = None,
+    encoding: str = "UTF-8",
+    multi_line: bool = False,
+) -> DataFrame:
+    """CSV with a header, every field as text; ``names`` picks columns by their header.
+
+    Only the first header is read ahead. The header of every other file is compared with it, so
+    a file with another column order is refused instead of being read into wrong columns.
+    """
+    df = _csv_reader(spark, encoding, multi_line).option("enforceSchema", False).csv(path)
+    return df if names is None else df.select(*[F.col(quoted(n)) for n in names])
+
+
+def _csv_reader(spark: SparkSession, encoding: str, multi_line: bool):
+    return (
+        spark.read.option("header", True)
+        .option("encoding", encoding)
+        .option("escape", '"')
+        .option("multiLine", multi_line)
+    )
+
+
 def read_csv(
     spark: SparkSession,
     path: str | list[str],
@@ -45,26 +70,15 @@ def read_csv(
 ) -> DataFrame:
     """CSV with a header. Several paths are read as one table.
 
-    With a schema, every field is read as text, the null tokens become NULL and the text is
-    cast; text that does not fit its type becomes NULL (see :func:`cast_failures`). Without a
+    With a schema, the named columns are read as text, the null tokens become NULL and the text
+    is cast; text that does not fit its type becomes NULL (see :func:`cast_failures`). Without a
     schema the types are inferred, which costs one more pass over the files.
     ``multi_line`` is needed only when quoted fields hold line breaks; such files are not split.
     """
-    reader = (
-        spark.read.option("header", True)
-        .option("encoding", encoding)
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-    )
     if schema is None:
-        return reader.option("inferSchema", True).csv(path)
-    return typed_columns(read_csv_text(reader, path, schema), schema, null_tokens, timestamp_format)
-
-
-def read_csv_text(reader, path, schema: T.StructType | str) -> DataFrame:
-    names = _as_schema(schema).names
-    text_schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    return reader.schema(text_schema).csv(path)
+        return _csv_reader(spark, encoding, multi_line).option("inferSchema", True).csv(path)
+    text = read_csv_text(spark, path, _as_schema(schema).names, encoding, multi_line)
+    return typed_columns(text, schema, null_tokens, timestamp_format)
 
 
 def typed_columns(
@@ -86,15 +100,19 @@ def typed_columns(
     return present.select(*[_typed(f.name, f.dataType, timestamp_format) for f in fields], *(keep or []))
 
 
-def cast_failures(df: DataFrame, schema: T.StructType | str, null_tokens: list[str] = NULL_TOKENS) -> DataFrame:
+def cast_failures(
+    df: DataFrame,
+    schema: T.StructType | str,
+    null_tokens: list[str] = NULL_TOKENS,
+    timestamp_format: str | None = None,
+) -> DataFrame:
     """Rows of a text frame where a present value does not fit its type, with the column names."""
-    fields = [f for f in _as_schema(schema).fields if not isinstance(f.dataType, T.StringType)]
     bad = [
         F.when(
-            ~F.col(quoted(f.name)).isin(null_tokens) & strip(F.col(quoted(f.name))).try_cast(f.dataType).isNull(),
+            ~F.col(quoted(f.name)).isin(null_tokens) & _typed(f.name, f.dataType, timestamp_format).isNull(),
             F.lit(f.name),
         )
-        for f in fields
+        for f in _as_schema(schema).fields
     ]
     return df.withColumn("failed_columns", F.concat_ws(",", *bad)).filter("failed_columns <> ''")
 
