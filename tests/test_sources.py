@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import subprocess
+import sys
 from datetime import datetime
 
 import pytest
@@ -89,6 +91,19 @@ def test_html_first_table(spark):
     assert rows.filter("table_idx = 1").first()["cells"] == ["other"]
 
 
+def test_html_parser_travels_without_the_package(tmp_path):
+    from pyspark import cloudpickle
+
+    packed = tmp_path / "parser.bin"
+    packed.write_bytes(cloudpickle.dumps(html.table_rows))
+    code = (
+        f"import pickle; rows = pickle.load(open({str(packed)!r}, 'rb'))('<table><tr><td>a</td></tr></table>'); "
+        "import importlib.util as u; assert u.find_spec('tidemill') is None; print(rows)"
+    )
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, check=True)
+    assert done.stdout.strip() == "[(0, 0, False, ['a'])]"
+
+
 def test_html_nested_table(spark):
     assert html.table_rows("<table><tr><td>a<table><tr><td>in</td></tr></table></td><td>b</td></tr>") == [
         (1, 0, False, ["in"]), (0, 0, False, ["a", "b"]),

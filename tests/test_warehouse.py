@@ -85,6 +85,19 @@ def test_raw_file_to_star(spark, tmp_path):
     assert (performance["total_orders"], performance["total_order_items"], performance["total_quantity"]) == (3, 4, 5)
 
 
+def test_dates_do_not_depend_on_the_time_zone(spark, tmp_path):
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        cleaned = supply_chain.clean_raw(supply_chain.ingest(spark, write_raw(tmp_path / "raw.csv", ROWS)))
+        store = VersionedTables(spark, str(tmp_path / "out"))
+        staging = store.replace("staging", supply_chain.stage(store.replace("cleaned", cleaned)))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    row = staging.orderBy("row_id").first()
+    assert row["order_datetime"] == datetime(2018, 1, 31, 22, 56) and row["order_day"] == 31
+    assert warehouse.dim_date(staging).count() == 2
+
+
 def test_quality_reports_of_the_raw_file(spark, tmp_path):
     cleaned = supply_chain.clean_raw(
         supply_chain.ingest(spark, write_raw(tmp_path / "raw.csv", [*ROWS, ROWS[0], raw_row(9, 9, 9, 9, ordered="soon")]))

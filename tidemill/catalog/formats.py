@@ -38,7 +38,7 @@ def csv_parse_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = files.read_csv(
         spark, path, "o_orderkey bigint, shipped timestamp_ntz, ordered string", timestamp_format="M/d/yyyy H:mm"
     )
-    return read.withColumn("ordered", parse_strict("ordered", "M/d/yyyy H:mm").cast("timestamp_ntz"))
+    return read.withColumn("ordered", parse_strict("ordered", "M/d/yyyy H:mm"))
 
 
 def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:

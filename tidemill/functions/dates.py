@@ -42,13 +42,13 @@ def quarter_label(value: Column | str) -> Column:
 
 
 def parse_or_null(value: Column | str, fmt: str) -> Column:
-    """Text to timestamp; text that does not fit the format becomes NULL."""
-    return F.try_to_timestamp(_col(value), F.lit(fmt))
+    """Text to timestamp without time zone; text that does not fit the format becomes NULL."""
+    return F.try_to_timestamp(_col(value), F.lit(fmt)).cast("timestamp_ntz")
 
 
 def parse_strict(value: Column | str, fmt: str) -> Column:
-    """Text to timestamp; text that does not fit the format raises (ANSI mode)."""
-    return F.to_timestamp(_col(value), fmt)
+    """Text to timestamp without time zone; text that does not fit the format raises (ANSI mode)."""
+    return F.to_timestamp(_col(value), fmt).cast("timestamp_ntz")
 
 
 def calendar_columns(value: Column | str, prefix: str = "") -> dict[str, Column]:
