@@ -30,6 +30,15 @@ def test_split_words_matches_python(spark):
     assert one(spark, CONTACT, text.split_words("v")) == re.split(r"\s+", CONTACT.strip())
 
 
+def test_whitespace_is_that_of_python(spark):
+    points = [i for i in range(1, 0x30000) if not 0xD800 <= i <= 0xDFFF]
+    df = spark.createDataFrame([(i, chr(i)) for i in points], "i int, c string")
+    found = {r["i"] for r in df.filter(F.col("c").rlike("^" + text.WHITESPACE_CLASS + "$")).collect()}
+    spaces = {i for i in points if chr(i).isspace()}
+    assert found == spaces == set(map(ord, text.WHITESPACE))
+    assert {r["i"] for r in df.filter(text.is_blank("c")).collect()} == spaces
+
+
 def test_mask_ten_digits_only(spark):
     assert one(spark, CONTACT, text.mask("v")) == re.sub(r"\d{10}", "XXXXXXXXXX", CONTACT)
     assert one(spark, "123456789", text.mask("v")) == "123456789"

@@ -89,6 +89,15 @@ def test_failed_gate_leaves_the_old_version(spark, tmp_path):
     assert ids(store.read("t")) == [0]
 
 
+def test_vacuum_keeps_the_newest_versions(spark, tmp_path):
+    store = VersionedTables(spark, str(tmp_path))
+    for n in range(1, 5):
+        store.replace("t", spark.range(n))
+    assert store.vacuum("t", keep=2) == [1, 2]
+    assert store.read("t").count() == 4 and store.vacuum("t", keep=0) == [3]
+    assert store.read("t").count() == 4
+
+
 def test_missing_table(spark, tmp_path):
     store = VersionedTables(spark, str(tmp_path))
     assert not store.exists("t")

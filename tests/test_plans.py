@@ -64,6 +64,31 @@ def test_large_dimensions_take_the_shuffle_join(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_hot_key_is_split_in_the_lookup_join(spark):
+    """A third of the rows share one key; with no broadcast the join splits their partition."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2.0",
+    }
+    facts = spark.range(60000).repartition(8).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 5000).alias("product_id"), "id"
+    )
+    facts = storage.materialize(facts, "facts")
+    dim = storage.materialize(spark.range(5000).select(F.col("id").alias("product_id"), (F.col("id") + 1).alias("product_key")), "dim")
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        joined = keys.lookup_key(facts, dim, {"product_id": "product_id"}, "product_key")
+        rows = joined.collect()
+        assert "skew=true" in plan(joined)
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+    assert len(rows) == 60000 and all(r["product_key"] == r["product_id"] + 1 for r in rows)
+
+
 def test_row_numbers_do_not_shuffle_rows(spark):
     assert "Exchange hashpartitioning" not in plan(keys.read_with_row_id(spark, f"{SF}/lineitem.parquet"))
 

@@ -104,6 +104,15 @@ def test_html_parser_travels_without_the_package(tmp_path):
     assert done.stdout.strip() == "[(0, 0, False, ['a'])]"
 
 
+def test_html_spans_are_filled(spark):
+    rows = html.table_rows(
+        "<table><tr><th colspan=2>a</th><th rowspan='2'>b</th></tr><tr><td>1</td><td>2</td></tr>"
+        "<tr><td rowspan=3 colspan=x>p</td><td>3</td><td>4</td></tr><tr><td>5</td></tr></table>"
+    )
+    assert [r[3] for r in rows] == [["a", "a", "b"], ["1", "2", "b"], ["p", "3", "4"], ["p", "5"]]
+    assert [r[2] for r in rows] == [True, False, False, False]
+
+
 def test_html_nested_table(spark):
     assert html.table_rows("<table><tr><td>a<table><tr><td>in</td></tr></table></td><td>b</td></tr>") == [
         (1, 0, False, ["in"]), (0, 0, False, ["a", "b"]),

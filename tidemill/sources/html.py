@@ -23,7 +23,11 @@ TITLE_PATTERN = r"(?is)<title[^>]*>(.*?)</title>"
 
 
 class _TableReader(HTMLParser):
-    """Collects (table, row, header?, cells). Nested tables are numbered in order of opening."""
+    """Collects (table, row, header?, cells). Nested tables are numbered in order of opening.
+
+    A cell that spans columns or rows is repeated in each of them, so that the rows of a table
+    line up.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
@@ -33,7 +37,9 @@ class _TableReader(HTMLParser):
 
     def handle_starttag(self, tag, attrs):
         if tag == "table":
-            self.stack.append({"table": self.tables, "next_row": 0, "row": None, "cell": None, "th": True})
+            self.stack.append(
+                {"table": self.tables, "next_row": 0, "row": None, "cell": None, "span": (1, 1), "th": True, "held": {}}
+            )
             self.tables += 1
         elif self.stack and tag == "tr":
             self._end_row()
@@ -44,6 +50,7 @@ class _TableReader(HTMLParser):
                 top.update(row=[], th=True)
             self._end_cell()
             top["cell"] = []
+            top["span"] = (_span(attrs, "colspan"), _span(attrs, "rowspan"))
             top["th"] = top["th"] and tag == "th"
 
     def handle_endtag(self, tag):
@@ -64,17 +71,46 @@ class _TableReader(HTMLParser):
     def _end_cell(self):
         top = self.stack[-1]
         if top["cell"] is not None:
-            top["row"].append(" ".join("".join(top["cell"]).split()))
+            top["row"].append((" ".join("".join(top["cell"]).split()), *top["span"]))
             top["cell"] = None
 
     def _end_row(self):
         top = self.stack[-1]
         self._end_cell()
         if top["row"]:
-            self.rows.append((top["table"], top["next_row"], top["th"], top["row"]))
+            cells = self._spread(top)
+            self.rows.append((top["table"], top["next_row"], top["th"], cells))
             top["next_row"] += 1
         top["row"] = None
 
+    @staticmethod
+    def _spread(top: dict) -> list[str]:
+        """The cells of the current row with spans filled in; ``held`` are cells from rows above."""
+        held, kept, cells = top["held"], {}, []
+
+        def place(text: str, rows_left: int) -> None:
+            if rows_left:
+                kept[len(cells)] = (text, rows_left)
+            cells.append(text)
+
+        for text, columns, rows in top["row"]:
+            for _ in range(columns):
+                while len(cells) in held:
+                    above, left = held.pop(len(cells))
+                    place(above, left - 1)
+                place(text, rows - 1)
+        for column in sorted(held):
+            above, left = held[column]
+            place(above, left - 1)
+        top["held"] = kept
+        return cells
+
+
+def _span(attrs: list[tuple[str, str | None]], name: str) -> int:
+    """A span attribute within the limits of HTML; anything else counts as 1."""
+    value = dict(attrs).get(name) or ""
+    return min(max(int(value), 1), 1000) if value.isascii() and value.isdigit() else 1
+
 
 def table_rows(html: str | None) -> list[tuple[int, int, bool, list[str]]]:
     reader = _TableReader()

@@ -148,6 +148,18 @@ class VersionedTables:
         fs.create(marker, True).close()
         return written
 
+    def vacuum(self, name: str, keep: int = 2) -> list[int]:
+        """Drop all but the newest ``keep`` published versions; returns the dropped numbers.
+
+        Call it when no reader of an old version and no writer is active.
+        """
+        kept = set(self._versions(name, published=True)[-max(keep, 1) :])
+        dropped = [v for v in self._versions(name, published=False) if v not in kept]
+        for version in dropped:
+            fs, hpath = filesystem(self.spark, f"{self.root}/{name}/v{version}")
+            fs.delete(hpath, True)
+        return dropped
+
     def create_if_absent(self, name: str, df: DataFrame) -> DataFrame:
         """Keep the current version when there is one, otherwise write the first."""
         return self.read(name) if self.exists(name) else self.replace(name, df)
