@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 from tidemill.llm.common import read_table, text_of, utf8, worker_state
 
 #: Distinct pre-tokens whose counts a worker keeps. Beyond it the table starts anew; counts do not change.
-KNOWN_TOKENS = 300_000
+KNOWN_TOKENS = 250_000
+KNOWN_PIECES = 500_000
 #: Symbols merged in one ragged array, to bound memory.
 ROUND_SYMBOLS = 2_000_000
 NONE = np.int32(2**31 - 1)
@@ -156,15 +157,33 @@ def token_counter(vocabulary: dict):
             unknown = list(new)
         known.update(zip(unknown, count_in_slices(vocabulary, [utf8(p) for p in unknown]).tolist()))
 
-    def learn_pieces(table: dict[str, int], new: set[str], lead: str) -> None:
-        unknown = [p for p in new if p not in table]
-        if len(table) + len(unknown) > KNOWN_TOKENS:
-            table.clear()
+    def learn_pieces(new: set[str]) -> None:
+        """Space-led pieces are split in one go: a pre-token that begins with a space begins a piece."""
+        unknown = [p for p in new if p not in pieces]
+        if len(pieces) + len(unknown) > KNOWN_PIECES:
+            pieces.clear()
             unknown = list(new)
-        parts = [split(lead + p) for p in unknown]
+        alone = [p for p in unknown if not p or p[-1].isspace()]
+        if alone:  # these would join the next piece's space
+            learn(set().union(*(split(" " + p) for p in alone)))
+            pieces.update((p, sum(known[w] for w in split(" " + p))) for p in alone)
+            unknown = [p for p in unknown if p and not p[-1].isspace()]
+        if unknown:
+            words = split(" " + " ".join(unknown))
+            learn(set(words))
+            begins = np.flatnonzero([w[0] == " " for w in words])
+            counts = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+            pieces.update(zip(unknown, np.add.reduceat(counts, begins).tolist()))
+
+    def learn_heads(new: set[str]) -> None:
+        unknown = [p for p in new if p not in heads]
+        if len(heads) + len(unknown) > KNOWN_TOKENS:
+            heads.clear()
+            unknown = list(new)
+        parts = [split(p) for p in unknown]
         learn(set().union(*parts))
         get = known.__getitem__
-        table.update(zip(unknown, [sum(map(get, x)) for x in parts]))
+        heads.update(zip(unknown, [sum(map(get, x)) for x in parts]))
 
     def count(texts: list[str]) -> list[int]:
         counts, slow, lines = [], [], []
@@ -184,13 +203,13 @@ def token_counter(vocabulary: dict):
         learn(set().union(*(words for _, words in slow)))
         for i, words in slow:
             counts[i] += sum(map(known.__getitem__, words))
-        learn_pieces(heads, {words[0] for _, words in lines}, "")
+        learn_heads({words[0] for _, words in lines})
         tails: set[str] = set()
         for i, words in lines:
             counts[i] += heads[words[0]]
             del words[0]
             tails.update(words)
-        learn_pieces(pieces, tails, " ")
+        learn_pieces(tails)
         get = pieces.__getitem__
         for i, words in lines:
             counts[i] += sum(map(get, words))
