@@ -7,6 +7,7 @@ import types
 from collections.abc import Callable
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +32,16 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def count_words(column: str) -> Column:
+    """Number of words ``[^\\x20\\x09-\\x0D]+``; the text must not be null."""
+
+    @F.pandas_udf("long")
+    def count(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: len(utf8(t).split())).astype("int64")
+
+    return count(F.col(column))
+
+
 def utf8(text: str) -> bytes:
     return text.encode("utf-8", "surrogatepass")
 
