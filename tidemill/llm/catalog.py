@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 #: One module per operator, in the order of their numbers.
-OPERATORS = ["token_counts", "exact_dedup", "mixing"]
+OPERATORS = ["token_counts", "packing", "exact_dedup", "mixing"]
 
 
 def _modules() -> list:
