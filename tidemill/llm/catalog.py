@@ -5,7 +5,10 @@ from __future__ import annotations
 import importlib
 
 #: One module per operator, in the order of their numbers.
-OPERATORS = ["token_counts", "substring_dedup", "packing", "warc", "html_extraction", "exact_dedup", "toxicity", "mixing", "ngram_join"]
+OPERATORS = [
+    "token_counts", "substring_dedup", "packing", "warc", "fingerprints", "html_extraction", "exact_dedup", "toxicity",
+    "mixing", "ngram_join",
+]
 
 
 def _modules() -> list:
