@@ -67,13 +67,14 @@ def scheme(band: int, num: int, den: int) -> tuple[int, int, int, int]:
     """(k, parts, sub-parts, spare): sets of this or the previous band differ in at most k elements.
 
     They agree on all but one sub-part of a part, or without sub-parts on more than ``spare`` parts.
+    Spare parts let a set leave out its smallest parts, which unrelated sets may share.
     """
     k = (den - num) * 2 * bands(num, den)[band][1] // (den + num)
     if k == 0:
         return k, 1, 1, 0
     if k < ENUMERATED_BELOW:
         return k, k // 2 + 1, 3, 0
-    spare = 2 + k // 32
+    spare = k // 4
     return k, k + 1 + spare, 1, spare
 
 
@@ -105,10 +106,10 @@ def signatures(elements: np.ndarray, num: int = NUM, den: int = DEN) -> np.ndarr
             label = np.concatenate([np.arange(parts) * 8 + i for i in range(len(chosen))])
             value = np.concatenate([v for _, v in chosen])
         else:
-            label, filled = np.arange(parts), cuts[1:] > cuts[:-1]
-            # if no more than the spare parts are empty, similar sets agree on one that is not
-            if parts - filled.sum() <= spare:
-                label, value = label[filled], value[filled]
+            # similar sets agree on more than the spare parts, so on one that neither counts to its smallest
+            label, counts = np.arange(parts), cuts[1:] - cuts[:-1]
+            large = counts >= np.partition(counts, spare)[spare]
+            label, value = label[large], value[large]
         place = label.astype(np.uint64) + np.uint64(band << 40)
         out.append(mix64(value + mix64(place)))
     return np.concatenate(out).view(np.int64)
@@ -276,8 +277,9 @@ def rare_pairs(members: DataFrame, words: int, num: int, den: int) -> DataFrame:
     """Pairs of different components that share one of their rarest shingles, from (id, component, major, text).
 
     Similar sets of n elements share at least one of their first n - ceil(num * n / den) + 1 elements
-    in any fixed order; rarest first leaves few of them shared. ``major`` marks the members of a
-    group's largest component: of two components one is not the largest of the group.
+    in any fixed order; rarest first leaves few of them shared. What follows the first shared one on
+    either side bounds the intersection. ``major`` marks the members of a group's largest component:
+    of two components one is not the largest of the group.
     """
     rows = members.select("id", "component", "text").mapInArrow(
         elements_of(words), "e long, id long, component long, size long"
@@ -291,15 +293,23 @@ def rare_pairs(members: DataFrame, words: int, num: int, den: int) -> DataFrame:
     length = F.col("size") - F.ceil(F.col("size") * num / den) + 1
     room = (length - (F.col("size") - F.size("found"))).cast("int")
     prefix = single.filter(room > 0).select(
-        "id", "component", "size", F.explode(F.slice("found", F.lit(1), room)).alias("x")
+        "id",
+        "component",
+        "size",
+        F.size("found").alias("often"),
+        F.posexplode(F.slice("found", F.lit(1), room)).alias("place", "x"),
     )
+    # elements from this one on, in the common order
+    after = (F.col("often") - F.col("place")).alias("after")
     prefix = prefix.join(members.select("id", "major").distinct(), "id").select(
-        F.col("x.e").alias("e"), "id", "component", "size", "major"
+        F.col("x.e").alias("e"), "id", "component", "size", after, "major"
     )
     prefix = materialize(prefix, "jaccard-prefixes")
-    minor = prefix.filter("NOT major").alias("m")
-    both = minor.join(prefix.alias("o"), F.expr("m.e = o.e AND m.component <> o.component"))
-    both = both.filter(f"{den} * least(m.size, o.size) >= {num} * greatest(m.size, o.size)")
+    minor, similar = prefix.filter("NOT major").alias("m"), (
+        f"m.e = o.e AND m.component <> o.component AND {den} * least(m.size, o.size) >= {num} * greatest(m.size, o.size)"
+        f" AND {num + den} * least(m.after, o.after) >= {num} * (m.size + o.size)"
+    )
+    both = minor.join(prefix.alias("o"), F.expr(similar))
     return both.select(
         F.greatest("m.id", "o.id").alias("a"), F.least("m.id", "o.id").alias("b")
     ).distinct()
