@@ -281,7 +281,7 @@ def fingerprint_table(
         key.alias("key"), F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text")
     ).select("key", F.xxhash64("text").alias("tie"), "id", "text")
     ranges = ranges or max(8, 2 * shuffle_partitions(spark))
-    steps = [i / ranges for i in range(1, ranges)]
+    steps = [i / ranges for i in range(ranges)]
     # ids that occur, at about equal distances: their number is the number of ranges
     found = docs.select(key.alias("key")).agg(F.min("key"), F.percentile_approx("key", steps, 20 * ranges)).first()
     if found[0] is None:

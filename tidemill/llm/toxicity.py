@@ -282,10 +282,13 @@ def fit(texts: list[str], toxic: list[int], n_toxic: int, n_clean: int, folds: i
         lexicon = learn_lexicon(bad, good)
         return lexicon, frozenset(_usual_forms(lexicon, good))
 
+    place = np.zeros(len(y), int)  # in its fold; each fold gets its share of both labels
+    for label in (0, 1):
+        place[y == label] = np.arange((y == label).sum()) % folds
     for fold in range(folds):
-        lexicon, usual = lexicon_of([i for i in range(len(y)) if i % folds != fold])
+        lexicon, usual = lexicon_of(np.flatnonzero(place != fold))
         scorer = Scorer({"lexicon": lexicon, "usual": usual})
-        for i in range(fold, len(y), folds):
+        for i in np.flatnonzero(place == fold):
             x[i] = scorer.evidence(texts[i])
     # the sample's labels count as often as among all labelled rows
     weight = np.where(y == 1, n_toxic / y.sum(), n_clean / (len(y) - y.sum()))
