@@ -61,10 +61,11 @@ def test_empty_table(spark):
     assert result.count() == 0 and result.columns == ["doc_id", "n_shingles", "component_id"]
 
 
-@pytest.mark.parametrize("slices", [8_000_000, 400])
-def test_groups_of_near_copies(spark, monkeypatch, slices):
+@pytest.mark.parametrize("slices, often", [(8_000_000, 5000), (400, 3)])
+def test_groups_of_near_copies(spark, monkeypatch, slices, often):
     """Chains, stars with many edits, sets just at the threshold, and a passage that many share."""
     monkeypatch.setattr(nj, "SLICE_BYTES", slices)
+    monkeypatch.setattr(nj, "OFTEN", often)
     monkeypatch.setattr(nj, "PIVOT_ROWS", 7)
     rng = random.Random(5)
     rows, at = [], iter(rng.sample(range(10_000), 2000))
@@ -103,6 +104,40 @@ def test_similar_sets_share_a_signature():
             assert np.intersect1d(nj.signatures(a), nj.signatures(b)).size
 
 
+def batches(*columns, size):
+    import pyarrow as pa
+
+    for begin in range(0, len(columns[0]), size):
+        part = [np.asarray(c[begin : begin + size]) for c in columns]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in part], [f"c{i}" for i in range(len(part))])
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 1000])
+def test_signatures_that_go_on_in_the_next_batch(size):
+    rng = random.Random(size)
+    rows = sorted((rng.randrange(12), a, rng.choice([1, 1, 1, 2])) for a in rng.sample(range(1000), 40))
+    key, a, n = (np.array(c, np.int64) for c in zip(*rows))
+    got = set()
+    for out in nj.gather(batches(np.full(40, nj.SIGNATURE, np.int32), key, a, a, n, size=size)):
+        got |= {(r["kind"], r["a"], r["b"]) for r in out.to_pylist()}
+    want = set()
+    for k in set(key):
+        own, many = a[key == k], n[key == k].sum() > 2
+        want |= {(nj.OPEN if many else nj.CLOSED, int(x), int(own.min())) for x in own if x != own.min()}
+    assert got == want
+
+
+@pytest.mark.parametrize("often", [2, 4, 100])
+@pytest.mark.parametrize("size", [1, 3, 1000])
+def test_frequencies_across_batches(monkeypatch, size, often):
+    monkeypatch.setattr(nj, "OFTEN", often)
+    rng = random.Random(often)
+    e = np.array(sorted(rng.choice([1, 2, 2, 2, 2, 2, 3, 4, 5, 6, 7]) for _ in range(60)), np.int64)
+    got = [tuple(r.values()) for out in nj.shared_elements(batches(e, np.arange(60), size=size)) for r in out.to_pylist()]
+    counts = {x: int((e == x).sum()) for x in e}
+    assert sorted(got) == [(int(x), i, min(often, counts[x])) for i, x in enumerate(e) if counts[x] > 1]
+
+
 def test_components_of_chains_and_stars(spark):
     rng = random.Random(1)
     links = [(i, i + 1) for i in range(0, 200)] + [(1000, i) for i in range(1001, 1100)] + [(5000, 5000)]

@@ -37,8 +37,11 @@ ENUMERATED_BELOW = 8
 #: Comparisons with one document that a group takes at most.
 PIVOT_ROWS = 1000
 SLICE_BYTES = 8_000_000
+#: Copies of an element that are told apart when elements are ordered by frequency.
+OFTEN = 5000
 
-SIGNATURE, KNOWN, SIZE = 0, 1, 2
+#: Kinds of rows between the first steps. Documents of an open pair share a signature with others as well.
+OPEN, CLOSED, SIGNATURE, KNOWN, SIZE = -2, -1, 0, 1, 2
 
 
 def shingle_set(text: str, words: int) -> np.ndarray:
@@ -72,9 +75,9 @@ def scheme(band: int, num: int, den: int) -> tuple[int, int, int, int]:
     k = (den - num) * 2 * bands(num, den)[band][1] // (den + num)
     if k == 0:
         return k, 1, 1, 0
-    if k < ENUMERATED_BELOW:
-        return k, k // 2 + 1, 3, 0
     spare = k // 4
+    if k < ENUMERATED_BELOW:
+        return k, k // 2 + 1 + spare, 3, spare
     return k, k + 1 + spare, 1, spare
 
 
@@ -99,17 +102,16 @@ def signatures(elements: np.ndarray, num: int = NUM, den: int = DEN) -> np.ndarr
         edges = (np.arange(n + 1, dtype=np.uint64) << np.uint64(32)) // np.uint64(n) << np.uint64(32)
         cuts = np.searchsorted(elements, edges[:-1])
         cuts = np.append(cuts, len(elements))
-        value = sums[cuts[1:]] - sums[cuts[:-1]]
+        value = (sums[cuts[1:]] - sums[cuts[:-1]]).reshape(parts, subs)
+        counts = (cuts[1:] - cuts[:-1]).reshape(parts, subs)
         if subs > 1:
-            value = value.reshape(parts, subs)
-            chosen = [(c, value[:, list(c)].sum(axis=1, dtype=np.uint64)) for c in combinations(range(subs), subs - 1)]
-            label = np.concatenate([np.arange(parts) * 8 + i for i in range(len(chosen))])
-            value = np.concatenate([v for _, v in chosen])
-        else:
-            # similar sets agree on more than the spare parts, so on one that neither counts to its smallest
-            label, counts = np.arange(parts), cuts[1:] - cuts[:-1]
-            large = counts >= np.partition(counts, spare)[spare]
-            label, value = label[large], value[large]
+            chosen = [list(c) for c in combinations(range(subs), subs - 1)]
+            value = np.stack([value[:, c].sum(axis=1, dtype=np.uint64) for c in chosen], axis=1)
+            counts = np.stack([counts[:, c].sum(axis=1) for c in chosen], axis=1)
+        # similar sets agree in more than the spare parts, so in one that neither counts to its smallest
+        large = counts >= np.partition(counts.min(axis=1), spare)[spare]
+        label = np.arange(parts)[:, None] * 8 + np.arange(value.shape[1])
+        label, value = label[large], value[large]
         place = label.astype(np.uint64) + np.uint64(band << 40)
         out.append(mix64(value + mix64(place)))
     return np.concatenate(out).view(np.int64)
@@ -125,19 +127,22 @@ def _runs(*sorted_columns: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def _pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct pairs of different values."""
+def _pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs of different values, and how often they occur."""
     keep = a != b
-    both = np.unique(np.stack([a[keep], b[keep]]), axis=1)
-    return both[0], both[1]
+    order = np.lexsort((b[keep], a[keep]))
+    a, b = a[keep][order], b[keep][order]
+    starts = _runs(a, b)
+    return a[starts], b[starts], np.diff(np.append(starts, len(a)))
 
 
-TAGGED = "kind int, key long, a long, b long"
+#: n: of a signature the documents that have it, of a pair the signatures they share.
+TAGGED = "kind int, key long, a long, b long, n long"
 
 
-def _tagged(kind: int, key: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-    columns = [np.full(len(a), kind, np.int32), *(np.asarray(x, np.int64) for x in (key, a, b))]
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["kind", "key", "a", "b"])
+def _tagged(kind: int, key: np.ndarray, a: np.ndarray, b: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    columns = [np.full(len(a), kind, np.int32), *(np.asarray(x, np.int64) for x in (key, a, b, n))]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["kind", "key", "a", "b", "n"])
 
 
 def sign(words: int, num: int, den: int):
@@ -178,44 +183,62 @@ def sign(words: int, num: int, den: int):
                 pa.array(mix64(np.arange(len(rows)) + 1).view(np.int64)),
                 pa.array(ids, pa.int64()),
                 pa.array(sizes, pa.int64()),
+                pa.array(np.ones(len(rows), np.int64)),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["kind", "key", "a", "b"])
+            yield pa.RecordBatch.from_arrays(columns, ["kind", "key", "a", "b", "n"])
             if equal:
                 a, b = np.array(sorted(set(equal)), np.int64).T
-                yield _tagged(KNOWN, mix64(a).view(np.int64), a, b)
+                yield _tagged(KNOWN, mix64(a).view(np.int64), a, b, np.ones(len(a)))
             if found:
                 signature, owner = np.concatenate(found), np.concatenate(own)
                 order = np.lexsort((owner, signature))
                 signature, owner = signature[order], owner[order]
                 starts = _runs(signature)
                 lengths = np.diff(np.append(starts, len(signature)))
-                yield _tagged(SIGNATURE, signature[starts], owner[starts], owner[starts])
-                # kind -1: share a signature, to be compared
-                a, b = _pairs(owner, np.repeat(owner[starts], lengths))
-                yield _tagged(-1, mix64(a).view(np.int64), a, b)
+                yield _tagged(SIGNATURE, signature[starts], owner[starts], owner[starts], lengths)
+                a, b, n = _pairs(owner, np.repeat(owner[starts], lengths))
+                yield _tagged(OPEN, mix64(a).view(np.int64), a, b, n)
 
     return run
 
 
 def gather(batches):
-    """From rows sorted by kind, key and a: signatures become pairs with their smallest id; others pass."""
-    last, pivot = None, None
+    """From rows sorted by kind, key and a: signatures become pairs with their smallest id; others pass.
+
+    A signature of two documents is settled by comparing them; the pair is closed. With three or
+    more the pairs are open. The last signature of a batch may go on in the next one, so it waits;
+    of a long one only its smallest id does.
+    """
+
+    def pairs(key, a, n):
+        starts = _runs(key)
+        lengths = np.diff(np.append(starts, len(key)))
+        pivot = np.repeat(a[starts], lengths)
+        several = np.repeat(np.add.reduceat(n, starts) > 2, lengths)
+        for kind, chosen in ((OPEN, several), (CLOSED, ~several)):
+            left, right, shared = _pairs(a[chosen], pivot[chosen])
+            yield _tagged(kind, left, left, right, shared)
+
+    waiting = [np.zeros(0, np.int64)] * 3
     for batch in batches:
-        kind, key = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        kind = batch.column(0).to_numpy()
         signature = kind == SIGNATURE
         if not signature.all():
             yield batch.filter(pa.array(~signature))
         if not signature.any():
             continue
-        key, a = key[signature], batch.column(2).to_numpy(zero_copy_only=False)[signature].astype(np.int64)
-        starts = _runs(key)
-        pivots = a[starts]
-        if last is not None and key[0] == last:
-            pivots[0] = pivot
-        b = np.repeat(pivots, np.diff(np.append(starts, len(key))))
-        last, pivot = key[-1], b[-1]
-        left, right = _pairs(a, b)
-        yield _tagged(-1, left, left, right)
+        rows = [batch.column(i).to_numpy(zero_copy_only=False)[signature].astype(np.int64) for i in (1, 2, 4)]
+        key, a, n = (np.concatenate(pair) for pair in zip(waiting, rows))
+        last = _runs(key)[-1]
+        if len(key) - last > 2:
+            yield from pairs(key, a, n)
+            waiting = [key[last : last + 1], a[last : last + 1], np.array([3], np.int64)]
+        else:
+            if last:
+                yield from pairs(key[:last], a[:last], n[:last])
+            waiting = [key[last:], a[last:], n[last:]]
+    if len(waiting[0]):
+        yield from pairs(*waiting)
 
 
 def compare(words: int, num: int, den: int):
@@ -261,58 +284,82 @@ def verify(pairs: DataFrame, texts: DataFrame, words: int, num: int, den: int) -
 
 
 def elements_of(words: int):
-    """From (id, component, text): every shingle hash of it, with the size of its set."""
+    """From (id, text): every shingle hash of it."""
 
     def run(batches):
         for batch in batches:
-            for key, component, text in zip(*(c.to_pylist() for c in batch.columns)):
+            for key, text in zip(*(c.to_pylist() for c in batch.columns)):
                 e = shingle_set(text, words).view(np.int64)
-                columns = [e, np.full(len(e), key), np.full(len(e), component), np.full(len(e), len(e))]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["e", "id", "component", "size"])
+                yield pa.RecordBatch.from_arrays([pa.array(e), pa.array(np.full(len(e), key))], ["e", "id"])
 
     return run
 
 
+def shared_elements(batches):
+    """From (e, id) sorted by e: (e, id, df) of the elements that several rows have.
+
+    ``df`` is the number of rows, or OFTEN for more; it only has to be the same for all of them.
+    So no more than that many rows of an element wait for it.
+    """
+
+    def rows(e, ids, df):
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (e, ids, df)], ["e", "id", "df"])
+
+    empty = np.zeros(0, np.int64)
+    e, ids, flowing = empty, empty, None
+    for batch in batches:
+        e = np.concatenate([e, batch.column(0).to_numpy()])
+        ids = np.concatenate([ids, batch.column(1).to_numpy()])
+        if flowing is not None:  # an element of which OFTEN rows have gone out
+            n = int(np.searchsorted(e != flowing, True))
+            yield rows(e[:n], ids[:n], np.full(n, OFTEN))
+            e, ids = e[n:], ids[n:]
+            flowing = flowing if not len(e) else None
+        if not len(e):
+            continue
+        starts = _runs(e)
+        lengths = np.diff(np.append(starts, len(e)))
+        df = np.repeat(np.minimum(lengths, OFTEN), lengths)
+        last = len(e) if lengths[-1] >= OFTEN else starts[-1]
+        flowing = e[-1] if lengths[-1] >= OFTEN else None
+        out = np.flatnonzero(df[:last] > 1)
+        yield rows(e[out], ids[out], df[out])
+        e, ids = e[last:], ids[last:]
+    if len(e) > 1:
+        yield rows(e, ids, np.full(len(e), len(e)))
+
+
 def rare_pairs(members: DataFrame, words: int, num: int, den: int) -> DataFrame:
-    """Pairs of different components that share one of their rarest shingles, from (id, component, major, text).
+    """Pairs of different components that share one of their rarest shingles, from (id, component, major, size, text).
 
     Similar sets of n elements share at least one of their first n - ceil(num * n / den) + 1 elements
     in any fixed order; rarest first leaves few of them shared. What follows the first shared one on
     either side bounds the intersection. ``major`` marks the members of a group's largest component:
     of two components one is not the largest of the group.
     """
-    rows = members.select("id", "component", "text").mapInArrow(
-        elements_of(words), "e long, id long, component long, size long"
-    )
-    rows = materialize(rows, "jaccard-elements")
-    often = rows.groupBy("e").agg(F.count("*").alias("df")).filter("df > 1")
-    shared = rows.join(often, "e")
-    single = shared.groupBy("id", "component", "size").agg(
-        F.sort_array(F.collect_list(F.struct("df", "e"))).alias("found")
-    )
+    rows = members.select("id", "text").mapInArrow(elements_of(words), "e long, id long")
+    rows = rows.repartition("e").sortWithinPartitions("e").mapInArrow(shared_elements, "e long, id long, df long")
+    found = rows.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("df", "e"))).alias("found"))
+    known = members.select("id", "component", "major", "size").distinct()
     length = F.col("size") - F.ceil(F.col("size") * num / den) + 1
     room = (length - (F.col("size") - F.size("found"))).cast("int")
-    prefix = single.filter(room > 0).select(
+    prefix = found.join(known, "id").filter(room > 0).select(
         "id",
         "component",
+        "major",
         "size",
         F.size("found").alias("often"),
         F.posexplode(F.slice("found", F.lit(1), room)).alias("place", "x"),
     )
     # elements from this one on, in the common order
     after = (F.col("often") - F.col("place")).alias("after")
-    prefix = prefix.join(members.select("id", "major").distinct(), "id").select(
-        F.col("x.e").alias("e"), "id", "component", "size", after, "major"
-    )
-    prefix = materialize(prefix, "jaccard-prefixes")
+    prefix = materialize(prefix.select(F.col("x.e").alias("e"), "id", "component", "major", "size", after), "jaccard-prefixes")
     minor, similar = prefix.filter("NOT major").alias("m"), (
         f"m.e = o.e AND m.component <> o.component AND {den} * least(m.size, o.size) >= {num} * greatest(m.size, o.size)"
         f" AND {num + den} * least(m.after, o.after) >= {num} * (m.size + o.size)"
     )
     both = minor.join(prefix.alias("o"), F.expr(similar))
-    return both.select(
-        F.greatest("m.id", "o.id").alias("a"), F.least("m.id", "o.id").alias("b")
-    ).distinct()
+    return both.select(F.greatest("m.id", "o.id").alias("a"), F.least("m.id", "o.id").alias("b")).distinct()
 
 
 def jaccard_components(
@@ -336,26 +383,57 @@ def jaccard_components(
     signed = signed.repartition("key").sortWithinPartitions("kind", "key", "a")
     tagged = materialize(signed.mapInArrow(gather, TAGGED), "jaccard-pairs")
     known = tagged.filter(F.col("kind") == KNOWN).select("a", "b")
-    pairs = tagged.filter(F.col("kind") == -1).select("a", "b").distinct()
-    pairs = materialize(pairs, "jaccard-candidates")
+    sizes = tagged.filter(F.col("kind") == SIZE).select(F.col("a").alias("id"), F.col("b").alias("n_shingles"))
+    pairs = tagged.filter(F.col("kind") < SIGNATURE).groupBy("a", "b")
+    pairs = materialize(pairs.agg(F.sum("n").alias("shared"), F.min("kind").alias("kind")), "jaccard-candidates")
     wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
     texts = materialize(rows.join(wanted, "id", "left_semi"), "jaccard-texts")
-    links = materialize(known.union(verify(pairs, texts, words, num, den)), "jaccard-links")
-    linked = materialize(connected_components(links), "jaccard-linked")
-    links = links.union(later_links(pairs, links, linked, texts, words, num, den))
-    found = connected_components(links)
-    sizes = tagged.filter(F.col("kind") == SIZE).select(F.col("a").alias("id"), F.col("b").alias("n_shingles"))
+
+    # first every document with the one that it shares most signatures with, then what is still apart
+    best = pairs.groupBy("a").agg(F.max_by("b", F.struct("shared", -F.col("b"))).alias("b"))
+    links = materialize(known.union(verify(best, texts, words, num, den)), "jaccard-links")
+    found = materialize(connected_components(links), "jaccard-found")
+    apart = materialize(between(pairs.select("a", "b"), found).join(best, ["a", "b"], "left_anti"), "jaccard-apart")
+    found = joined_components(found, verify(apart, texts, words, num, den))
+    more = later_links(pairs.filter(F.col("kind") == OPEN), found, texts, sizes, words, num, den)
+    found = joined_components(found, more)
     return sizes.join(found, F.col("id") == F.col("node"), "left").select(
         F.col("id").alias(id_col), "n_shingles", F.coalesce("component", "id").alias("component_id")
     )
 
 
-def later_links(pairs, links, linked, texts, words: int, num: int, den: int) -> DataFrame:
-    """Links between components that share signatures, beyond those with the smallest documents."""
-    groups = connected_components(pairs.union(links))
-    group = groups.select(F.col("node").alias("id"), F.col("component").alias("group"))
-    member = group.join(linked, F.col("id") == F.col("node"), "left").select(
-        "id", "group", F.coalesce("component", "id").alias("component")
+def labelled(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """Pairs with the components ``ca`` and ``cb`` of both; a document without links is its own."""
+    left = found.select(F.col("node").alias("a"), F.col("component").alias("ca"))
+    right = found.select(F.col("node").alias("b"), F.col("component").alias("cb"))
+    both = pairs.join(left, "a", "left").join(right, "b", "left")
+    return both.withColumn("ca", F.coalesce("ca", "a")).withColumn("cb", F.coalesce("cb", "b"))
+
+
+def between(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """The pairs of different components."""
+    return labelled(pairs, found).filter("ca <> cb").select("a", "b")
+
+
+def joined_components(found: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after further links: those of the graph of components, which is small."""
+    links = materialize(labelled(links, found), "jaccard-more-links")
+    if links.isEmpty():
+        return found
+    ends = links.select(F.col("a").alias("node"), F.col("ca").alias("component"))
+    ends = ends.union(links.select("b", "cb")).distinct()
+    nodes = found.union(ends.join(found, "node", "left_anti"))
+    joined = connected_components(links.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+    joined = joined.select(F.col("node").alias("component"), F.col("component").alias("new"))
+    nodes = nodes.join(joined, "component", "left").select("node", F.coalesce("new", "component").alias("component"))
+    return materialize(nodes, "jaccard-found")
+
+
+def later_links(pairs: DataFrame, found: DataFrame, texts: DataFrame, sizes: DataFrame, words: int, num: int, den: int) -> DataFrame:
+    """Links between components of documents that share signatures, beyond those with the smallest documents."""
+    groups = connected_components(pairs.select("a", "b"))
+    member = groups.withColumnRenamed("component", "group").join(found, "node", "left").select(
+        F.col("node").alias("id"), "group", F.coalesce("component", "node").alias("component")
     )
     counts = member.groupBy("group", "component").agg(F.count("*").alias("n"))
     split = counts.groupBy("group").agg(
@@ -363,12 +441,23 @@ def later_links(pairs, links, linked, texts, words: int, num: int, den: int) ->
     )
     split = split.filter("components > 1").select("group", F.col("most.component").alias("largest"))
     contested = member.join(split, "group").select(
-        "id", "component", (F.col("component") == F.col("largest")).alias("major")
+        "id", "group", "component", (F.col("component") == F.col("largest")).alias("major")
     )
-    members = texts.join(contested, "id").select("id", "component", "major", "text")
-    members = materialize(members, "jaccard-contested")
-    more = materialize(rare_pairs(members, words, num, den), "jaccard-rare")
-    return materialize(verify(more, texts, words, num, den), "jaccard-more")
+    # of a document with several texts the largest set bounds; each text counts for the prefix
+    size = sizes.groupBy("id").agg(F.max("n_shingles").alias("size"), F.count("*").alias("texts"))
+    members = texts.join(contested.join(size, "id"), "id")
+    members = materialize(members.select("id", "group", "component", "major", "size", "texts", "text"), "jaccard-contested")
+    single = members.filter("texts = 1").drop("texts")
+    more = materialize(rare_pairs(single, words, num, den).union(versions(members)), "jaccard-rare")
+    return verify(more, texts, words, num, den)
+
+
+def versions(members: DataFrame) -> DataFrame:
+    """Documents with several texts are compared with all of their group: a prefix speaks for one text only."""
+    known = members.select("id", "component", "group", "texts").distinct()
+    several = known.filter("texts > 1").alias("m")
+    both = several.join(known.alias("o"), F.expr("m.group = o.group AND m.component <> o.component"))
+    return both.select(F.greatest("m.id", "o.id").alias("a"), F.least("m.id", "o.id").alias("b")).distinct()
 
 
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
