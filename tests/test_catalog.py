@@ -8,9 +8,10 @@ import pytest
 from compare import connect, differences
 
 import __spark_entry__ as driver
+from tidemill import catalog
 
 SF = "/root/testdata/sf0.001"
-ORACLES = driver.oracle_sql()
+ORACLES = catalog.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -18,13 +19,13 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_query_matches_sql(spark, con, name):
-    assert differences(driver.queries()[name](spark, SF), con, ORACLES[name]) == []
+    assert differences(catalog.queries()[name](spark, SF), con, ORACLES[name]) == []
 
 
 def test_every_query_has_an_oracle():
-    assert set(ORACLES) == set(driver.queries())
+    assert set(ORACLES) == set(catalog.queries()) and set(ORACLES) <= set(driver.queries())
 
 
 def test_every_planned_key_is_registered():

@@ -8,32 +8,32 @@ from pyspark.sql import functions as F
 
 from tidemill.operators import eda
 
-FRAME = [(20, 75, 85, 1), (21, 80, 88, 1), (22, 85, 90, 1), (23, 90, 92, 1), (24, 95, 94, 1), (100, 20, 50, 1)]
-COLUMNS = ["Age", "Marks", "Attendance", "Constant"]
+FRAME = [(3, 30, 4.0, 7), (4, 28, 5.0, 7), (6, 24, 9.0, 7), (7, 22, 8.0, 7), (10, 16, 15.0, 7), (90, 1, 2.0, 7)]
+COLUMNS = ["depth", "light", "load", "site"]
 
 
 @pytest.fixture()
 def frame(spark):
-    return spark.createDataFrame(FRAME, "Age int, Marks int, Attendance int, Constant int")
+    return spark.createDataFrame(FRAME, "depth int, light int, load double, site int")
 
 
 def test_iqr(frame):
-    assert tuple(eda.iqr_bounds(frame, ["Age"]).first()) == ("Age", 21.25, 23.75, 2.5, 17.5, 27.5)
-    assert sorted(r["Age"] for r in eda.iqr_filter(frame, "Age").collect()) == [20, 21, 22, 23, 24]
+    assert tuple(eda.iqr_bounds(frame, ["depth"]).first()) == ("depth", 4.5, 9.25, 4.75, -2.625, 16.375)
+    assert sorted(r["depth"] for r in eda.iqr_filter(frame, "depth").collect()) == [3, 4, 6, 7, 10]
 
 
 def test_feature_selection(frame):
-    clean = eda.iqr_filter(frame, "Age")
-    assert eda.select_features(clean, COLUMNS).columns == ["Age", "Marks", "Attendance"]
-    assert {r[0]: r[2] for r in eda.feature_variance(clean, COLUMNS).collect()}["Constant"] is False
+    clean = eda.iqr_filter(frame, "depth")
+    assert eda.select_features(clean, COLUMNS).columns == ["depth", "light", "load"]
+    assert {r[0]: r[2] for r in eda.feature_variance(clean, COLUMNS).collect()}["site"] is False
 
 
 def test_correlation(frame):
-    got = {(r[0], r[1]): r[2] for r in eda.corr_matrix(eda.iqr_filter(frame, "Age"), COLUMNS).collect()}
+    got = {(r[0], r[1]): r[2] for r in eda.corr_matrix(eda.iqr_filter(frame, "depth"), COLUMNS).collect()}
     assert len(got) == 16
-    assert got["Age", "Marks"] == pytest.approx(1.0)
-    assert got["Constant", "Constant"] is None and got["Age", "Constant"] is None
-    assert got["Marks", "Attendance"] == got["Attendance", "Marks"]
+    assert got["depth", "light"] == pytest.approx(-1.0)
+    assert got["site", "site"] is None and got["depth", "site"] is None
+    assert got["light", "load"] == got["load", "light"]
 
 
 def test_correlation_uses_complete_pairs(spark):
@@ -84,8 +84,15 @@ def test_histogram_last_bin_is_closed(spark):
 
 
 def test_boxplot(frame):
-    row = eda.boxplot_stats(frame, ["Age"]).first()
-    assert tuple(row) == ("Age", 21.25, 22.5, 23.75, 20.0, 24.0, 1)
+    row = eda.boxplot_stats(frame, ["depth"]).first()
+    assert tuple(row) == ("depth", 4.5, 6.5, 9.25, 3.0, 10.0, 1)
+
+
+def test_whiskers_do_not_end_inside_the_box(spark):
+    high = eda.boxplot_stats(spark.createDataFrame([(1,), (1,), (1,), (100,)], "v int"), ["v"]).first()
+    assert (high["q3"], high["whisker_high"], high["outliers"]) == (25.75, 25.75, 1)
+    low = eda.boxplot_stats(spark.createDataFrame([(-1,), (-1,), (-1,), (-100,)], "v int"), ["v"]).first()
+    assert (low["q1"], low["whisker_low"]) == (-25.75, -25.75)
 
 
 def test_profile(spark):

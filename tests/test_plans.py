@@ -7,7 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as driver
+from tidemill import catalog
 from tidemill import storage
 from tidemill.operators import eda, keys, load
 from tidemill.plans import reports, testbed
@@ -23,17 +23,17 @@ def plan(df) -> str:
 PYTHON = {"html_tables"}
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_no_cross_join_and_no_row_python(spark, name):
-    text = plan(driver.queries()[name](spark, SF))
+    text = plan(catalog.queries()[name](spark, SF))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
     assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text
     assert ("MapInPandas" in text) == (name in PYTHON)
 
 
 def test_filters_reach_the_scan(spark):
-    assert "GreaterThan(l_extendedprice,10000.0)" in plan(driver.queries()["filter_gt"](spark, SF))
-    assert "LessThan(o_orderdate" in plan(driver.queries()["historical_split"](spark, SF))
+    assert "GreaterThan(l_extendedprice,10000.0)" in plan(catalog.queries()["filter_gt"](spark, SF))
+    assert "LessThan(o_orderdate" in plan(catalog.queries()["historical_split"](spark, SF))
     events = testbed.table(spark, SF, "events")
     pushed = re.search(r"PushedFilters: \[(.*?)\]", plan(eda.iqr_filter(events, "value"))).group(1)
     assert "GreaterThanOrEqual(value" in pushed and "LessThanOrEqual(value" in pushed
@@ -114,4 +114,4 @@ def test_small_batches_do_not_shuffle_the_target(spark):
 def test_no_unpartitioned_window_over_rows(spark):
     """The fact is numbered by position and dimensions by sorted partitions, never by one task."""
     for name in ("fact_sales", "dim_customer", "dim_product"):
-        assert "Window" not in plan(driver.queries()[name](spark, SF))
+        assert "Window" not in plan(catalog.queries()[name](spark, SF))

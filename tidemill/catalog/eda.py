@@ -105,8 +105,8 @@ def _correlation(a: str, b: str) -> str:
 
 def _box(column: str) -> str:
     return f"""SELECT q.column_name, ROUND(q1, 6) AS q1, ROUND(median, 6) AS median, ROUND(q3, 6) AS q3,
-  (SELECT ROUND(min(CAST({column} AS DOUBLE)), 6) FROM events WHERE {column} BETWEEN q1 - 1.5e0 * (q3 - q1) AND q3 + 1.5e0 * (q3 - q1)) AS whisker_low,
-  (SELECT ROUND(max(CAST({column} AS DOUBLE)), 6) FROM events WHERE {column} BETWEEN q1 - 1.5e0 * (q3 - q1) AND q3 + 1.5e0 * (q3 - q1)) AS whisker_high,
+  (SELECT ROUND(least(q1, min(CAST({column} AS DOUBLE))), 6) FROM events WHERE {column} BETWEEN q1 - 1.5e0 * (q3 - q1) AND q3 + 1.5e0 * (q3 - q1)) AS whisker_low,
+  (SELECT ROUND(greatest(q3, max(CAST({column} AS DOUBLE))), 6) FROM events WHERE {column} BETWEEN q1 - 1.5e0 * (q3 - q1) AND q3 + 1.5e0 * (q3 - q1)) AS whisker_high,
   (SELECT COUNT(*) FROM events WHERE NOT {column} BETWEEN q1 - 1.5e0 * (q3 - q1) AND q3 + 1.5e0 * (q3 - q1)) AS outliers
   FROM ({_quantiles(column, "events")}) q"""
 

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.functions.dates import parse_strict
-from tidemill.plans.testbed import table
+from tidemill.operators.keys import lookup_key
+from tidemill.plans.testbed import table, tables
+from tidemill.plans.warehouse import TABLES, register_views
 from tidemill.sources import files, sinks
 from tidemill.sources.nested import flatten_struct
 from tidemill.storage import scratch_path
@@ -86,7 +88,104 @@ def tolerant_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("merge", F.lit("skipped" if merged is None else "done"))
 
 
+def extract_csv_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as CSV, read with the columns in another order; one segment is a null token."""
+    customers = table(spark, sf_dir, "customer")
+    segment = F.when(F.col("c_mktsegment") == "BUILDING", F.lit("NA")).otherwise(F.col("c_mktsegment"))
+    path = sinks.write_csv(customers.select("c_custkey", "c_name", segment.alias("c_mktsegment")), scratch_path(spark, "columns"))
+    return files.extract_csv(spark, path, "c_mktsegment string, c_custkey bigint, c_name string")
+
+
+def extract_json_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed payloads, one JSON array a file, beside a source that has not landed."""
+    path = _json_arrays(spark, sf_dir)
+    schema = "s_suppkey bigint, s_name string, s_acctbal double"
+    return files.extract_json(spark, path, schema).unionByName(files.extract_json(spark, f"{path}/none", schema))
+
+
+def _json_arrays(spark: SparkSession, sf_dir: str) -> str:
+    """Suppliers as one array for each nation; text files do not add anything to it."""
+    rows = table(spark, sf_dir, "supplier").select("s_nationkey", F.struct("s_suppkey", "s_name", "s_acctbal").alias("s"))
+    arrays = rows.groupBy("s_nationkey").agg(F.to_json(F.collect_list("s")).alias("value"))
+    path = scratch_path(spark, "arrays")
+    arrays.write.mode("overwrite").partitionBy("s_nationkey").text(path)
+    return f"{path}/*"
+
+
+def json_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return files.read_json_array(spark, _json_arrays(spark, sf_dir), "s_suppkey bigint, s_name string, s_acctbal double")
+
+
+def text_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as delimited lines with blanks around the fields; a short line lacks the last one."""
+    lines = table(spark, sf_dir, "part").select(
+        F.concat(
+            F.lit(" "), F.col("p_partkey").cast("string"), F.lit(" ;\t"), "p_brand",
+            F.when(F.col("p_size") > 5, F.concat(F.lit("; "), F.col("p_size").cast("string"), F.lit(" "))).otherwise(""),
+        )
+    )
+    path = scratch_path(spark, "lines")
+    lines.write.mode("overwrite").text(path)
+    return files.read_text_delimited(spark, path, ["part", "brand", "size"], ";")
+
+
+def csv_multi_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers and suppliers in two folders, read as one table."""
+    paths = []
+    for name, short in (("customer", "c"), ("supplier", "s")):
+        key = "c_custkey" if short == "c" else "s_suppkey"
+        rows = table(spark, sf_dir, name).select(F.col(key).alias("id"), F.col(f"{short}_name").alias("name"))
+        paths.append(sinks.write_csv(rows, scratch_path(spark, f"many-{name}")))
+    return files.read_csv(spark, paths, "id bigint, name string")
+
+
+def csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    path = sinks.write_csv(rows, scratch_path(spark, "inferred"))
+    read = files.read_csv(spark, path)
+    return read.withColumn("o_orderkey", F.col("o_orderkey").cast("bigint"))
+
+
+def binary_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of the regions, a file for each, read as bytes."""
+    path = scratch_path(spark, "bytes")
+    rows = table(spark, sf_dir, "region").select("r_regionkey", F.col("r_name").alias("value"))
+    rows.write.mode("overwrite").partitionBy("r_regionkey").text(path)
+    found = files.read_binary(spark, f"{path}/r_regionkey=*/*")
+    key = F.regexp_extract("path", r"r_regionkey=(\d+)", 1).cast("int")
+    return found.select(
+        key.alias("r_regionkey"), "length", F.hex(F.substring("content", 1, F.col("length").cast("int") - 1)).alias("bytes")
+    )
+
+
+def sql_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales by year and segment in SQL over the registered views of the star."""
+    register_views({name: df for name, df in tables(spark, sf_dir).items() if name in TABLES})
+    return spark.sql(
+        """SELECT d.year, c.customer_segment, COUNT(*) AS items, CAST(ROUND(SUM(f.sales), 2) AS DOUBLE) AS sales
+           FROM fact_sales f JOIN dim_date d ON f.order_date_key = d.date_key
+           JOIN dim_customer c ON f.customer_key = c.customer_key GROUP BY d.year, c.customer_segment"""
+    )
+
+
+def null_key_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations looked up by a region key that is NULL for one region on both sides."""
+    hidden = lambda c: F.when(F.col(c) != 2, F.col(c))
+    nations = table(spark, sf_dir, "nation").select("n_name", hidden("n_regionkey").alias("region"))
+    regions = table(spark, sf_dir, "region").select(hidden("r_regionkey").alias("id"), F.col("r_name").alias("found"))
+    return lookup_key(nations, regions, {"region": "id"}, "found")
+
+
 QUERIES = {
+    "extract_csv_columns": extract_csv_columns,
+    "extract_json_payload": extract_json_payload,
+    "json_array": json_array,
+    "text_file": text_file,
+    "csv_multi_file": csv_multi_file,
+    "csv_inferred": csv_inferred,
+    "binary_files": binary_files,
+    "sql_reports": sql_reports,
+    "null_key_lookup": null_key_lookup,
     "csv_roundtrip": csv_roundtrip,
     "csv_latin1": csv_latin1,
     "csv_parse_dates": csv_parse_dates,
@@ -98,6 +197,21 @@ QUERIES = {
 }
 
 ORACLE = {
+    "extract_csv_columns": "SELECT nullif(c_mktsegment, 'BUILDING') AS c_mktsegment, c_custkey, c_name FROM customer",
+    "extract_json_payload": "SELECT s_suppkey, s_name, s_acctbal FROM supplier",
+    "json_array": "SELECT s_suppkey, s_name, s_acctbal FROM supplier",
+    "text_file": """SELECT CAST(p_partkey AS VARCHAR) AS part, p_brand AS brand,
+  CASE WHEN p_size > 5 THEN CAST(p_size AS VARCHAR) END AS size FROM part""",
+    "csv_multi_file": "SELECT c_custkey AS id, c_name AS name FROM customer UNION ALL SELECT s_suppkey, s_name FROM supplier",
+    "csv_inferred": "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders",
+    "binary_files": """SELECT CAST(r_regionkey AS INTEGER) AS r_regionkey, strlen(r_name) + 1 AS length,
+  hex(r_name) AS bytes FROM region""",
+    "sql_reports": """SELECT CAST(year(o_orderdate) AS INTEGER) AS year, c_mktsegment AS customer_segment, COUNT(*) AS items,
+  CAST(ROUND(SUM(CAST(p_retailprice AS DECIMAL(10,2)) * CAST(l_quantity AS INTEGER)), 2) AS DOUBLE) AS sales
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+  JOIN part ON l_partkey = p_partkey GROUP BY 1, 2""",
+    "null_key_lookup": """SELECT n_name, CASE WHEN n_regionkey <> 2 THEN n_regionkey END AS region, r_name AS found
+  FROM nation JOIN region ON n_regionkey = r_regionkey""",
     "csv_roundtrip": "SELECT * FROM documents",
     "csv_latin1": "SELECT * FROM documents",
     "csv_parse_dates": """SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_orderdate END AS shipped,

@@ -13,7 +13,7 @@ DATE_TEXT = "yyyy-MM-dd"
 
 
 def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
+    documents = table(spark, sf_dir, "documents")
     return documents.join(table(spark, sf_dir, "labels"), "doc_id", "left")
 
 
@@ -22,7 +22,7 @@ def missing_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def duplicate_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.duplicate_count(table(spark, sf_dir, "documents").select("text", "lang"))
+    return quality.duplicate_count(table(spark, sf_dir, "documents").unionByName(table(spark, sf_dir, "documents").filter("doc_id % 3 = 0")))
 
 
 def anomaly_range(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,7 +92,7 @@ QUERIES = {
     "clean_text_documents": clean_documents,
 }
 
-_LABELLED = "(SELECT d.doc_id, lang, source, n_chars, quality, toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"
+_LABELLED = "(SELECT d.doc_id, text, lang, source, n_chars, quality, toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"
 # All white space that str.strip() removes, built from code points.
 _SPACE = "||".join(
     f"chr({c})"
@@ -102,10 +102,10 @@ _SPACE = "||".join(
 ORACLE = {
     "missing_report": " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, COUNT(*) - COUNT({c}) AS missing FROM {_LABELLED}"
-        for c in ("doc_id", "lang", "source", "n_chars", "quality", "toxic")
+        for c in ("doc_id", "text", "lang", "source", "n_chars", "quality", "toxic")
     ),
-    "duplicate_count": """SELECT (SELECT COUNT(*) FROM documents) AS rows,
-  (SELECT COUNT(*) FROM documents) - (SELECT COUNT(*) FROM (SELECT DISTINCT text, lang FROM documents)) AS duplicate_rows""",
+    "duplicate_count": """SELECT COUNT(*) AS rows, COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT * FROM documents)) AS duplicate_rows
+  FROM (SELECT * FROM documents UNION ALL SELECT * FROM documents WHERE doc_id % 3 = 0)""",
     "anomaly_range": """SELECT event_id, value, CASE WHEN value IS NULL THEN 'missing'
   WHEN value < 0 OR value > 100 THEN 'anomaly' ELSE 'ok' END AS status
   FROM (SELECT event_id, CASE WHEN event_type <> 'click' THEN value END AS value FROM events)""",

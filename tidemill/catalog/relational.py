@@ -35,10 +35,14 @@ def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = table(spark, sf_dir, "lineitem").join(
-        table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")
+    """Sales and number of items for each part with its category: the items are reduced before they are joined."""
+    sales = F.col("l_extendedprice").cast("decimal(12,2)")
+    by_part = table(spark, sf_dir, "lineitem").groupBy("l_partkey").agg(
+        F.sum(sales).alias("sales"), F.count(sales).alias("n")
+    )
+    return by_part.join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")).select(
+        F.col("p_type").alias("category"), "sales", "n"
     )
-    return items.select(F.col("p_type").alias("category"), F.col("l_extendedprice").cast("decimal(12,2)").alias("sales"))
 
 
 def group_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,8 +51,8 @@ def group_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def group_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    means = reports.average_by_category(_sales(spark, sf_dir), "category", "sales")
-    return means.withColumn("average_sales", report_money(F.col("average_sales")))
+    totals = _sales(spark, sf_dir).groupBy("category").agg(F.sum("sales").alias("sales"), F.sum("n").alias("n"))
+    return totals.select("category", F.round(F.col("sales").cast("double") / F.col("n"), 2).alias("average_sales"))
 
 
 def category_sales_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,7 +103,9 @@ def join_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def distinct_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_returnflag", "l_linestatus").distinct()
+    """All columns of the items, each row twice."""
+    items = table(spark, sf_dir, "lineitem")
+    return items.unionByName(items).distinct()
 
 
 def dedupe_first_order(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,7 +123,11 @@ def union_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def historical(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return historical_split(table(spark, sf_dir, "orders"), "o_orderdate", "1998-01-01")[0]
+    """Both halves; pending orders have no date."""
+    dated = F.when(F.col("o_orderstatus") != "P", F.col("o_orderdate"))
+    orders = table(spark, sf_dir, "orders").withColumn("o_orderdate", dated)
+    before, after = historical_split(orders, "o_orderdate", "1998-01-01")
+    return before.withColumn("half", F.lit("history")).unionByName(after.withColumn("half", F.lit("arriving")))
 
 
 QUERIES = {
@@ -161,10 +171,11 @@ ORACLE = {
   CAST(CAST(p_retailprice AS DECIMAL(10,2)) AS DOUBLE) AS price, s_name AS name,
   CAST(CAST(l_quantity AS INTEGER) * CAST(p_retailprice AS DECIMAL(10,2)) AS DOUBLE) AS total_amount
   FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey WHERE l_quantity > 0""",
-    "distinct_rows": "SELECT DISTINCT l_partkey, l_suppkey, l_returnflag, l_linestatus FROM lineitem",
+    "distinct_rows": "SELECT DISTINCT * FROM lineitem",
     "dedupe_keep_first": """SELECT * FROM orders
   QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) = 1""",
     "union_all": """SELECT c_name AS name, 'customer' AS role, c_acctbal AS balance FROM customer
   UNION ALL SELECT s_name, 'supplier', s_acctbal FROM supplier""",
-    "historical_split": "SELECT * FROM orders WHERE o_orderdate < DATE '1998-01-01'",
+    "historical_split": """SELECT *, CASE WHEN o_orderdate < DATE '1998-01-01' THEN 'history' ELSE 'arriving' END AS half
+  FROM (SELECT * REPLACE (CASE WHEN o_orderstatus <> 'P' THEN o_orderdate END AS o_orderdate) FROM orders)""",
 }

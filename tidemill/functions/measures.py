@@ -1,4 +1,4 @@
-"""Sales measures. Money is decimal, so sums do not depend on the order of rows."""
+"""Sales measures. Money is decimal at full scale, so sums do not depend on the order of rows; only reports round."""
 
 from __future__ import annotations
 
@@ -18,11 +18,11 @@ def shipping_performance(delay_days: Column | str) -> Column:
 
 
 def gross_amount(price: Column | str, quantity: Column | str) -> Column:
-    return (_col(price) * _col(quantity)).cast(MONEY)
+    return _col(price) * _col(quantity)
 
 
 def discount_amount(price: Column | str, quantity: Column | str, rate: Column | str) -> Column:
-    return (_col(price) * _col(quantity) * _col(rate)).cast(MONEY)
+    return _col(price) * _col(quantity) * _col(rate)
 
 
 def profit_margin(profit: Column | str, revenue: Column | str) -> Column:

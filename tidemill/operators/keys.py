@@ -128,20 +128,16 @@ def first_versions(df: DataFrame, keys: list[str], attributes: list[str], positi
 def lookup_key(df: DataFrame, dimension: DataFrame, natural: dict[str, str], surrogate: str) -> DataFrame:
     """Add the dimension's surrogate key; a row without a partner gets NULL.
 
-    ``natural`` maps columns of ``df`` to columns of the dimension. Parts of a composite key
-    match null-safely. The dimension should be a written table: its file size then decides
+    ``natural`` maps columns of ``df`` to columns of the dimension. Keys match null-safely: a NULL
+    finds the dimension row whose key is NULL. The dimension should be a written table: its file size then decides
     between a broadcast and a shuffle join.
     """
     side = dimension.select(
         F.col(surrogate), *[F.col(d).alias(f"_nk_{d}") for d in natural.values()]
     )
-    if len(natural) == 1:
-        (left, right), = natural.items()
-        condition = F.col(left) == F.col(f"_nk_{right}")
-    else:
-        condition = reduce(
-            lambda a, b: a & b,
-            [F.col(left).eqNullSafe(F.col(f"_nk_{right}")) for left, right in natural.items()],
-        )
+    condition = reduce(
+        lambda a, b: a & b,
+        [F.col(left).eqNullSafe(F.col(f"_nk_{right}")) for left, right in natural.items()],
+    )
     joined = df.join(side, condition, "left")
     return joined.drop(*[f"_nk_{d}" for d in natural.values()])

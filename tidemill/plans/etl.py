@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +14,7 @@ from tidemill.operators.load import anti_join_new
 from tidemill.plans import reports
 from tidemill.sources import files, sinks
 from tidemill.sources.nested import flatten_struct
-from tidemill.storage import VersionedTables
+from tidemill.storage import VersionedTables, materialize
 
 EMPLOYEE = "id bigint, name string, salary bigint, age int"
 JSON_EMPLOYEE = "id bigint, name string, salary bigint"
@@ -23,13 +25,17 @@ def employee_rules() -> dict:
 
 
 def employees(spark: SparkSession, csv_paths: list[str], store: VersionedTables) -> DataFrame:
-    """CSV files as one table, first row per id (files in name order), valid rows, unseen ids appended.
+    """CSV files as one table, first row per id (files in the order of the list), valid rows, unseen ids appended.
 
     Returns the quarantined rows with the reason.
     """
-    placed = with_source_position(files.read_csv_text(spark, csv_paths))
-    typed = files.typed_columns(placed, EMPLOYEE, keep=SOURCE_POSITION)
-    first = dedupe_keep_first(typed, ["id"], SOURCE_POSITION).drop(*SOURCE_POSITION)
+    listed = [
+        with_source_position(files.read_csv_text(spark, path)).withColumn("listed", F.lit(i))
+        for i, path in enumerate(csv_paths)
+    ]
+    order = ["listed", *SOURCE_POSITION]
+    typed = files.typed_columns(reduce(DataFrame.unionByName, listed), EMPLOYEE, keep=order)
+    first = materialize(dedupe_keep_first(typed, ["id"], order).drop(*order), "employees")
     valid, quarantine = quality.split_valid(first, employee_rules())
     new = anti_join_new(valid, store.read("employees"), ["id"]) if store.exists("employees") else valid
     store.append("employees", new)

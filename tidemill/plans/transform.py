@@ -23,7 +23,7 @@ def sales_measures(df: DataFrame) -> DataFrame:
     """Discount amount, revenue and profit margin."""
     discounted = df.withColumn("discount_amount", measures.discount_amount("price", "quantity", "discount_rate"))
     revenue = measures.gross_amount("price", "quantity") - F.col("discount_amount")
-    with_revenue = discounted.withColumn("revenue", revenue.cast(measures.MONEY))
+    with_revenue = discounted.withColumn("revenue", revenue)
     return with_revenue.withColumn("profit_margin", measures.profit_margin("profit", "revenue"))
 
 

@@ -16,6 +16,7 @@ from tidemill.operators import quality
 from tidemill.operators.keys import dense_key, first_versions, lookup_key
 from tidemill.storage import VersionedTables
 
+# Column names of the star schema, which exports and reports use.
 CUSTOMER = ["customer_city", "customer_state", "customer_country", "customer_segment"]
 PRODUCT = ["product_name", "category_id", "category_name", "department_id", "department_name", "product_price"]
 LOCATION = ["market", "order_city", "order_state", "order_country", "order_region", "latitude", "longitude"]
@@ -117,23 +118,24 @@ def references(tables: dict[str, DataFrame]) -> dict[str, tuple[DataFrame, str]]
 
 
 def build_warehouse(staging: DataFrame, store: VersionedTables) -> dict[str, DataFrame]:
-    """Check dates, write the dimensions, then the fact, and publish it only with complete keys.
+    """Check dates, write the dimensions, then the fact, and publish all six at once with complete keys.
 
-    ``staging`` should be a written table: every dimension reads only its own columns of it.
-    The dimensions do not depend on each other, so their jobs are submitted together.
+    Until then readers see the build before, and after a failed gate as well: keys of one build
+    mean nothing in another. ``staging`` should be a written table: every dimension reads only its
+    own columns of it. The dimensions do not depend on each other, so their jobs are submitted together.
     """
     quality.assert_gate(quality.invalid_dates(staging, DATE_COLUMNS), "invalid dates", "invalid")
     with ThreadPoolExecutor(max_workers=len(DIMENSIONS)) as pool:
         jobs = {
-            name: pool.submit(lambda name=name, build=build: store.replace(name, build(staging)))
+            name: pool.submit(lambda name=name, build=build: store.write_version(name, build(staging)))
             for name, build in DIMENSIONS.items()
         }
-        tables = {name: job.result() for name, job in jobs.items()}
-
-    def complete_keys(written: DataFrame) -> None:
-        quality.assert_gate(quality.missing_keys(written, FACT_KEYS), "missing dimension keys", "missing")
-
-    tables["fact_sales"] = store.replace("fact_sales", fact_sales(staging, tables), gate=complete_keys)
+        written = {name: job.result() for name, job in jobs.items()}
+    tables = {name: df for name, (_, df) in written.items()}
+    written["fact_sales"] = store.write_version("fact_sales", fact_sales(staging, tables))
+    tables["fact_sales"] = written["fact_sales"][1]
+    quality.assert_gate(quality.missing_keys(tables["fact_sales"], FACT_KEYS), "missing dimension keys", "missing")
+    store.publish({name: version for name, (version, _) in written.items()})
     return tables
 
 

@@ -163,7 +163,10 @@ def extract_json(spark: SparkSession, path: str, schema: T.StructType | str) ->
 
 
 def extract_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    return read_or_empty(spark, path, schema, "csv", header=True, escape='"')
+    """A CSV file with a header, columns found by name as in :func:`read_csv`; empty when nothing is there."""
+    if not path_matches(spark, path):
+        return spark.createDataFrame([], schema)
+    return read_csv(spark, path, schema)
 
 
 def merge_if_present(left: DataFrame, right: DataFrame, key: str) -> DataFrame | None:

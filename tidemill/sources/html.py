@@ -17,6 +17,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 TABLE_ROWS_SCHEMA = "table_idx int, row_idx int, is_header boolean, cells array<string>"
 
 ROWS_PER_BATCH = 20_000
+ROW_GROUPS = ("thead", "tbody", "tfoot")
 
 LINK_PATTERN = r'(?is)<a\s[^>]*?href="([^"]*)"'
 TITLE_PATTERN = r"(?is)<title[^>]*>(.*?)</title>"
@@ -26,7 +27,8 @@ class _TableReader(HTMLParser):
     """Collects (table, row, header?, cells). Nested tables are numbered in order of opening.
 
     A cell that spans columns or rows is repeated in each of them, so that the rows of a table
-    line up.
+    line up; a row span ends with its row group. Header rows are those of ``thead``, or without
+    one the leading rows that hold ``th`` cells only.
     """
 
     def __init__(self):
@@ -38,9 +40,15 @@ class _TableReader(HTMLParser):
     def handle_starttag(self, tag, attrs):
         if tag == "table":
             self.stack.append(
-                {"table": self.tables, "next_row": 0, "row": None, "cell": None, "span": (1, 1), "th": True, "held": {}}
-            )
+                {
+                    "table": self.tables, "row": None, "cell": None, "span": (1, 1), "th": True,
+                    "held": {}, "in_head": False, "rows": [],
+                }
+            )
             self.tables += 1
+        elif self.stack and tag in ROW_GROUPS:
+            self._end_group()
+            self.stack[-1]["in_head"] = tag == "thead"
         elif self.stack and tag == "tr":
             self._end_row()
             self.stack[-1].update(row=[], th=True)
@@ -50,7 +58,7 @@ class _TableReader(HTMLParser):
                 top.update(row=[], th=True)
             self._end_cell()
             top["cell"] = []
-            top["span"] = (_span(attrs, "colspan"), _span(attrs, "rowspan"))
+            top["span"] = (_column_span(attrs), _row_span(attrs))
             top["th"] = top["th"] and tag == "th"
 
     def handle_endtag(self, tag):
@@ -60,9 +68,11 @@ class _TableReader(HTMLParser):
             self._end_cell()
         elif tag == "tr":
             self._end_row()
+        elif tag in ROW_GROUPS:
+            self._end_group()
         elif tag == "table":
-            self._end_row()
-            self.stack.pop()
+            self._end_group()
+            self._number(self.stack.pop())
 
     def handle_data(self, data):
         if self.stack and self.stack[-1]["cell"] is not None:
@@ -78,11 +88,22 @@ class _TableReader(HTMLParser):
         top = self.stack[-1]
         self._end_cell()
         if top["row"]:
-            cells = self._spread(top)
-            self.rows.append((top["table"], top["next_row"], top["th"], cells))
-            top["next_row"] += 1
+            top["rows"].append((top["in_head"], top["th"], self._spread(top)))
         top["row"] = None
 
+    def _end_group(self):
+        """No cell reaches beyond its row group."""
+        self._end_row()
+        self.stack[-1].update(held={}, in_head=False)
+
+    def _number(self, table: dict):
+        """Rows of a closed table, now that it is known whether it has a head."""
+        headed = any(in_head for in_head, _, _ in table["rows"])
+        leading = True
+        for number, (in_head, only_th, cells) in enumerate(table["rows"]):
+            leading = leading and only_th
+            self.rows.append((table["table"], number, in_head if headed else leading, cells))
+
     @staticmethod
     def _spread(top: dict) -> list[str]:
         """The cells of the current row with spans filled in; ``held`` are cells from rows above."""
@@ -106,10 +127,20 @@ class _TableReader(HTMLParser):
         return cells
 
 
-def _span(attrs: list[tuple[str, str | None]], name: str) -> int:
-    """A span attribute within the limits of HTML; anything else counts as 1."""
+def _number(attrs: list[tuple[str, str | None]], name: str) -> int | None:
     value = dict(attrs).get(name) or ""
-    return min(max(int(value), 1), 1000) if value.isascii() and value.isdigit() else 1
+    return int(value) if value.isascii() and value.isdigit() else None
+
+
+def _column_span(attrs: list[tuple[str, str | None]]) -> int:
+    """Within the limits of HTML, which are 1 and 1000; anything else counts as 1."""
+    return min(max(_number(attrs, "colspan") or 1, 1), 1000)
+
+
+def _row_span(attrs: list[tuple[str, str | None]]) -> int:
+    """At most HTML's 65534; 0 reaches to the end of the row group, anything else counts as 1."""
+    value = _number(attrs, "rowspan")
+    return 65534 if value == 0 else min(value or 1, 65534)
 
 
 def table_rows(html: str | None) -> list[tuple[int, int, bool, list[str]]]:
@@ -118,7 +149,7 @@ def table_rows(html: str | None) -> list[tuple[int, int, bool, list[str]]]:
     reader.close()
     while reader.stack:
         reader.handle_endtag("table")
-    return reader.rows
+    return sorted(reader.rows, key=lambda row: row[:2])
 
 
 def extract_html_tables(pages: DataFrame, key: str, html: str) -> DataFrame:

@@ -70,7 +70,7 @@ def export_each(
             write(df.observe(written, F.count(F.lit(1)).alias("rows")), f"{out_dir}/{name}")
             audit.append((name, written.get["rows"], len(df.columns), "ok", None))
         except Exception as error:
-            audit.append((name, None, None, "failed", str(error).splitlines()[0][:500]))
+            audit.append((name, None, None, "failed", f"{type(error).__name__}: {error}"))
     return spark.createDataFrame(audit, AUDIT_SCHEMA)
 
 

@@ -6,27 +6,17 @@ that a lost executor never takes an intermediate result with it.
 
 from __future__ import annotations
 
-import tempfile
+import json
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_LOCAL_DIRS: dict[str, str] = {}
-
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can read. A temporary one is made only on local masters."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _LOCAL_DIRS:
-        _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="tidemill-")
-    return _LOCAL_DIRS[app]
+    """The folder every executor can read: ``spark.checkpoint.dir``, else the warehouse."""
+    return (spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
 def filesystem(spark: SparkSession, path: str):
@@ -99,10 +89,12 @@ class VersionedTables:
 
     Parquet has no UPDATE / DELETE / MERGE, and overwriting a path that is being read
     destroys it. A replacement is therefore written beside the old version and becomes
-    visible through one marker file, after its gate has passed.
+    visible through one marker file, after its gate has passed. Tables that belong together are
+    published by one file that names the version of each.
     """
 
     MARKER = "_PUBLISHED"
+    BUILDS = "_builds"
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -112,15 +104,41 @@ class VersionedTables:
         fs, hpath = filesystem(self.spark, f"{self.root}/{name}")
         if not fs.exists(hpath):
             return []
-        found = []
+        found, built = [], {build[name] for build in self._builds() if name in build} if published else set()
         for status in fs.listStatus(hpath):
             label = status.getPath().getName()
             if label.startswith("v") and label[1:].isdigit():
                 marker = f"{self.root}/{name}/{label}/{self.MARKER}"
-                if not published or path_exists(self.spark, marker):
+                if not published or int(label[1:]) in built or path_exists(self.spark, marker):
                     found.append(int(label[1:]))
         return sorted(found)
 
+    def _builds(self) -> list[dict[str, int]]:
+        """Versions by table of every build, oldest first."""
+        fs, folder = filesystem(self.spark, f"{self.root}/{self.BUILDS}")
+        if not fs.exists(folder):
+            return []
+        labels = [s.getPath().getName() for s in fs.listStatus(folder)]
+        numbers = sorted(int(x) for x in labels if x.isdigit())
+        return [json.loads(self.spark.read.text(f"{self.root}/{self.BUILDS}/{n}").first()[0]) for n in numbers]
+
+    def publish(self, versions: dict[str, int]) -> None:
+        """Make written versions current, all at the same moment: by the renaming of one file."""
+        number = len(self._builds()) + 1
+        fs, hidden = filesystem(self.spark, f"{self.root}/{self.BUILDS}/_{uuid.uuid4().hex}")
+        out = fs.create(hidden, True)
+        out.write(bytearray(json.dumps(versions).encode()))
+        out.close()
+        if not fs.rename(hidden, filesystem(self.spark, f"{self.root}/{self.BUILDS}/{number}")[1]):
+            raise RuntimeError(f"another build was published as number {number}")
+
+    def read_together(self, names: list[str]) -> dict[str, DataFrame]:
+        """Tables of one build, also while another is published: the builds are listed once."""
+        builds = [b for b in self._builds() if all(n in b for n in names)]
+        if not builds:
+            raise ValueError(f"no build holds {', '.join(names)}")
+        return {n: self.spark.read.parquet(f"{self.root}/{n}/v{builds[-1][n]}") for n in names}
+
     def exists(self, name: str) -> bool:
         return bool(self._versions(name, published=True))
 
@@ -135,18 +153,22 @@ class VersionedTables:
 
     def replace(self, name: str, df: DataFrame, gate=None, partition_by: list[str] | None = None) -> DataFrame:
         """Write version n+1, run ``gate`` on the written rows, then publish it."""
+        version, written = self.write_version(name, df, partition_by)
+        if gate is not None:
+            gate(written)
+        fs, marker = filesystem(self.spark, f"{self.root}/{name}/v{version}/{self.MARKER}")
+        fs.create(marker, True).close()
+        return written
+
+    def write_version(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> tuple[int, DataFrame]:
+        """Write version n+1 without publishing it."""
         version = max(self._versions(name, published=False), default=0) + 1
         target = f"{self.root}/{name}/v{version}"
         writer = df.write.mode("errorifexists")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(target)
-        written = self.spark.read.parquet(target)
-        if gate is not None:
-            gate(written)
-        fs, marker = filesystem(self.spark, f"{target}/{self.MARKER}")
-        fs.create(marker, True).close()
-        return written
+        return version, self.spark.read.parquet(target)
 
     def vacuum(self, name: str, keep: int = 2) -> list[int]:
         """Drop all but the newest ``keep`` published versions; returns the dropped numbers.
@@ -165,7 +187,11 @@ class VersionedTables:
         return self.read(name) if self.exists(name) else self.replace(name, df)
 
     def append(self, name: str, df: DataFrame) -> DataFrame:
-        """Add files to the current version; existing files are not rewritten."""
+        """Add files to the current version; existing files are not rewritten.
+
+        There is no gate and no new version: a reader may see some of the new files before the
+        others, and a repeated call adds the rows again unless the caller leaves out known keys.
+        """
         if not self.exists(name):
             return self.replace(name, df)
         df.write.mode("append").parquet(self.path(name))

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tidemill.operators.keys import dedupe_keep_first
 from tidemill.operators.load import anti_join_new
+from tidemill.storage import filesystem, materialize
 
 ARRIVAL = "arrival"
 
@@ -54,15 +55,15 @@ def stream_new_arrivals(
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
 
+    loaded: set[int] = set()
+
     def load(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         mine = f"{_stream_id(session, checkpoint)}-{batch_id}"
-        first = dedupe_keep_first(batch, keys, order_by).persist()
+        first = materialize(dedupe_keep_first(batch, keys, order_by), "arrival")
         known = read_target(session, target, schema).filter(F.col(ARRIVAL) != mine)
         anti_join_new(first, known, keys).write.mode("overwrite").parquet(f"{target}/{ARRIVAL}={mine}")
-        first.unpersist()
-
-    from tidemill.storage import filesystem
+        loaded.add(batch_id)
 
     fs, folder = filesystem(spark, target)
     fs.mkdirs(folder)
@@ -74,4 +75,4 @@ def stream_new_arrivals(
         .start()
     )
     query.awaitTermination()
-    return sum(1 for p in query.recentProgress if p["numInputRows"] > 0)
+    return len(loaded)
