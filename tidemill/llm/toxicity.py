@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from tidemill.llm.common import read_table, text_of, worker_state
 
 #: Bounds of the labelled sample that the classifier is fitted on. Every fifth id is never in it.
-TOXIC_ROWS = 2500
-CLEAN_ROWS = 5000
+TOXIC_ROWS = 1500
+CLEAN_ROWS = 3000
 HELD_OUT_OF = 5
 #: A term is kept if chance would hardly separate the labels as it does (root of the likelihood ratio).
 EVIDENCE = 4.5
@@ -56,49 +56,64 @@ def likelihood_root(toxic: int, clean: int, n_toxic: int, n_clean: int) -> float
     return math.copysign(math.sqrt(max(total, 0.0)), toxic / n_toxic - clean / n_clean)
 
 
+def frequent_terms(sets: list[set], least: int) -> set[str]:
+    """Words that ``least`` of the documents have, and stems with a star. A stem is at most as frequent as a shorter one."""
+    counts: Counter = Counter()
+    for words in sets:
+        counts.update(words)
+    terms = {w for w, k in counts.items() if k >= least and len(w) >= STEM_LETTERS[0]}
+    kept = None
+    for length in range(STEM_LETTERS[0], STEM_LETTERS[1] + 1):
+        counts = Counter()
+        for words in sets:
+            counts.update({w[:length] for w in words if len(w) >= length and (kept is None or w[: length - 1] in kept)})
+        kept = {t for t, k in counts.items() if k >= least}
+        if not kept:
+            break
+        terms |= {t + "*" for t in kept}
+    return terms
+
+
+def terms_of(words: set, wanted: set[str]) -> set[str]:
+    """The wanted words and stems of a document."""
+    out = words & wanted
+    for word in words:
+        for length in range(STEM_LETTERS[0], min(len(word), STEM_LETTERS[1]) + 1):
+            stem = word[:length] + "*"
+            if stem not in wanted:
+                break
+            out.add(stem)
+    return out
+
+
 def learn_lexicon(toxic: list[set], clean: list[set]) -> list[tuple[str, bool, float]]:
     """(term, whether it is a stem, weight) that separate the word sets of the two labels."""
     if not toxic or not clean:
         return []
-    n_toxic, n_clean = len(toxic), len(clean)
-    least = max(3, n_toxic // 400)
-    found: list[tuple] = []
-
-    def consider(counts: Counter, others: Counter, stem: bool) -> None:
-        for term, k in counts.items():
-            if k >= least:
-                root = likelihood_root(k, others[term], n_toxic, n_clean)
-                if root >= EVIDENCE:
-                    weight = math.log((k + 0.5) / (n_toxic + 1)) - math.log((others[term] + 0.5) / (n_clean + 1))
-                    found.append((round(root, 9), not stem, len(term), term, weight))
-
-    def count(sets: list[set], wanted=None) -> Counter:
-        out: Counter = Counter()
-        for words in sets:
-            out.update(words if wanted is None else words & wanted)
-        return out
+    wanted = frequent_terms(toxic, max(3, len(toxic) // 400))
+    return choose_terms([terms_of(s, wanted) for s in toxic], [terms_of(s, wanted) for s in clean])
 
-    words = count(toxic)
-    frequent = {w for w, k in words.items() if k >= least and len(w) >= STEM_LETTERS[0]}
-    consider(Counter({w: words[w] for w in frequent}), count(clean, frequent), False)
-    kept = None
-    for length in range(STEM_LETTERS[0], STEM_LETTERS[1] + 1):
-        # a stem is only as frequent as the one that is a letter shorter
-        def starts(sets: list[set], kept=kept, length=length) -> list[set]:
-            return [
-                {w[:length] for w in s if len(w) >= length and (kept is None or w[: length - 1] in kept)} for s in sets
-            ]
 
-        counts = count(starts(toxic))
-        kept = {t for t, k in counts.items() if k >= least}
-        if not kept:
-            break
-        consider(Counter({t: counts[t] for t in kept}), count(starts(clean), kept), True)
+def choose_terms(toxic: list[set], clean: list[set]) -> list[tuple[str, bool, float]]:
+    """The lexicon from the terms of each document: the strongest first, none that a stronger one covers."""
+    n_toxic, n_clean = len(toxic), len(clean)
+    least, counts, others = max(3, n_toxic // 400), Counter(), Counter()
+    for terms in toxic:
+        counts.update(terms)
+    for terms in clean:
+        others.update(terms)
+    found = []
+    for term, k in counts.items():
+        root = likelihood_root(k, others[term], n_toxic, n_clean) if k >= least else 0.0
+        if root >= EVIDENCE:
+            weight = math.log((k + 0.5) / (n_toxic + 1)) - math.log((others[term] + 0.5) / (n_clean + 1))
+            stem = term.endswith("*")
+            found.append((-round(root, 9), stem, -len(term.rstrip("*")), term.rstrip("*"), weight))
     lexicon: list[tuple[str, bool, float]] = []
-    for _, word, _, term, weight in sorted(found, key=lambda f: (-f[0], not f[1], -f[2], f[3])):
-        related = (t for t, stem, _ in lexicon if (stem and term.startswith(t)) or t.startswith(term))
+    for _, stem, _, term, weight in sorted(found):
+        related = (t for t, is_stem, _ in lexicon if (is_stem and term.startswith(t)) or t.startswith(term))
         if next(related, None) is None:
-            lexicon.append((term, not word, weight))
+            lexicon.append((term, stem, weight))
             if len(lexicon) == TERMS:
                 break
     return lexicon
@@ -247,10 +262,9 @@ class Scorer:
 
 def _usual_forms(lexicon: list, clean: list[set]) -> list[str]:
     """Words of clean documents that are only an edit away from a term: those are not misspelled terms."""
-    matcher, seen = Matcher(lexicon), Counter()
-    for words in clean:
-        seen.update(w for w in words if len(w) > 2 and (hit := matcher.find(w)) and hit[0])
-    return sorted(seen)
+    matcher = Matcher(lexicon)
+    words = set().union(*clean) if clean else set()
+    return sorted(w for w in words if len(w) > 2 and (hit := matcher.find(w)) and hit[0])
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.0) -> np.ndarray:
@@ -275,12 +289,14 @@ def fit(texts: list[str], toxic: list[int], n_toxic: int, n_clean: int, folds: i
         share = (n_toxic + 0.5) / (n_toxic + n_clean + 1)
         return {"lexicon": [], "usual": frozenset(), "weights": [0.0] * FEATURES, "bias": math.log(share / (1 - share))}
     sets = [{bare(w) for w in t.split()} for t in texts]
+    bad = [s for s, label in zip(sets, toxic) if label]
+    wanted = frequent_terms(bad, max(3, len(bad) // 600))
+    terms = [terms_of(s, wanted) for s in sets]
     x = np.zeros((len(y), FEATURES))
 
     def lexicon_of(rows) -> tuple:
-        bad, good = ([sets[i] for i in rows if y[i] == label] for label in (1, 0))
-        lexicon = learn_lexicon(bad, good)
-        return lexicon, frozenset(_usual_forms(lexicon, good))
+        lexicon = choose_terms([terms[i] for i in rows if y[i]], [terms[i] for i in rows if not y[i]])
+        return lexicon, frozenset(_usual_forms(lexicon, [sets[i] for i in rows if not y[i]]))
 
     place = np.zeros(len(y), int)  # in its fold; each fold gets its share of both labels
     for label in (0, 1):
