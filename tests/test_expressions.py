@@ -102,3 +102,18 @@ def test_half_cents_round_in_decimal(spark):
 def test_nan_becomes_null(spark):
     df = spark.createDataFrame([(float("nan"),), (1.0,), (None,)], "v double")
     assert [r[0] for r in df.select(measures.nan_to_null("v")).collect()] == [None, 1.0, None]
+
+
+def test_an_hour_that_a_time_zone_leaves_out_is_kept(spark):
+    from tidemill.functions.dates import parse_or_null, parse_strict
+
+    df = spark.createDataFrame([("3/13/2016 2:30",), ("1/2/1969 3:04",), ("soon",), (None,)], "t string")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = df.select(parse_or_null("t", "M/d/yyyy H:mm").cast("string")).collect()
+        strict = df.filter("t LIKE '3%'").select(parse_strict("t", "M/d/yyyy H:mm").cast("string")).first()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert [r[0] for r in got] == ["2016-03-13 02:30:00", "1969-01-02 03:04:00", None, None]
+    assert strict == "2016-03-13 02:30:00"

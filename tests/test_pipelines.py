@@ -122,6 +122,17 @@ def test_run_log(spark):
     ]
 
 
+def test_a_failed_run_leaves_its_log(spark, tmp_path):
+    path = str(tmp_path / "log")
+    with pytest.raises(ValueError), RunAudit(spark, "p", path) as audit:
+        audit.record("extract", spark.range(3))
+        raise ValueError("gate")
+    rows = spark.read.parquet(path).orderBy("step").collect()
+    assert [(r["stage"], r["status"]) for r in rows] == [
+        ("initialised", "ok"), ("extract", "ok"), ("failed: ValueError: gate", "failed"),
+    ]
+
+
 def test_run_log_with_a_warning(spark):
     audit = RunAudit(spark, "p")
     audit.check("rows", 3)

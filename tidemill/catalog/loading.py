@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemill.functions.measures import report_money
 from tidemill.operators import load
+from tidemill.operators.keys import read_with_row_id
+from tidemill.plans import etl
 from tidemill.plans.testbed import table
 from tidemill.storage import VersionedTables, scratch_path
 from tidemill.streaming import arrivals
@@ -94,7 +97,51 @@ def stream_new_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return arrivals.read_target(spark, f"{root}/target", events.schema).drop(arrivals.ARRIVAL)
 
 
+def _ecommerce(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
+    """Items as orders, a third of the recent ones in arriving files together with known ones."""
+    items = read_with_row_id(spark, f"{sf_dir}/lineitem.parquet", "order_item_id").select(
+        F.col("order_item_id").cast("bigint").alias("order_item_id"),
+        F.col("l_orderkey").cast("bigint").alias("order_id"),
+        F.col("l_suppkey").cast("bigint").alias("customer_id"),
+        F.col("l_partkey").cast("bigint").alias("product_id"),
+        F.col("l_quantity").cast("int").alias("quantity"),
+        F.col("l_shipdate").alias("order_date"),
+    )
+    orders = table(spark, sf_dir, "orders")
+    frames = {
+        "customers": table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("customer_id"), F.col("s_name").alias("name")),
+        "products": table(spark, sf_dir, "part").select(
+            F.col("p_partkey").alias("product_id"),
+            F.col("p_type").alias("category"),
+            F.col("p_retailprice").cast("decimal(10,2)").alias("price"),
+        ),
+        "payments": orders.filter("o_orderstatus <> 'P'").select(
+            F.col("o_orderkey").cast("bigint").alias("order_id"), F.col("o_totalprice").alias("amount")
+        ),
+        "orders": items,
+    }
+    root = scratch_path(spark, "ecommerce")
+    # an item that is known already arrives again with another quantity
+    known = items.filter("order_date < DATE '1996-06-01' AND product_id % 7 = 0").withColumn("quantity", F.lit(999))
+    late = items.filter("order_date >= DATE '1996-06-01'").unionByName(known)
+    late.write.mode("overwrite").parquet(f"{root}/arriving")
+    report = etl.ecommerce_run(spark, frames, f"{root}/arriving", items.schema, "1996-06-01", root)
+    return report, root
+
+
+def ecommerce_run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report, _ = _ecommerce(spark, sf_dir)
+    return report.withColumn("total_sales", report_money(F.col("total_sales")))
+
+
+def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, root = _ecommerce(spark, sf_dir)
+    return spark.read.parquet(f"{root}/log").select("step", "stage", "status", "rows", "columns")
+
+
 QUERIES = {
+    "ecommerce_run_report": ecommerce_run_report,
+    "run_log": run_log,
     "anti_join_new": anti_join_new,
     "incremental_append": incremental_append,
     "insert_or_ignore": insert_or_ignore,
@@ -106,6 +153,20 @@ QUERIES = {
 }
 
 ORACLE = {
+    "ecommerce_run_report": """SELECT p_type AS category, CAST(SUM(CAST(l_quantity AS BIGINT)) AS BIGINT) AS total_quantity,
+  CAST(ROUND(SUM(CAST(l_quantity AS INTEGER) * CAST(p_retailprice AS DECIMAL(10,2))), 2) AS DOUBLE) AS total_sales
+  FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_quantity > 0 GROUP BY p_type""",
+    "run_log": """SELECT CAST(step AS INTEGER) AS step, stage, status, rows, CAST(columns AS INTEGER) AS columns FROM (
+  SELECT 0 AS step, 'initialised' AS stage, 'ok' AS status, CAST(NULL AS BIGINT) AS rows, NULL AS columns
+  UNION ALL SELECT 1, 'customers', 'ok', COUNT(*), 2 FROM supplier
+  UNION ALL SELECT 2, 'products', 'ok', COUNT(*), 3 FROM part
+  UNION ALL SELECT 3, 'payments', 'ok', COUNT(*), 2 FROM orders WHERE o_orderstatus <> 'P'
+  UNION ALL SELECT 4, 'history', 'ok', COUNT(*), 7 FROM lineitem WHERE l_quantity > 0 AND l_shipdate < DATE '1996-06-01'
+  UNION ALL SELECT 5, 'orders', 'ok', COUNT(*), 6 FROM lineitem WHERE l_quantity > 0
+  UNION ALL SELECT 6, 'orders without payment', CASE WHEN COUNT(*) = 0 THEN 'PASSED' ELSE 'WARNING' END, COUNT(*), NULL
+    FROM (SELECT DISTINCT l_orderkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderstatus = 'P')
+  UNION ALL SELECT 7, 'finished', CASE WHEN COUNT(*) = 0 THEN 'success' ELSE 'warning' END, NULL, NULL
+    FROM orders WHERE o_orderstatus = 'P' AND o_orderkey IN (SELECT l_orderkey FROM lineitem))""",
     "anti_join_new": f"""SELECT * FROM orders n WHERE o_orderdate >= DATE '{OVERLAP}' AND NOT EXISTS (
   SELECT 1 FROM orders e WHERE e.o_orderdate < DATE '{CUTOFF}' AND e.o_orderkey = n.o_orderkey)""",
     "incremental_append": f"""SELECT * FROM orders WHERE o_orderdate < DATE '{CUTOFF}'

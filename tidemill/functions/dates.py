@@ -42,13 +42,20 @@ def quarter_label(value: Column | str) -> Column:
 
 
 def parse_or_null(value: Column | str, fmt: str) -> Column:
-    """Text to timestamp without time zone; text that does not fit the format becomes NULL."""
-    return F.try_to_timestamp(_col(value), F.lit(fmt)).cast("timestamp_ntz")
+    """Text to timestamp without time zone; text that does not fit the format becomes NULL.
+
+    The text is read as UTC, and the result built from its microseconds, so that an hour which the
+    session's time zone leaves out stays as it is.
+    """
+    moment = F.try_to_timestamp(F.concat(_col(value), F.lit(" +00:00")), F.lit(f"{fmt} xxx"))
+    seconds = (F.unix_micros(moment).cast("decimal(20,0)") / F.lit(1_000_000)).cast("decimal(18,6)")
+    since = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + since
 
 
 def parse_strict(value: Column | str, fmt: str) -> Column:
     """Text to timestamp without time zone; text that does not fit the format raises (ANSI mode)."""
-    return F.to_timestamp(_col(value), fmt).cast("timestamp_ntz")
+    return F.to_timestamp_ntz(_col(value), F.lit(fmt))
 
 
 def calendar_columns(value: Column | str, prefix: str = "") -> dict[str, Column]:

@@ -99,8 +99,8 @@ def dense_key(df: DataFrame, key: str, order_by) -> DataFrame:
 def dedupe_keep_first(df: DataFrame, keys: list[str], order_by) -> DataFrame:
     """One row per key: the first one in the order of ``order_by``.
 
-    ``min_by`` is combined on the map side, so a key that holds a large share of all rows
-    leaves each map task as one row.
+    ``min_by`` of a row is a sort aggregate: every task sorts its rows by key, which is its cost. It is
+    combined on the map side, so a key that holds a large share of all rows leaves each task as one row.
     """
     rest = [c for c in df.columns if c not in keys]
     if not rest:

@@ -6,15 +6,18 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemill.operators import quality
 from tidemill.operators.cleaning import drop_null_rows
 from tidemill.operators.keys import SOURCE_POSITION, dedupe_keep_first, with_source_position
-from tidemill.operators.load import anti_join_new
+from tidemill.operators.load import anti_join_new, historical_split
 from tidemill.plans import reports
+from tidemill.plans.audit import RunAudit
 from tidemill.sources import files, sinks
 from tidemill.sources.nested import flatten_struct
 from tidemill.storage import VersionedTables, materialize
+from tidemill.streaming import arrivals
 
 EMPLOYEE = "id bigint, name string, salary bigint, age int"
 JSON_EMPLOYEE = "id bigint, name string, salary bigint"
@@ -77,6 +80,32 @@ def ecommerce_report(store: VersionedTables) -> DataFrame:
     )
 
 
+def ecommerce_run(
+    spark: SparkSession, tables: dict[str, DataFrame], arriving: str, schema: T.StructType, cutoff: str, root: str
+) -> DataFrame:
+    """Customers, products, payments and orders: cleaned and loaded, orders from history and from files that arrive.
+
+    Orders before ``cutoff`` are the history; the Parquet files below ``arriving`` are streamed after it, and
+    a known order item is ignored. Returns the report over all loaded orders; the run log is ``root/log``.
+    """
+    orders = f"{root}/orders"
+    with RunAudit(spark, "ecommerce", f"{root}/log") as audit:
+        store = VersionedTables(spark, f"{root}/tables")
+        for name in ("customers", "products", "payments"):
+            audit.record(name, store.replace(name, clean_frame(tables[name])))
+        sold = clean_frame(tables["orders"]).filter(F.col("quantity") > 0)
+        arrivals.backfill(historical_split(sold, "order_date", cutoff)[0].select(*schema.names), orders)
+        audit.record("history", arrivals.read_target(spark, orders, schema))
+        arrivals.stream_new_arrivals(
+            spark, arriving, schema, ["order_item_id"], ["order_date", "order_id"], orders, f"{root}/stream"
+        )
+        loaded = arrivals.read_target(spark, orders, schema).drop(arrivals.ARRIVAL)
+        audit.record("orders", loaded)
+        unpaid = loaded.select("order_id").distinct().join(store.read("payments"), "order_id", "left_anti")
+        audit.check("orders without payment", unpaid.count())
+    return reports.category_sales_report(loaded, store.read("products"), "product_id", "quantity", "price", "category")
+
+
 def profiles(users: DataFrame, locations: DataFrame, out_path: str | None = None) -> DataFrame | None:
     """User payload and location file joined on id; None when either side is empty."""
     flat = flatten_struct(users)
