@@ -20,6 +20,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,9 +45,9 @@ OFTEN = 5000
 OPEN, CLOSED, SIGNATURE, KNOWN, SIZE = -2, -1, 0, 1, 2
 
 
-def shingle_set(text: str, words: int) -> np.ndarray:
+def shingle_set(text: str | bytes, words: int) -> np.ndarray:
     """Sorted hashes of the distinct shingles of a text, lower-cased in A-Z. Without words it is empty."""
-    data = np.frombuffer(utf8(text), np.uint8)
+    data = np.frombuffer(utf8(text) if isinstance(text, str) else text, np.uint8)
     starts, ends = word_bounds(data)
     hashes = word_hashes(data, starts, ends, lower=True)
     if not len(hashes):
@@ -241,16 +242,50 @@ def gather(batches):
         yield from pairs(*waiting)
 
 
+MARKED = "id long, kind int, text binary"
+
+
+def packed_texts(batches):
+    """(id, 1, text) with compressed texts."""
+    packer = zstandard.ZstdCompressor(level=1)
+    for batch in batches:
+        ids, texts = batch.column(0), [packer.compress(utf8(t)) for t in batch.column(1).to_pylist()]
+        columns = [ids, pa.array(np.ones(len(ids), np.int32)), pa.array(texts, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["id", "kind", "text"])
+
+
+def only_wanted(batches):
+    """From rows sorted by id and kind: the texts (kind 1) of the ids that have a row of kind 0."""
+    wanted = None
+    for batch in batches:
+        ids, kinds = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+        keep = []
+        for key, kind in zip(ids, kinds):
+            if kind == 0:
+                wanted = key
+            keep.append(kind == 1 and key is not None and key == wanted)
+        yield batch.filter(pa.array(keep, pa.bool_())).select(["id", "text"])
+
+
+def texts_of(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(id, compressed text) of the wanted ids. Both sides are dealt by id, whatever their sizes."""
+    marks = wanted.select("id", F.lit(0).alias("kind"), F.lit(None).cast("binary").alias("text"))
+    both = rows.filter("id IS NOT NULL").mapInArrow(packed_texts, MARKED).union(marks)
+    both = both.repartition("id").sortWithinPartitions("id", "kind")
+    return both.mapInArrow(only_wanted, "id long, text binary")
+
+
 def compare(words: int, num: int, den: int):
     """From (a, salt, b, text) sorted so that the texts of a come first with a null b: similar pairs."""
 
     def run(batches):
+        unpack = zstandard.ZstdDecompressor()
         group, pivots, linked = None, [], []
         for batch in batches:
             for a, salt, b, text in zip(*(c.to_pylist() for c in batch.columns)):
                 if (a, salt) != group:
                     group, pivots = (a, salt), []
-                elements = shingle_set(text, words)
+                elements = shingle_set(unpack.decompress(text), words)
                 if b is None:
                     pivots.append(elements)
                     continue
@@ -287,9 +322,10 @@ def elements_of(words: int):
     """From (id, text): every shingle hash of it."""
 
     def run(batches):
+        unpack = zstandard.ZstdDecompressor()
         for batch in batches:
             for key, text in zip(*(c.to_pylist() for c in batch.columns)):
-                e = shingle_set(text, words).view(np.int64)
+                e = shingle_set(unpack.decompress(text), words).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(e), pa.array(np.full(len(e), key))], ["e", "id"])
 
     return run
@@ -387,7 +423,7 @@ def jaccard_components(
     pairs = tagged.filter(F.col("kind") < SIGNATURE).groupBy("a", "b")
     pairs = materialize(pairs.agg(F.sum("n").alias("shared"), F.min("kind").alias("kind")), "jaccard-candidates")
     wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    texts = materialize(rows.join(wanted, "id", "left_semi"), "jaccard-texts")
+    texts = materialize(texts_of(rows, wanted), "jaccard-texts")
 
     # first every document with the one that it shares most signatures with, then what is still apart
     best = pairs.groupBy("a").agg(F.max_by("b", F.struct("shared", -F.col("b"))).alias("b"))
