@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.functions.dates import parse_or_null
 from tidemill.operators import cleaning, quality
 from tidemill.plans.testbed import table
 

@@ -17,8 +17,9 @@ def _order(order_by) -> list[Column]:
 def _number(df: DataFrame, group: list[str], position: str, key: str) -> DataFrame:
     """Keys 1..n: groups in their order, and rows by their consecutive position in the group.
 
-    Only one row per group (a file or a file split) is aggregated, ordered and joined back;
-    the rows themselves are neither sorted nor shuffled.
+    Only one row per group (a file or a file split) is aggregated, ordered and joined back. It is
+    joined on a hash of the group, which is checked to be unique, so that a broadcast of the default
+    size holds more than a million groups; until then the rows are neither sorted nor shuffled.
     """
     sizes = df.groupBy(*group).agg(
         F.count(F.lit(1)).alias("_rows"), F.min(position).alias("_first"), F.max(position).alias("_last")
@@ -29,9 +30,12 @@ def _number(df: DataFrame, group: list[str], position: str, key: str) -> DataFra
     )
     if not offsets.filter("_last - _first + 1 <> _rows").isEmpty():
         raise ValueError("row positions have gaps: number the rows before filtering them")
-    side = broadcast_if_small(offsets.select(*group, (F.col("_before") - F.col("_first") + 1).alias("_shift")))
+    shifts = offsets.select(F.xxhash64(*group).alias("_group"), (F.col("_before") - F.col("_first") + 1).alias("_shift"))
+    if not shifts.groupBy("_group").count().filter("count > 1").isEmpty():
+        raise ValueError("two groups share a hash: read one of them under another name")
     kept = [c for c in df.columns if c not in group and c != position]
-    return df.join(side, group).select((F.col(position) + F.col("_shift")).alias(key), *kept)
+    numbered = df.withColumn("_group", F.xxhash64(*group)).join(broadcast_if_small(shifts), "_group")
+    return numbered.select((F.col(position) + F.col("_shift")).alias(key), *kept)
 
 
 def read_with_row_id(spark: SparkSession, path: str, key: str = "row_id") -> DataFrame:
