@@ -124,9 +124,11 @@ def union_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def historical(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both halves; pending orders have no date."""
-    dated = F.when(F.col("o_orderstatus") != "P", F.col("o_orderdate"))
-    orders = table(spark, sf_dir, "orders").withColumn("o_orderdate", dated)
-    before, after = historical_split(orders, "o_orderdate", "1998-01-01")
+    orders = table(spark, sf_dir, "orders")
+    dated = orders.filter("o_orderstatus <> 'P'")
+    undated = orders.filter("o_orderstatus = 'P'").withColumn("o_orderdate", F.lit(None).cast("timestamp_ntz"))
+    halves = [historical_split(part, "o_orderdate", "1998-01-01") for part in (dated, undated)]
+    before, after = (first.unionByName(second) for first, second in zip(*halves))
     return before.withColumn("half", F.lit("history")).unionByName(after.withColumn("half", F.lit("arriving")))
 
 
