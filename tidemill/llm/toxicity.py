@@ -74,15 +74,15 @@ def frequent_terms(sets: list[set], least: int) -> set[str]:
     return terms
 
 
-def terms_of(words: set, wanted: set[str]) -> set[str]:
-    """The wanted words and stems of a document."""
-    out = words & wanted
+def terms_of(words: set, wanted: dict[str, str]) -> set[str]:
+    """The wanted words and stems of a document; documents share the strings that ``wanted`` holds."""
+    out = {wanted[w] for w in words if w in wanted}
     for word in words:
         for length in range(STEM_LETTERS[0], min(len(word), STEM_LETTERS[1]) + 1):
             stem = word[:length] + "*"
             if stem not in wanted:
                 break
-            out.add(stem)
+            out.add(wanted[stem])
     return out
 
 
@@ -90,7 +90,7 @@ def learn_lexicon(toxic: list[set], clean: list[set]) -> list[tuple[str, bool, f
     """(term, whether it is a stem, weight) that separate the word sets of the two labels."""
     if not toxic or not clean:
         return []
-    wanted = frequent_terms(toxic, max(3, len(toxic) // 400))
+    wanted = {t: t for t in frequent_terms(toxic, max(3, len(toxic) // 400))}
     return choose_terms([terms_of(s, wanted) for s in toxic], [terms_of(s, wanted) for s in clean])
 
 
@@ -288,9 +288,11 @@ def fit(texts: list[str], toxic: list[int], n_toxic: int, n_clean: int, folds: i
     if not len(y) or y.min() == y.max():
         share = (n_toxic + 0.5) / (n_toxic + n_clean + 1)
         return {"lexicon": [], "usual": frozenset(), "weights": [0.0] * FEATURES, "bias": math.log(share / (1 - share))}
-    sets = [{bare(w) for w in t.split()} for t in texts]
+    pool: dict[str, str] = {}
+    sets = [{pool.setdefault(b, b) for b in map(bare, t.split())} for t in texts]
+    del pool
     bad = [s for s, label in zip(sets, toxic) if label]
-    wanted = frequent_terms(bad, max(3, len(bad) // 600))
+    wanted = {t: t for t in frequent_terms(bad, max(3, len(bad) // 600))}
     terms = [terms_of(s, wanted) for s in sets]
     x = np.zeros((len(y), FEATURES))
 
