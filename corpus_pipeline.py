@@ -27,8 +27,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of equal texts. Rows are told apart by their place in the files read."""
-    rows = docs.withColumn(ROW, F.monotonically_increasing_id())
+    """One row of each group of equal texts. Rows are told apart by a number that is written once.
+
+    Made anew by each scan, the number would change with the splits, which follow the cores there are.
+    """
+    rows = materialize(docs.withColumn(ROW, F.monotonically_increasing_id()), "pipeline-rows")
     kept = exact_dedup(rows, row_col=ROW).filter("kept").select(ROW)
     return rows.join(kept, ROW, "left_semi").drop(ROW)
 

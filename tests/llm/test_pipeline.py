@@ -8,6 +8,7 @@ from helpers import docs, words
 from test_ngram_join import brute as near_groups
 
 import corpus_pipeline
+from tidemill.llm import exact_dedup
 from tidemill.llm import toxicity as tx
 from tidemill.storage import materialize
 
@@ -81,3 +82,26 @@ def test_empty_corpus(spark, tmp_path):
     docs(spark, []).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_copies_when_splits_move_between_jobs(spark, tmp_path, monkeypatch):
+    """As when executors are lost or added: later scans of the same files are split otherwise."""
+    rows = [(i, words(f"d{i % 60}_", 30)) for i in range(90)]
+    docs(spark, rows).coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    frame, settings = spark.read.parquet(f"{tmp_path}/documents.parquet"), {}
+    for key in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
+        settings[key] = spark.conf.get(key)
+
+    def then_split(df, label):
+        out = materialize(df, label)
+        for key in settings:
+            spark.conf.set(key, "1000")
+        return out
+
+    monkeypatch.setattr(exact_dedup, "materialize", then_split)
+    try:
+        kept = corpus_pipeline.drop_copies(spark, frame, str(tmp_path)).collect()
+    finally:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+    assert sorted(r["doc_id"] for r in kept) == list(range(60))
