@@ -117,6 +117,27 @@ def test_labels_with_nulls_and_repeats(spark):
     assert tx.toxicity(frame, tx.train(frame, nothing)).count() == 300
 
 
+def test_terms_outside_the_sample_are_learned(spark):
+    """The lexicon comes from all labelled rows, each id once, also where the regression takes few of them."""
+    rows, labels = [], []
+    for i in range(1200):
+        rare = " seldom" if i % 40 == 0 else ""
+        rows += [(i, ("horrid vile" + rare if i % 4 == 0 else "") + " ".join(f" w{(i * 7 + k) % 90}" for k in range(20)))] * (1 + i % 2)
+        labels.append((i, 1, int(i % 4 == 0)))
+    labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model = tx.train(docs(spark, rows), labels, toxic_rows=40, clean_rows=80)
+    assert {t for t, _, _ in model["lexicon"]} >= {"horrid", "vile", "seldom"}
+    scorer = tx.Scorer(model)
+    assert scorer.scores(["w1 w2 seldom w3"])[0] > scorer.scores(["w1 w2 w3"])[0]
+
+
+def test_lexicon_has_no_limit_of_terms():
+    terms = [f"{chr(97 + i // 26)}{chr(97 + i % 26)}q" for i in range(400)]
+    toxic = [{t} for t in terms for _ in range(30)]
+    clean = [{"fine"}] * 30_000
+    assert len(tx.choose_terms(toxic, clean)) == 400
+
+
 def test_held_out_accuracy(spark):
     """On the largest table of this kind: most toxic documents are found, hardly a clean one is."""
     path = "/root/testdata/sf0.1"

@@ -12,26 +12,32 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Iterable
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.llm.common import read_table, text_of, worker_state
+from tidemill.storage import broadcast_if_small, materialize
 
-#: Bounds of the labelled sample that the classifier is fitted on. Every fifth id is never in it.
-TOXIC_ROWS = 1500
-CLEAN_ROWS = 3000
+#: Bounds of the labelled sample that the regression is fitted on; the lexicon is counted from all
+#: labelled rows. Every fifth id is in neither.
+TOXIC_ROWS = 2500
+CLEAN_ROWS = 5000
+FOLDS = 3
 HELD_OUT_OF = 5
 #: A term is kept if chance would hardly separate the labels as it does (root of the likelihood ratio).
 EVIDENCE = 4.5
-TERMS = 300
 STEM_LETTERS = (3, 12)
 #: Terms of so many letters may have one, or two, letters wrong.
 ONE_EDIT, TWO_EDITS = 5, 10
 WINDOW = 8
 KNOWN_WORDS = 400_000
+#: Counts and words that a task remembers before it hands on what it has added up.
+COUNTED = 60_000
 #: Words near a term that speak about it instead of using it, and marks of quotation.
 REPORTING = frozenset("said says called calling wrote writes quote quoted quotes word term phrase".split())
 ADDRESSING = frozenset("you your yours u ur youre you're".split())
@@ -95,27 +101,35 @@ def learn_lexicon(toxic: list[set], clean: list[set]) -> list[tuple[str, bool, f
 
 
 def choose_terms(toxic: list[set], clean: list[set]) -> list[tuple[str, bool, float]]:
-    """The lexicon from the terms of each document: the strongest first, none that a stronger one covers."""
+    """The lexicon from the terms of each document."""
     n_toxic, n_clean = len(toxic), len(clean)
     least, counts, others = max(3, n_toxic // 400), Counter(), Counter()
     for terms in toxic:
         counts.update(terms)
     for terms in clean:
         others.update(terms)
+    return strongest(((t, k, others[t]) for t, k in counts.items() if k >= least), n_toxic, n_clean)
+
+
+def strongest(counts: Iterable[tuple[str, int, int]], n_toxic: int, n_clean: int) -> list[tuple[str, bool, float]]:
+    """The lexicon from (term, toxic, clean documents): the strongest first, none that a stronger one covers."""
     found = []
-    for term, k in counts.items():
-        root = likelihood_root(k, others[term], n_toxic, n_clean) if k >= least else 0.0
+    for term, k, other in counts:
+        root = likelihood_root(k, other, n_toxic, n_clean)
         if root >= EVIDENCE:
-            weight = math.log((k + 0.5) / (n_toxic + 1)) - math.log((others[term] + 0.5) / (n_clean + 1))
+            weight = math.log((k + 0.5) / (n_toxic + 1)) - math.log((other + 0.5) / (n_clean + 1))
             stem = term.endswith("*")
             found.append((-round(root, 9), stem, -len(term.rstrip("*")), term.rstrip("*"), weight))
     lexicon: list[tuple[str, bool, float]] = []
+    stems, begun = set(), set()  # the lexicon's stems, and all that its terms begin with
     for _, stem, _, term, weight in sorted(found):
-        related = (t for t, is_stem, _ in lexicon if (is_stem and term.startswith(t)) or t.startswith(term))
-        if next(related, None) is None:
-            lexicon.append((term, stem, weight))
-            if len(lexicon) == TERMS:
-                break
+        begins = [term[:k] for k in range(len(term) + 1)]
+        if term in begun or not stems.isdisjoint(begins):
+            continue
+        lexicon.append((term, stem, weight))
+        begun.update(begins)
+        if stem:
+            stems.add(term)
     return lexicon
 
 
@@ -282,36 +296,55 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1
     return beta
 
 
-def fit(texts: list[str], toxic: list[int], n_toxic: int, n_clean: int, folds: int = 3) -> dict:
-    """The model. The evidence that the regression sees comes from lexicons learned without the row."""
+def places(y: np.ndarray, folds: int) -> np.ndarray:
+    """The fold of each row; each fold gets its share of both labels."""
+    place = np.zeros(len(y), int)
+    for label in (0, 1):
+        place[y == label] = np.arange((y == label).sum()) % folds
+    return place
+
+
+def fit(
+    texts: list[str], toxic: list[int], n_toxic: int, n_clean: int, folds: int = FOLDS, lexicons: list | None = None
+) -> dict:
+    """The model. The evidence that the regression sees comes from lexicons learned without the row.
+
+    ``lexicons`` are those without each fold and then that of all rows; by default the texts' own.
+    """
     y = np.array(toxic, np.float64)
     if not len(y) or y.min() == y.max():
         share = (n_toxic + 0.5) / (n_toxic + n_clean + 1)
         return {"lexicon": [], "usual": frozenset(), "weights": [0.0] * FEATURES, "bias": math.log(share / (1 - share))}
-    pool: dict[str, str] = {}
-    sets = [{pool.setdefault(b, b) for b in map(bare, t.split())} for t in texts]
-    del pool
-    bad = [s for s, label in zip(sets, toxic) if label]
-    wanted = {t: t for t in frequent_terms(bad, max(3, len(bad) // 600))}
-    terms = [terms_of(s, wanted) for s in sets]
+    place = places(y, folds)
+    in_folds: dict[str, int] = {}  # words of clean rows, with a bit for each fold that has them
+    for i in np.flatnonzero(y == 0):
+        for word in set(map(bare, texts[i].split())):
+            in_folds[word] = in_folds.get(word, 0) | 1 << int(place[i])
+    if lexicons is None:
+        pool: dict[str, str] = {}
+        sets = [{pool.setdefault(b, b) for b in map(bare, t.split())} for t in texts]
+        bad = [s for s, label in zip(sets, toxic) if label]
+        wanted = {t: t for t in frequent_terms(bad, max(3, len(bad) // 600))}
+        terms = [terms_of(s, wanted) for s in sets]
+        lexicons = []
+        for fold in range(folds + 1):
+            rows = np.flatnonzero(place != fold)
+            lexicons.append(choose_terms([terms[i] for i in rows if y[i]], [terms[i] for i in rows if not y[i]]))
     x = np.zeros((len(y), FEATURES))
 
-    def lexicon_of(rows) -> tuple:
-        lexicon = choose_terms([terms[i] for i in rows if y[i]], [terms[i] for i in rows if not y[i]])
-        return lexicon, frozenset(_usual_forms(lexicon, [sets[i] for i in rows if not y[i]]))
+    def with_usual(fold: int) -> tuple:
+        clean = {word for word, bits in in_folds.items() if bits & ~(1 << fold)}
+        return lexicons[fold], frozenset(_usual_forms(lexicons[fold], [clean]))
 
-    place = np.zeros(len(y), int)  # in its fold; each fold gets its share of both labels
-    for label in (0, 1):
-        place[y == label] = np.arange((y == label).sum()) % folds
     for fold in range(folds):
-        lexicon, usual = lexicon_of(np.flatnonzero(place != fold))
+        lexicon, usual = with_usual(fold)
         scorer = Scorer({"lexicon": lexicon, "usual": usual})
         for i in np.flatnonzero(place == fold):
             x[i] = scorer.evidence(texts[i])
     # the sample's labels count as often as among all labelled rows
     weight = np.where(y == 1, n_toxic / y.sum(), n_clean / (len(y) - y.sum()))
     beta = _logistic(x, y, weight / weight.mean())
-    lexicon, usual = lexicon_of(range(len(y)))
+    lexicon, usual = with_usual(folds)
     return {"lexicon": lexicon, "usual": usual, "weights": beta[:-1].tolist(), "bias": float(beta[-1])}
 
 
@@ -319,6 +352,72 @@ def held_out(id_col: str) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % HELD_OUT_OF == 0, F.lit(False))
 
 
+def count_terms(batches):
+    """From (label, fold, text): how many texts of a label and fold have a word or stem; "" is in each."""
+    counts: dict[int, Counter] = {}
+    known: dict[str, tuple] = {}  # a word's terms
+    low, high = STEM_LETTERS
+
+    def added_up() -> pa.RecordBatch:
+        rows = [(t, group, n) for group, own in counts.items() for t, n in own.items()]
+        counts.clear()
+        columns = zip(*rows) if rows else ((), (), ())
+        types = (pa.string(), pa.int32(), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["term", "grp", "n"])
+
+    for batch in batches:
+        for label, fold, text in zip(*(c.to_pylist() for c in batch.columns)):
+            terms = {""}
+            for word in set(text.split()):
+                own = known.get(word)
+                if own is None:
+                    form = bare(word)
+                    own = (form,) if len(form) >= low else ()
+                    own += tuple(form[:k] + "*" for k in range(low, min(len(form), high) + 1))
+                    if len(known) >= COUNTED:
+                        known.clear()
+                    known[word] = own
+                terms.update(own)
+            counts.setdefault(label * (FOLDS + 1) + fold, Counter()).update(terms)
+            if sum(map(len, counts.values())) >= COUNTED:
+                yield added_up()
+    yield added_up()
+
+
+def without_fold(row, fold: int) -> tuple[int, int]:
+    """Toxic and clean documents of a row of counts, without those of a fold. Fold FOLDS are the rows in none."""
+    clean, toxic = (sum(row[f"n{g * (FOLDS + 1) + f}"] for f in range(FOLDS + 1) if f != fold or f == FOLDS) for g in (0, 1))
+    return toxic, clean
+
+
+def learn_lexicons(rows: DataFrame) -> list:
+    """From all labelled (label, fold, text): the lexicons without each fold, then that of all rows."""
+    counted = rows.mapInArrow(count_terms, "term string, grp int, n long").groupBy("term")
+    sums = [F.sum(F.when(F.col("grp") == g, F.col("n")).otherwise(0)).alias(f"n{g}") for g in range(2 * (FOLDS + 1))]
+    counted = materialize(counted.agg(*sums), "toxicity-terms")
+    every = counted.filter("term = ''").first()
+    if every is None:
+        return [[] for _ in range(FOLDS + 1)]
+    totals = [without_fold(every, fold) for fold in range(FOLDS + 1)]
+
+    def telling(frames):
+        for frame in frames:
+            records = frame.to_dict("records")
+            yield frame[[any(_tells(r, fold, totals[fold]) for fold in range(FOLDS + 1)) for r in records]]
+
+    # a term needs three toxic documents at least for the evidence asked
+    toxic = " + ".join(f"n{FOLDS + 1 + f}" for f in range(FOLDS + 1))
+    found = counted.filter(f"term <> '' AND {toxic} >= 3").mapInPandas(telling, counted.schema).collect()
+    return [
+        strongest(((r["term"], *without_fold(r, fold)) for r in found), *totals[fold]) if all(totals[fold]) else []
+        for fold in range(FOLDS + 1)
+    ]
+
+
+def _tells(row, fold: int, total: tuple[int, int]) -> bool:
+    return all(total) and likelihood_root(*without_fold(row, fold), *total) >= EVIDENCE
+
+
 def train(
     docs: DataFrame,
     labels: DataFrame,
@@ -328,22 +427,42 @@ def train(
     toxic_rows: int = TOXIC_ROWS,
     clean_rows: int = CLEAN_ROWS,
 ) -> dict:
-    """Fit on at most ``toxic_rows`` + ``clean_rows`` labelled documents outside the held-out fifth.
+    """Learn the terms of all labelled documents outside the held-out fifth, and fit the regression.
 
-    The sample is the first rows by a hash of the id, so it does not depend on how rows lie. Rows
-    without id or label are left out; of several labels of an id the largest counts. Without
-    labels of both kinds the model knows the share of toxic labels only.
+    The regression, and the words that are no misspellings, take at most ``toxic_rows`` +
+    ``clean_rows`` of them, the first by a hash of the id, so that it does not depend on how rows
+    lie. Rows without id or label are left out; of several labels of an id the largest counts, of
+    several texts the smallest. Without labels of both kinds the model knows the share of toxic
+    labels only.
     """
     known = labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & ~held_out(id_col))
     known = known.groupBy(F.col(id_col).alias("_id")).agg(F.max(F.col(label_col).cast("int")).alias("_label"))
+    known = materialize(known, "toxicity-labels")
     counts = {r["_label"]: r["count"] for r in known.groupBy("_label").count().collect()}
     order = [F.xxhash64("_id"), F.col("_id")]
     sample = known.filter("_label = 1").orderBy(*order).limit(toxic_rows)
     sample = sample.union(known.filter("_label = 0").orderBy(*order).limit(clean_rows))
-    rows = docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("_text"))
-    rows = rows.join(F.broadcast(sample), "_id").select("_id", "_label", "_text").toPandas()
-    rows = rows.drop_duplicates(["_id", "_text"]).sort_values(["_id", "_text"], ignore_index=True)
-    return fit(rows["_text"].tolist(), rows["_label"].tolist(), counts.get(1, 0), counts.get(0, 0))
+    rows = docs.filter(F.col(id_col).isNotNull() & ~held_out(id_col))
+    rows = rows.select(F.col(id_col).alias("_id"), text_of(text_col).alias("_text"))
+    taken = rows.join(F.broadcast(sample), "_id").groupBy("_id", "_label").agg(F.min("_text").alias("_text")).toPandas()
+    taken = taken.sort_values("_id", ignore_index=True)
+    texts, toxic = taken["_text"].tolist(), taken["_label"].tolist()
+    if len(set(toxic)) < 2:
+        return fit(texts, toxic, counts.get(1, 0), counts.get(0, 0))
+    folds = list(zip(taken["_id"].tolist(), places(np.array(toxic), FOLDS).tolist()))
+    kind = known.schema["_id"].dataType.simpleString()
+    folds = known.sparkSession.createDataFrame(folds, f"_id {kind}, _fold int")
+    known = known.join(F.broadcast(folds), "_id", "left").fillna(FOLDS, ["_fold"])
+    known = materialize(known, "toxicity-folds")
+    rows = rows.join(broadcast_if_small(known), "_id")
+    # only the texts of ids that occur more than once are shuffled
+    repeated = rows.groupBy("_id").count().filter("count > 1").select("_id")
+    repeated = broadcast_if_small(materialize(repeated, "toxicity-repeated"))
+    once = rows.join(repeated, "_id", "left_anti").select("_label", "_fold", "_text")
+    first = rows.join(repeated, "_id", "left_semi").groupBy("_id", "_label", "_fold").agg(F.min("_text").alias("_text"))
+    rows = once.union(first.select("_label", "_fold", "_text"))
+    lexicons = learn_lexicons(rows)
+    return fit(texts, toxic, counts.get(1, 0), counts.get(0, 0), lexicons=lexicons)
 
 
 def score(model: dict, text_col: str = "text") -> Column:
