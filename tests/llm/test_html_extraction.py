@@ -42,6 +42,30 @@ def test_pages(page, text):
     assert he.main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f"<article class='post has-sidebar'><h1>H</h1>{P}</article>", f"H\n{TEXT}"),
+        (f"<div id=page class=with-header-menu><h1>H</h1>{P}</div>", f"H\n{TEXT}"),
+        (f"<article class='entry comment-open'>{P}</article>", TEXT),
+        (f"<main><div class='entry comment-open'>{P}</div></main>", TEXT),
+        (f"<article><div class='article-header'><h1>H</h1></div>{P}</article>", f"H\n{TEXT}"),
+        (f"<body><form id=aspnetForm><div class=menu>M</div><div><h1>H</h1>{P}</div></form></body>", f"H\n{TEXT}"),
+        (f"<div class=page-menu><article>{P}</article><div class=related-posts><article>{P}</article></div></div>", TEXT),
+        (f"<div id=a><div>{P * 3}</div><div><p>short part</p></div><div>{P * 3}</div></div>", "\n".join([TEXT] * 3 + ["short part"] + [TEXT] * 3)),
+        (f"<div><article>{P}</article><article><p>brief</p></article><article>{P}</article></div>", f"{TEXT}\nbrief\n{TEXT}"),
+        (f"<article>{P}<section class=comments>{P * 9}</section></article>", TEXT),
+    ],
+)
+def test_names_and_regions_that_mislead(page, text):
+    assert he.main_text(page) == text
+
+
+def test_misleading_names_nested_deep():
+    assert he.main_text("<div class=page-menu>" * 5_000 + "deep") == "deep"
+    assert he.main_text("<div class=page-menu><article></article>" * 2_000 + "<article>deep") == "deep"
+
+
 def test_given_pages_against_their_article():
     """The given pages mark their article; its blocks, found by patterns, must be the result."""
     rows = duckdb.sql("SELECT html FROM '/root/testdata/sf0.01/pages.parquet'").fetchall()
