@@ -4,6 +4,7 @@ import random
 from fractions import Fraction
 
 import numpy as np
+import pandas as pd
 import pytest
 from helpers import awkward, docs, words
 
@@ -88,6 +89,24 @@ def test_sources_come_near_their_targets(spark):
     assert len(mixed) == report["times"].sum()
 
 
+def test_rest_is_taken_from_other_blocks_too():
+    words, docs = np.array([30_000.0, 10_000.0]), np.array([101, 99])
+    whole, cut, left = mx.part(np.array([0, 1]), words, docs, 12_000.0)
+    assert whole.tolist() == [1] and cut.tolist() == [0] and left == 2000
+    sizes = np.array([20_000] + [100] * 100)
+    assert sizes[mx.fill(sizes, left)].sum() == 2000
+
+
+def test_skewed_source_comes_near_its_target():
+    """200 documents in two blocks, one with a document of 20000 words; every order of the blocks."""
+    blocks = pd.DataFrame({"source": ["a", "a"], "block": [0, 1], "words": [30_000, 10_000], "docs": [101, 99]})
+    blocks.attrs["bits"] = 1
+    for seed in range(8):
+        _, draws = mx.plan(blocks, (1.0,), 0.3, 2.0, seed)
+        whole, cut = draws[draws["rest"].isna()], draws[draws["rest"].notna()]
+        assert whole["block"].tolist() == [1] and cut["block"].tolist() == [0] and set(cut["rest"]) == {2000.0}
+
+
 def test_awkward_rows(spark):
     rows = [(i, t, None if n % 3 else "x") for n, (i, t) in enumerate(awkward())]
     report, _ = mx.mix(docs(spark, rows))

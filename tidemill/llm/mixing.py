@@ -4,8 +4,8 @@ Every source is cut into blocks by a hash of the document id. A source's quota,
 its whole blocks as often as the target holds its size, plus as many permuted blocks as the rest
 holds. A tree splits the quotas exactly: each node draws the share of its left half from the
 multivariate hypergeometric distribution. A shard takes the next run of each source's permuted
-blocks, so shards are disjoint, and its rows are shuffled by hash. The one block that the rest
-cuts is resolved by documents.
+blocks, so shards are disjoint, and its rows are shuffled by hash. Blocks that
+do not fit the rest are resolved by documents.
 """
 
 from __future__ import annotations
@@ -30,6 +30,8 @@ SOURCE_BLOCKS = 4096
 MAX_BLOCKS = 1 << 18
 #: Documents that a block has on average at least; few per block would leave the last one too coarse.
 BLOCK_DOCS = 64
+#: Blocks are cut until they have so many documents.
+CUT_DOCS = 1024
 SHARD_WORDS = 4_000_000
 #: Memory for reachable sums when a cut block is resolved exactly.
 SUM_BYTES = 32 << 20
@@ -97,6 +99,23 @@ def fill(sizes: np.ndarray, room: float) -> np.ndarray:
     return taken | (sizes == 0)
 
 
+def part(order: np.ndarray, words: np.ndarray, docs: np.ndarray, rest: float) -> tuple[np.ndarray, np.ndarray, float]:
+    """Of permuted blocks: those taken whole, those whose documents resolve what is left, and that.
+
+    A block that does not fit is passed over for later ones that do. What is left is taken from the
+    first of those passed over, and from more while they have few documents.
+    """
+    whole, cut, left, held = [], [], rest, 0
+    for block in order.tolist():
+        if words[block] <= left:
+            whole.append(block)
+            left -= words[block]
+        elif held < CUT_DOCS:
+            cut.append(block)
+            held += docs[block]
+    return np.array(whole, order.dtype), np.array(cut if left > 0 else [], order.dtype), left
+
+
 def plan(blocks: pd.DataFrame, weights, share: float, cap: float, seed: int) -> tuple[pd.DataFrame, pd.DataFrame]:
     """From (source, block, words, docs): the sources' table and every draw of a block.
 
@@ -115,20 +134,19 @@ def plan(blocks: pd.DataFrame, weights, share: float, cap: float, seed: int) ->
         coarse = 1 << max(0, int(math.log2(max(1, own["docs"].sum() / BLOCK_DOCS))))
         shift = int(math.log2(fine // min(fine, coarse)))
         words = np.bincount(own["block"].to_numpy() >> shift, own["words"].to_numpy(), minlength=fine >> shift)
+        docs = np.bincount(own["block"].to_numpy() >> shift, own["docs"].to_numpy(), minlength=fine >> shift)
         full = int(want // size) if size else 1  # a source without words goes through as it is
         rest, at = (want - full * size if size else 0.0), 0
         for repeat in range(full + 1):
             order = rng.permutation(len(words))
-            whole, left = len(order), None
+            left, cut = None, order[:0]
             if repeat == full:
-                run = np.cumsum(words[order])
-                whole = int(np.searchsorted(run, rest, "right"))
-                left = rest - (run[whole - 1] if whole else 0)
-            drawn.append((i, shift, repeat, order[:whole], at, None))
-            at += whole
-            if left is not None and whole < len(order) and left > 0:
-                drawn.append((i, shift, repeat, order[whole : whole + 1], at, left))
-                at += 1
+                order, cut, left = part(order, words, docs, rest)
+            drawn.append((i, shift, repeat, order, at, None))
+            at += len(order)
+            if len(cut):
+                drawn.append((i, shift, repeat, cut, at, left))
+                at += len(cut)
         quotas.append(at)
     shards = max(1, min(1024, math.ceil(sum(goal) / SHARD_WORDS)))
     shares = np.cumsum(split_quotas(np.array(quotas, np.int64), shards, rng), axis=0)
