@@ -7,7 +7,7 @@ import importlib
 #: One module per operator, in the order of their numbers.
 OPERATORS = [
     "token_counts", "substring_dedup", "packing", "warc", "fingerprints", "html_extraction", "exact_dedup", "toxicity",
-    "mixing", "ngram_join", "periodic_runs", "decontamination",
+    "mixing", "ngram_join", "periodic_runs", "token_alignment", "decontamination",
 ]
 
 
