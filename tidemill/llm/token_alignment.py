@@ -28,16 +28,15 @@ from tidemill.storage import materialize
 
 #: A block of documents is closed at so many documents (numbers of 16 bits) or links.
 BLOCK_DOCS = 1 << 14
-BLOCK_LINKS = 3_000_000
+BLOCK_LINKS = 2_000_000
 #: Bytes of text that the tokenizers get at once, and after which a worker forgets the chunks it knows.
 SLICE_BYTES = 2 << 20
-KNOWN_BYTES = 48 << 20
+KNOWN_BYTES = 64 << 20
 #: Links of a group from which its distinct ids are paired instead of its tokens.
 BIG_GROUP = 1 << 20
 
 #: A place where both tokenizers must cut: before a single space or line feed between other characters.
 CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
-IRREGULAR = re.compile(r"\s\s|[^\S \n]|\s\Z")
 PLAIN = re.compile(r"[ \n]\S+")
 
 
@@ -88,7 +87,9 @@ class Aligner:
         whole = " " + text
         if not self.cuts:
             return [whole]
-        return CUT.split(whole) if IRREGULAR.search(whole) else PLAIN.findall(whole)
+        found = PLAIN.findall(whole)
+        # a text that is more than single spaces and line feeds between words takes the slower way
+        return found if sum(map(len, found)) == len(whole) else CUT.split(whole)
 
     def learn(self, chunks: list[str]) -> None:
         """Encode chunks that are not known yet, some at a time."""
@@ -108,12 +109,10 @@ class Aligner:
         # B puts a space before a text: the chunk's own, or one too many before a line feed
         of_b = self.b.encode([c[1:] if c[0] == " " else c for c in chunks], num_threads=1)
         of_b = [ids if c[0] == " " else ids[1:] for c, ids in zip(chunks, of_b)]
-        get_a, get_b = self.bytes_a.__getitem__, self.bytes_b.__getitem__
-        valid = np.array(
-            [b"".join(map(get_a, x)) == r and b"".join(map(get_b, y)) == r for x, y, r in zip(of_a, of_b, raw)], bool
-        )
-        of_a = [x if ok else () for x, ok in zip(of_a, valid)]
-        of_b = [x if ok else () for x, ok in zip(of_b, valid)]
+        valid = self._spelled(self.bytes_a, of_a, raw) & self._spelled(self.bytes_b, of_b, raw)
+        if not valid.all():
+            of_a = [x if ok else () for x, ok in zip(of_a, valid)]
+            of_b = [x if ok else () for x, ok in zip(of_b, valid)]
         n, base = len(chunks), len(self.texts)
         n_a = np.fromiter(map(len, of_a), np.int64, n)
         n_b = np.fromiter(map(len, of_b), np.int64, n)
@@ -137,6 +136,13 @@ class Aligner:
         self.first = np.concatenate((self.first, self.first[-1] + np.cumsum(per_chunk)))
         self.pairs, self.times = np.concatenate((self.pairs, pairs)), np.concatenate((self.times, times))
 
+    @staticmethod
+    def _spelled(table: list[bytes], tokens: list[list[int]], raw: list[bytes]) -> np.ndarray:
+        """Whether each chunk's tokens spell its bytes: of all chunks at once, or of each if one does not."""
+        get = table.__getitem__
+        made = [b"".join(map(get, own)) for own in tokens]
+        return np.ones(len(raw), bool) if made == raw else np.array([x == r for x, r in zip(made, raw)], bool)
+
     def _links(self, a, b, in_a, size_a, size_b, chunk_of) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(chunk, pair, links) of each chunk's distinct pairs; a pair is a's id times B's size plus b's id."""
         begin_a, begin_b = np.cumsum(size_a) - size_a, np.cumsum(size_b) - size_b
@@ -153,7 +159,9 @@ class Aligner:
             pairs.append((ids_a[:, None] * self.size_b + ids_b).ravel())
             times.append((n_a[:, None] * n_b).ravel())
             owner.append(np.full(len(pairs[-1]), chunk_of[g]))
-        return _summed(np.concatenate(owner), np.concatenate(pairs), np.concatenate(times))
+        n_pairs = len(self.bytes_a) * self.size_b
+        keys, times = _summed(np.concatenate(owner) * n_pairs + np.concatenate(pairs), np.concatenate(times))
+        return *np.divmod(keys, n_pairs), times
 
     def _group_texts(self, a, b, in_a, in_b, chunk_of, filled) -> list[str]:
         """``a1,a2|b1;a3|b2,b3`` of each chunk."""
@@ -170,14 +178,11 @@ class Aligner:
     def numbers(self, texts: list[str]) -> list[np.ndarray | None]:
         """The numbers of each text's chunks; None for a text without tokens."""
         cut = [self.chunks(t) if t else [] for t in texts]
-        get = self.known.get
-        found = [list(map(get, chunks)) for chunks in cut]
-        missing = {c for chunks, own in zip(cut, found) if None in own for c, i in zip(chunks, own) if i is None}
-        self.learn(sorted(missing))
-        found = [list(map(get, chunks)) if None in own else own for chunks, own in zip(cut, found)]
+        self.learn(sorted(set(chain.from_iterable(cut)).difference(self.known)))
+        get = self.known.__getitem__
         out: list[np.ndarray | None] = []
-        for text, own in zip(texts, found):
-            row = np.array(own, np.int64)
+        for text, chunks in zip(texts, cut):
+            row = np.fromiter(map(get, chunks), np.int64, len(chunks))
             if not self.valid[row].all():  # let the library have the whole text
                 whole = " " + text
                 if whole not in self.known:
@@ -187,14 +192,14 @@ class Aligner:
         return out
 
 
-def _summed(owner, pairs, times) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct (owner, pair), sorted, with their times added up."""
-    if not len(owner):
-        return owner, pairs, times
-    order = np.lexsort((pairs, owner))
-    owner, pairs, times = owner[order], pairs[order], times[order]
-    new = np.flatnonzero(np.append(True, (owner[1:] != owner[:-1]) | (pairs[1:] != pairs[:-1])))
-    return owner[new], pairs[new], np.add.reduceat(times, new)
+def _summed(keys: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, sorted, with their times added up."""
+    if not len(keys):
+        return keys, times
+    order = np.argsort(keys)
+    keys = keys[order]
+    new = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    return keys[new], np.add.reduceat(times[order], new)
 
 
 def encode_bitmaps(which: np.ndarray, docs: np.ndarray, n_bitmaps: int, n_docs: int) -> pa.Array:
@@ -249,7 +254,8 @@ def postings_of(aligner: Aligner, rows: list[np.ndarray | None]) -> dict[str, np
     count = aligner.first[chunk + 1] - aligner.first[chunk]
     at = np.repeat(aligner.first[chunk] - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
     links = aligner.times[at] * np.repeat(times, count)
-    pair, doc, links = _summed(aligner.pairs[at], np.repeat(doc, count), links)
+    keys, links = _summed(aligner.pairs[at] * len(rows) + np.repeat(doc, count), links)
+    pair, doc = np.divmod(keys, len(rows))
     new = np.append(True, pair[1:] != pair[:-1])
     number, distinct = np.cumsum(new) - 1, pair[new]
     found = []
