@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemill.operators import eda
+from tidemill.operators import eda, quantiles
 
 FRAME = [(3, 30, 4.0, 7), (4, 28, 5.0, 7), (6, 24, 9.0, 7), (7, 22, 8.0, 7), (10, 16, 15.0, 7), (90, 1, 2.0, 7)]
 COLUMNS = ["depth", "light", "load", "site"]
@@ -61,6 +61,34 @@ def test_quantiles_equal_brute_force(spark, seed):
             assert got[name][p] == pytest.approx(float(np.quantile(values, p)), rel=1e-12)
 
 
+def test_quantiles_down_to_the_last_bit(spark):
+    """Neighbouring doubles, both signs, both zeros, infinities and numbers below the normal range."""
+    near = [1.0]
+    for _ in range(300):
+        near.append(float(np.nextafter(near[-1], 2)))
+    edge = [-np.inf, -1e300, -5.0, -5e-324, -0.0, 0.0, 0.0, 5e-324, 1e-308, 7.0, np.inf] * 3
+    rows = [(near[(7 * i) % 301], -near[(11 * i) % 301], float(edge[i % 33])) for i in range(301 * 33)]
+    df = spark.createDataFrame(rows, "a double, b double, c double").repartition(5)
+    probabilities = [0.0, 1 / 3, 0.5, 0.77, 1.0]
+    got = eda.exact_quantiles(df, ["a", "b", "c"], probabilities)
+    for i, name in enumerate("abc"):
+        ordered = sorted(r[i] for r in rows)
+        for p in probabilities:
+            place = (len(ordered) - 1) * p
+            low, high = ordered[int(np.floor(place))], ordered[int(np.ceil(place))]
+            expected = low if low == high else low + (high - low) * (place - np.floor(place))
+            assert got[name][p] == expected
+
+
+def test_quantiles_do_not_exchange_values(spark, monkeypatch):
+    """Tasks send buckets: far fewer rows than there are values. Held buckets are added up before they pass a bound."""
+    monkeypatch.setattr(quantiles, "HELD_BUCKETS", 100)
+    df = spark.range(200_000).select((F.col("id") % 1000 / 7).alias("v")).repartition(4)
+    rows = df.mapInArrow(quantiles._counter([None], 48), quantiles.BUCKETS)
+    assert rows.count() < 4 * 250
+    assert eda.exact_quantiles(df, ["v"], [0.25])["v"][0.25] == pytest.approx(np.quantile(np.arange(1000) / 7, 0.25), abs=0.2)
+
+
 def test_quantiles_of_nothing(spark):
     df = spark.createDataFrame([(None,)], "a double")
     assert eda.exact_quantiles(df, ["a"], [0.5]) == {"a": {0.5: None}}

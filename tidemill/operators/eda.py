@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import math
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemill.functions.measures import nan_to_null
+from tidemill.operators import quantiles
 from tidemill.operators.cleaning import columns_of_type, quoted
 
 
@@ -20,78 +20,9 @@ def _number(column: str) -> Column:
     return nan_to_null(F.col(quoted(column)).cast("double"))
 
 
-#: Accuracy of the approximate quantiles that bracket a wanted rank: the error is one in so many rows.
-ACCURACY = 10_000
-
-
 def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float]) -> dict[str, dict[float, float]]:
-    """Exact quantiles with linear interpolation, for all columns together.
-
-    A first scan finds approximate quantiles a little below and above each wanted one. A second scan
-    counts the values under each bracket and, for those inside, the copies of every value; the wanted
-    ranks are among these few. A rank outside its bracket, which the approximation allows, is looked for
-    again in a wider one. So two scans are usual and the values are never shuffled as a whole.
-    """
-    typed = {c: _number(c) for c in columns}
-    totals = df.agg(*[F.count(v).alias(c) for c, v in typed.items()]).first() if columns else []
-    size = dict(zip(columns, totals))
-    ranks = {
-        (c, rank)
-        for c in columns
-        for p in (probabilities if size[c] else [])
-        for rank in (math.floor((size[c] - 1) * p), math.ceil((size[c] - 1) * p))
-    }
-    found: dict[tuple[str, int], float] = {}
-    slack = 3.0 / ACCURACY
-    while missing := sorted(ranks - set(found)):
-        found |= _search(df, typed, size, missing, slack)
-        slack *= 10
-    result: dict[str, dict[float, float]] = {}
-    for c in columns:
-        result[c] = dict.fromkeys(probabilities)
-        for p in probabilities if size[c] else []:
-            place = (size[c] - 1) * p
-            low, high = found[c, math.floor(place)], found[c, math.ceil(place)]
-            result[c][p] = low + (high - low) * (place - math.floor(place))
-    return result
-
-
-def _search(df: DataFrame, typed: dict[str, Column], size: dict[str, int], ranks: list, slack: float) -> dict:
-    """Values of those (column, rank) that are inside their bracket."""
-    around = {}
-    for c, rank in ranks:
-        at = rank / max(1, size[c] - 1)
-        around[c, rank] = (max(0.0, at - slack), min(1.0, at + slack))
-    ends = df.agg(
-        *[F.percentile_approx(typed[c], list(around[c, rank]), ACCURACY).alias(f"b{i}") for i, (c, rank) in enumerate(ranks)]
-    ).first()
-    brackets = []
-    for i, (c, rank) in enumerate(ranks):
-        low, high = ends[f"b{i}"]
-        # the ends of the column are exact bounds of its first and last ranks
-        brackets.append((None if around[c, rank][0] == 0 else low, None if around[c, rank][1] == 1 else high))
-
-    def inside(value: Column, low, high) -> Column:
-        test = value.isNotNull()
-        test = test & (value >= low) if low is not None else test
-        return test & (value <= high) if high is not None else test
-
-    cells = []
-    for i, ((c, _), (low, high)) in enumerate(zip(ranks, brackets)):
-        value = typed[c]
-        here = F.when(inside(value, low, high), value)
-        below = (value < low) if low is not None else F.lit(False)
-        cells.append(F.struct(F.lit(i).alias("i"), here.alias("value"), F.coalesce(below, F.lit(False)).alias("below")))
-    # rows below a bracket leave one count per task, those inside one row per value
-    rows = df.select(F.inline(F.array(*cells))).filter("value IS NOT NULL OR below")
-    counts = rows.groupBy("i", "value").agg(F.count(F.lit(1)).alias("n"))
-    upto = F.sum("n").over(Window.partitionBy("i").orderBy(F.col("value").asc_nulls_first()))
-    places = counts.withColumn("upto", upto)
-    wanted = F.array(*[F.lit(rank).cast("long") for _, rank in ranks])
-    hit = places.withColumn("rank", F.get(wanted, F.col("i"))).filter(
-        "value IS NOT NULL AND upto > rank AND upto - n <= rank"
-    )
-    return {ranks[r["i"]]: r["value"] for r in hit.collect()}
+    """Exact quantiles with linear interpolation, for all columns together (see :mod:`tidemill.operators.quantiles`)."""
+    return quantiles.exact_quantiles(df, {c: _number(c) for c in columns}, probabilities)
 
 
 BOUNDS_SCHEMA = "column_name string, q1 double, q3 double, iqr double, lower double, upper double"
