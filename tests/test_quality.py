@@ -18,12 +18,6 @@ def test_missing_report(spark):
     assert as_dict(quality.missing_report(df.filter("a = 3"), only_missing=True)) == {}
 
 
-def test_duplicate_count_counts_second_and_later_copies(spark):
-    df = spark.createDataFrame([(1, "x")] * 300 + [(2, None), (2, None), (3, "y")], "a int, b string")
-    assert tuple(quality.duplicate_count(df.repartition(4)).first()) == (303, 300)
-    assert tuple(quality.duplicate_count(df.limit(0)).first()) == (0, 0)
-
-
 def test_missing_comes_before_anomaly(spark):
     df = spark.createDataFrame([("85",), ("",), ("-5",), ("105",), (None,), ("x",), ("0",), ("100",)], "m string")
     got = [r[0] for r in df.select(quality.text_number_status("m", 0, 100)).collect()]

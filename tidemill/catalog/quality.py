@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.operators import cleaning, quality
+from tidemill.operators import cleaning, copies, quality
 from tidemill.plans.testbed import table
 
 DATE_TEXT = "yyyy-MM-dd"
@@ -21,7 +21,7 @@ def missing_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def duplicate_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.duplicate_count(table(spark, sf_dir, "documents").unionByName(table(spark, sf_dir, "documents").filter("doc_id % 3 = 0")))
+    return copies.duplicate_count(table(spark, sf_dir, "documents").unionByName(table(spark, sf_dir, "documents").filter("doc_id % 3 = 0")))
 
 
 def anomaly_range(spark: SparkSession, sf_dir: str) -> DataFrame:

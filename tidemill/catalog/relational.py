@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.functions.measures import report_money
-from tidemill.operators import quality
+from tidemill.operators import copies, quality
 from tidemill.operators.keys import dedupe_keep_first
 from tidemill.operators.load import historical_split
 from tidemill.plans import etl, reports
@@ -105,7 +105,7 @@ def join_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 def distinct_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All columns of the items, each row twice."""
     items = table(spark, sf_dir, "lineitem")
-    return items.unionByName(items).distinct()
+    return copies.distinct_rows(items.unionByName(items))
 
 
 def dedupe_first_order(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,18 +27,6 @@ def missing_report(df: DataFrame, only_missing: bool = False) -> DataFrame:
     return report.filter("missing > 0") if only_missing else report
 
 
-def duplicate_count(df: DataFrame) -> DataFrame:
-    """How many rows repeat an earlier row in full: one row, ``rows, duplicate_rows``.
-
-    Copies collapse on the map side, so a large group of copies does not reach one task.
-    """
-    copies = df.groupBy(*[F.col(quoted(c)) for c in df.columns]).agg(F.count(F.lit(1)).alias("_n"))
-    return copies.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"),
-        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicate_rows"),
-    )
-
-
 def range_status(value: Column, low, high, missing: Column | None = None) -> Column:
     """``missing`` before ``anomaly`` before ``ok``."""
     absent = value.isNull() if missing is None else missing
