@@ -27,10 +27,10 @@ def test_row_id_is_dense_over_files(spark, tmp_path):
     assert [r["id"] for r in numbered.orderBy("row_id").collect()] == expected
 
 
-def test_row_id_without_broadcast(spark, tmp_path, monkeypatch):
+def test_row_id_with_a_step_for_each_range(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "t")
     spark.range(100).repartition(3).write.parquet(path)
-    monkeypatch.setattr(keys, "broadcast_if_small", lambda df: storage.broadcast_if_small(df, 0))
+    monkeypatch.setattr(keys, "BROADCAST_BYTES", 0)
     numbered = keys.read_with_row_id(spark, path)
     assert sorted(r[0] for r in numbered.select("row_id").collect()) == list(range(1, 101))
 

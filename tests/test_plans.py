@@ -94,12 +94,20 @@ def test_row_numbers_do_not_shuffle_rows(spark):
     assert "Exchange hashpartitioning" not in plan(keys.read_with_row_id(spark, f"{SF}/lineitem.parquet"))
 
 
-def test_row_numbers_with_many_files_shuffle(spark, monkeypatch):
-    monkeypatch.setattr(keys, "broadcast_if_small", lambda df: storage.broadcast_if_small(df, 0))
+def test_row_numbers_with_many_files_do_not_shuffle_rows(spark, tmp_path, monkeypatch):
+    """More files than one broadcast takes are numbered step by step, and each step reads its own files."""
+    path = str(tmp_path / "items")
+    testbed.table(spark, SF, "lineitem").repartition(23).write.parquet(path)
+    expected = keys.read_with_row_id(spark, path)
+    rows = sorted(map(str, expected.collect()))
+    monkeypatch.setattr(keys, "BROADCAST_BYTES", 5 * 32)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        numbered = keys.read_with_row_id(spark, f"{SF}/lineitem.parquet")
-        assert "SortMergeJoin" in plan(numbered)
+        numbered = keys.read_with_row_id(spark, path)
+        text = plan(numbered)
+        assert "Exchange hashpartitioning" not in text and "SortMergeJoin" not in text
+        assert text.count("BroadcastHashJoin") >= 5
+        assert sorted(map(str, numbered.collect())) == rows
         n = numbered.count()
         assert numbered.agg(F.min("row_id"), F.max("row_id"), F.count_distinct("row_id")).first() == (1, n, n)
     finally:

@@ -3,39 +3,77 @@
 from __future__ import annotations
 
 from functools import reduce
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemill.storage import broadcast_if_small, materialize
+from tidemill.storage import BROADCAST_BYTES, materialize
+
+#: Two long columns and a row's overhead in a broadcast table.
+_OFFSET_BYTES = 32
 
 
 def _order(order_by) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order_by]
 
 
+def _offsets(sizes: DataFrame, group: list[str]) -> tuple[DataFrame, list[tuple]]:
+    """Rows before each group, and for each range of groups (part, groups, first and last group).
+
+    Prefix sums on two levels: the groups are dealt to sorted ranges, each range is added up by itself, and only the
+    totals of the ranges, one number for a shuffle partition, are added up on the driver.
+    """
+    n_ranges = int(sizes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = sizes.repartitionByRange(n_ranges, *group).withColumn("_part", F.spark_partition_id())
+    ranged = materialize(ranged, "row-ranges")
+    name = F.struct(*group)
+    totals = ranged.groupBy("_part").agg(F.sum("_rows"), F.count(F.lit(1)), F.min(name), F.max(name)).collect()
+    totals.sort(key=lambda r: r["_part"])
+    starts = accumulate((r[1] for r in totals), initial=0)
+    rows = [(r["_part"], start) for r, start in zip(totals, starts)]
+    ahead = sizes.sparkSession.createDataFrame(rows, "_part int, _ahead long")
+    inside = Window.partitionBy("_part").orderBy(*group).rowsBetween(Window.unboundedPreceding, -1)
+    # one row for a range, of which there are as many as shuffle partitions
+    before = F.coalesce(F.sum("_rows").over(inside), F.lit(0)) + F.col("_ahead")
+    offsets = ranged.join(F.broadcast(ahead), "_part").withColumn("_before", before)
+    return materialize(offsets, "row-offsets"), [(r["_part"], r[2], r[3], r[4]) for r in totals]
+
+
 def _number(df: DataFrame, group: list[str], position: str, key: str) -> DataFrame:
     """Keys 1..n: groups in their order, and rows by their consecutive position in the group.
 
-    Only one row per group (a file or a file split) is aggregated, ordered and joined back. It is
-    joined on a hash of the group, which is checked to be unique, so that a broadcast of the default
-    size holds more than a million groups; until then the rows are neither sorted nor shuffled.
+    Only one row per group (a file or a file split) is aggregated and joined back, on a hash of the group, which is
+    checked to be unique. The rows are neither sorted nor shuffled: as many consecutive groups as make one bounded
+    broadcast, over a million, are joined with their rows at a time. For files, each such step reads its own files only.
     """
     sizes = df.groupBy(*group).agg(
         F.count(F.lit(1)).alias("_rows"), F.min(position).alias("_first"), F.max(position).alias("_last")
     )
-    before = Window.orderBy(*group).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = materialize(
-        sizes.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0))), "row-offsets"
-    )
+    offsets, ranges = _offsets(sizes, group)
     if not offsets.filter("_last - _first + 1 <> _rows").isEmpty():
         raise ValueError("row positions have gaps: number the rows before filtering them")
-    shifts = offsets.select(F.xxhash64(*group).alias("_group"), (F.col("_before") - F.col("_first") + 1).alias("_shift"))
+    shift = (F.col("_before") - F.col("_first") + 1).alias("_shift")
+    shifts = offsets.select(F.xxhash64(*group).alias("_group"), shift, "_part")
     if not shifts.groupBy("_group").count().filter("count > 1").isEmpty():
         raise ValueError("two groups share a hash: read one of them under another name")
     kept = [c for c in df.columns if c not in group and c != position]
-    numbered = df.withColumn("_group", F.xxhash64(*group)).join(broadcast_if_small(shifts), "_group")
-    return numbered.select((F.col(position) + F.col("_shift")).alias(key), *kept)
+    hashed = df.withColumn("_group", F.xxhash64(*group))
+    steps: list[list[tuple]] = [[]]
+    for one in ranges:
+        if steps[-1] and sum(r[1] for r in [*steps[-1], one]) * _OFFSET_BYTES > BROADCAST_BYTES:
+            steps.append([])
+        steps[-1].append(one)
+    numbered = []
+    for step in steps:
+        rows, own = hashed, shifts
+        if len(steps) > 1:
+            low, high = step[0][2], step[-1][3]
+            rows = rows.filter(F.col(group[0]).between(F.lit(low[0]), F.lit(high[0])))
+            own = own.filter(F.col("_part").between(step[0][0], step[-1][0]))
+        joined = rows.join(F.broadcast(own.drop("_part")), "_group")
+        numbered.append(joined.select((F.col(position) + F.col("_shift")).alias(key), *kept))
+    return reduce(DataFrame.union, numbered)
 
 
 def read_with_row_id(spark: SparkSession, path: str, key: str = "row_id") -> DataFrame:
