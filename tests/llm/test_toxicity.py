@@ -131,6 +131,44 @@ def test_terms_outside_the_sample_are_learned(spark):
     assert scorer.scores(["w1 w2 seldom w3"])[0] > scorer.scores(["w1 w2 w3"])[0]
 
 
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_distributed_counts_give_the_lexicon_of_all_word_sets(spark, monkeypatch, broadcast):
+    """Counted in two steps, with or without a list of terms, and chosen by their beginnings."""
+    if not broadcast:
+        monkeypatch.setattr(tx, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(tx, "COUNTED", 50)
+    monkeypatch.setattr(tx, "KNOWN_BYTES", 4000)
+    rng = random.Random(4)
+    stems = ["mud", "mudd", "grim", "vil", "ok"]
+    rows = []
+    for i in range(1500):
+        label, fold = int(i % 5 == 0), rng.choice([0, 1, 2, 3, 3, 3])
+        words = [f"w{rng.randrange(60)}" for _ in range(12)]
+        if label:
+            words += [rng.choice(stems) + rng.choice(["", "dy", "e", "er", "ish"]) for _ in range(2)]
+        elif rng.random() < 0.05:
+            words.append(rng.choice(stems) + "x")
+        rows.append((label, fold, " ".join(words) + "."))
+    frame = spark.createDataFrame(rows, "a int, b int, c string").repartition(3)
+    found = tx.learn_lexicons(frame)
+    for fold in range(tx.FOLDS + 1):
+        sets = [[], []]
+        for label, own, text in rows:
+            if own != fold or fold == tx.FOLDS:
+                sets[label].append({tx.bare(w) for w in text.split()})
+        wanted = {t: t for t in tx.frequent_terms(sets[1], 3)}
+        expected = tx.choose_terms([tx.terms_of(s, wanted) for s in sets[1]], [tx.terms_of(s, wanted) for s in sets[0]])
+        assert expected and found[fold] == expected
+
+
+def test_known_words_start_anew(model, monkeypatch):
+    rng = random.Random(9)
+    texts = [" ".join(rng.choice([f"w{rng.randrange(300)}", "horrid", '"vile"', "said", "you", "grubbi"]) for _ in range(50)) for _ in range(60)]
+    expected = tx.Scorer(model).scores(texts).tolist()
+    monkeypatch.setattr(tx, "KNOWN_BYTES", 500)
+    assert tx.Scorer(model).scores(texts).tolist() == expected
+
+
 def test_lexicon_has_no_limit_of_terms():
     terms = [f"{chr(97 + i // 26)}{chr(97 + i % 26)}q" for i in range(400)]
     toxic = [{t} for t in terms for _ in range(30)]

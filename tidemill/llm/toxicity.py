@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterable
 
@@ -21,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.llm.common import read_table, text_of, worker_state
-from tidemill.storage import broadcast_if_small, materialize
+from tidemill.storage import BROADCAST_BYTES, broadcast_if_small, byte_size, materialize
 
 #: Bounds of the labelled sample that the regression is fitted on; the lexicon is counted from all
 #: labelled rows. Every fifth id is in neither.
@@ -35,20 +36,26 @@ STEM_LETTERS = (3, 12)
 #: Terms of so many letters may have one, or two, letters wrong.
 ONE_EDIT, TWO_EDITS = 5, 10
 WINDOW = 8
-KNOWN_WORDS = 400_000
-#: Counts and words that a task remembers before it hands on what it has added up.
-COUNTED = 60_000
+#: Bytes of words that a worker remembers before it starts anew, and what a word takes besides its letters.
+KNOWN_BYTES = 48 << 20
+WORD_BYTES = 120
+#: Counts that a task holds before it hands on what it has added up.
+COUNTED = 150_000
 #: Words near a term that speak about it instead of using it, and marks of quotation.
 REPORTING = frozenset("said says called calling wrote writes quote quoted quotes word term phrase".split())
 ADDRESSING = frozenset("you your yours u ur youre you're".split())
 QUOTES = "\"“”„«»‹›‘’'"
 
 EDGES = re.compile(r"^[\W_]+|[\W_]+$")
+COMMON_EDGES = ".,;:!?\"'()-"
 
 
 def bare(word: str) -> str:
     """A word without the punctuation around it, lower-cased."""
     word = word.lower()
+    if word.isalnum():
+        return word
+    word = word.strip(COMMON_EDGES)
     return word if word.isalnum() else EDGES.sub("", word)
 
 
@@ -166,6 +173,7 @@ class Matcher:
         self.ends: list[tuple[int, int] | None] = []
         self.steps: list[dict[str, int]] = []
         self.start = self.state({(0, 0)})
+        self.heads: dict[str, tuple[int, tuple[int, int] | None]] = {}
 
     def state(self, pairs: set) -> int:
         """The number of a state, closed under skipped letters of the trie."""
@@ -202,55 +210,94 @@ class Matcher:
             known[letter] = self.state(after) if after else -1
         return known[letter]
 
-    def find(self, word: str) -> tuple[int, int] | None:
-        """(edits, term) of the nearest term, or None."""
-        state, stem = self.start, None
-        for letter in word:
+    def _walk(self, state: int, stem: tuple[int, int] | None, letters: str) -> tuple[int, tuple[int, int] | None]:
+        """The state after some letters, -1 if no term is near any more, and the last stem passed."""
+        for letter in letters:
             state = self.step(state, letter if letter in self.letters else "")
             if state < 0:
-                return stem
+                break
             stem = self.ends[state] or stem
+        return state, stem
+
+    def find(self, word: str) -> tuple[int, int] | None:
+        """(edits, term) of the nearest term, or None."""
+        head = word[:3]
+        found = self.heads.get(head)
+        if found is None:
+            if len(self.heads) > 200_000:
+                self.heads.clear()
+            found = self.heads[head] = self._walk(self.start, None, head)
+        state, stem = found
+        if state >= 0 and len(word) > 3:
+            state, stem = self._walk(state, stem, word[3:])
+        if state < 0:
+            return stem
         return min(filter(None, (self.accepts[state], stem)), default=None)
 
 
 FEATURES = 6
 
 
+def _traits(word: str, form: str) -> int:
+    """Bits of a word: opens a quotation, closes one, reports speech, addresses a reader."""
+    end = word if word[-1] not in ".,;:!?" else word.rstrip(".,;:!?")
+    closes = end != "" and end[-1] in QUOTES
+    return (word[0] in QUOTES) | closes << 1 | (form in REPORTING) << 2 | (form in ADDRESSING) << 3
+
+
 class Scorer:
-    """Evidence and score of texts. ``model`` is the plain dictionary that :func:`fit` returns."""
+    """Evidence and score of texts. ``model`` is the plain dictionary that :func:`fit` returns.
+
+    What a word is by itself is remembered: whether it was looked up, and for those that match, the match and form.
+    """
 
     def __init__(self, model: dict):
         self.model, self.matcher = model, Matcher(model["lexicon"])
         self.usual = model["usual"]
-        self.known: dict[str, tuple | None] = {}
-
-    def look(self, word: str):
-        known = self.known
-        if word not in known:
-            if len(known) >= KNOWN_WORDS:
-                known.clear()
+        self.seen: set[str] = set()
+        self.held = 0
+        self.hits: dict[str, tuple[int, int, str]] = {}
+        self.traits: dict[str, int] = {}
+
+    def look(self, words: set[str]) -> None:
+        new = words.difference(self.seen)
+        self.held += sum(map(len, new)) + WORD_BYTES * len(new)
+        if self.held > KNOWN_BYTES:
+            self.seen, self.hits, self.traits, self.held, new = set(), {}, {}, 0, words
+        find, usual = self.matcher.find, self.usual
+        for word in new:
             form = bare(word)
-            hit = self.matcher.find(form) if len(form) > 2 else None
-            known[word] = (*hit, form) if hit and not (hit[0] and form in self.usual) else None
-        return known[word]
+            hit = find(form) if len(form) > 2 else None
+            if hit and not (hit[0] and form in usual):
+                self.hits[word] = (*hit, form)
+            if bits := _traits(word, form):
+                self.traits[word] = bits
+        self.seen.update(new)
 
     def matches(self, text: str) -> list[tuple]:
         """(weight, term, edits, whether quoted, whether a reader is addressed, form) of every match."""
-        words, out = text.split(), []
-        look, known = self.look, self.known
-        for i, word in enumerate(words):
-            hit = known[word] if word in known else look(word)
-            if hit is None:
-                continue
-            edits, term, form = hit
-            near = words[max(0, i - WINDOW) : i + WINDOW + 1]
-            at = min(i, WINDOW)
-            opened = any(w[0] in QUOTES for w in near[: at + 1])
-            closed = any(w.rstrip(".,;:!?")[-1:] in QUOTES and w.rstrip(".,;:!?") for w in near[at:])
-            plain = {bare(w) for w in near} if opened and closed or len(near) else set()
-            quoted = (opened and closed) or bool(plain & REPORTING)
+        words = text.split()
+        distinct = set(words)
+        self.look(distinct)
+        hits = self.hits
+        if hits.keys().isdisjoint(distinct):
+            return []
+        traits = self.traits
+        marked = [(i, traits[w]) for i, w in enumerate(words) if w in traits]
+        at = [[i for i, bits in marked if bits >> bit & 1] for bit in range(4)]
+
+        def has(bit: int, low: int, high: int) -> bool:
+            """Whether a word from ``low`` to ``high`` has the trait."""
+            place = bisect_left(at[bit], low)
+            return place < len(at[bit]) and at[bit][place] <= high
+
+        out = []
+        for i in [i for i, word in enumerate(words) if word in hits]:
+            edits, term, form = hits[words[i]]
+            low, high = i - WINDOW, i + WINDOW
+            quoted = has(0, low, i) and has(1, i, high) or has(2, low, high)
             weight = self.model["lexicon"][term][2] / (1 + edits)
-            out.append((weight, term, edits, quoted, bool(plain & ADDRESSING), form))
+            out.append((weight, term, edits, quoted, has(3, low, high), form))
         return out
 
     def evidence(self, text: str) -> list[float]:
@@ -352,36 +399,63 @@ def held_out(id_col: str) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % HELD_OUT_OF == 0, F.lit(False))
 
 
-def count_terms(batches):
-    """From (label, fold, text): how many texts of a label and fold have a word or stem; "" is in each."""
-    counts: dict[int, Counter] = {}
-    known: dict[str, tuple] = {}  # a word's terms
+def count_terms(wanted):
+    """From (label, fold, text): how many texts of a label and fold have a word or stem.
+
+    ``wanted`` is None or a broadcast set of the terms to count.
+    """
     low, high = STEM_LETTERS
 
-    def added_up() -> pa.RecordBatch:
-        rows = [(t, group, n) for group, own in counts.items() for t, n in own.items()]
-        counts.clear()
-        columns = zip(*rows) if rows else ((), (), ())
-        types = (pa.string(), pa.int32(), pa.int64())
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["term", "grp", "n"])
-
-    for batch in batches:
-        for label, fold, text in zip(*(c.to_pylist() for c in batch.columns)):
-            terms = {""}
-            for word in set(text.split()):
-                own = known.get(word)
-                if own is None:
-                    form = bare(word)
-                    own = (form,) if len(form) >= low else ()
-                    own += tuple(form[:k] + "*" for k in range(low, min(len(form), high) + 1))
-                    if len(known) >= COUNTED:
-                        known.clear()
-                    known[word] = own
-                terms.update(own)
-            counts.setdefault(label * (FOLDS + 1) + fold, Counter()).update(terms)
-            if sum(map(len, counts.values())) >= COUNTED:
-                yield added_up()
-    yield added_up()
+    def terms_of_word(word: str, only: set[str] | None) -> tuple:
+        form = bare(word)
+        own = (form,) if len(form) >= low else ()
+        own += tuple(form[:k] + "*" for k in range(low, min(len(form), high) + 1))
+        return own if only is None else tuple(t for t in own if t in only)
+
+    def run(batches):
+        only = None if wanted is None else wanted.value
+        counts: dict[int, Counter] = {}
+        seen, held = set(), 0
+        known: dict[str, tuple] = {}  # the terms of words that have any
+
+        def added_up() -> pa.RecordBatch:
+            rows = [(t, group, n) for group, own in counts.items() for t, n in own.items()]
+            counts.clear()
+            columns = zip(*rows) if rows else ((), (), ())
+            types = (pa.string(), pa.int32(), pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["term", "grp", "n"])
+
+        for batch in batches:
+            for label, fold, text in zip(*(c.to_pylist() for c in batch.columns)):
+                words = set(text.split())
+                new = words.difference(seen)
+                held += sum(map(len, new)) + WORD_BYTES * len(new)
+                if held > KNOWN_BYTES:
+                    seen, known, held, new = set(), {}, 0, words
+                for word in new:
+                    if own := terms_of_word(word, only):
+                        known[word] = own
+                        held += 0 if only else 60 * len(own)
+                seen.update(new)
+                terms = set()
+                for word in known.keys() & words:
+                    terms.update(known[word])
+                counts.setdefault(label * (FOLDS + 1) + fold, Counter()).update(terms)
+                if sum(map(len, counts.values())) >= COUNTED:
+                    yield added_up()
+        yield added_up()
+
+    return run
+
+
+GROUPS = 2 * (FOLDS + 1)
+
+
+def _counted(rows: DataFrame, wanted, label: str) -> DataFrame:
+    """Counts by term and group (n0 to n7), written."""
+    counted = rows.mapInArrow(count_terms(wanted), "term string, grp int, n long").groupBy("term")
+    sums = [F.sum(F.when(F.col("grp") == g, F.col("n")).otherwise(0)).alias(f"n{g}") for g in range(GROUPS)]
+    return materialize(counted.agg(*sums), label)
 
 
 def without_fold(row, fold: int) -> tuple[int, int]:
@@ -391,27 +465,62 @@ def without_fold(row, fold: int) -> tuple[int, int]:
 
 
 def learn_lexicons(rows: DataFrame) -> list:
-    """From all labelled (label, fold, text): the lexicons without each fold, then that of all rows."""
-    counted = rows.mapInArrow(count_terms, "term string, grp int, n long").groupBy("term")
-    sums = [F.sum(F.when(F.col("grp") == g, F.col("n")).otherwise(0)).alias(f"n{g}") for g in range(2 * (FOLDS + 1))]
-    counted = materialize(counted.agg(*sums), "toxicity-terms")
-    every = counted.filter("term = ''").first()
-    if every is None:
-        return [[] for _ in range(FOLDS + 1)]
-    totals = [without_fold(every, fold) for fold in range(FOLDS + 1)]
+    """From all labelled (label, fold, text): the lexicons without each fold, then that of all rows.
 
-    def telling(frames):
+    Toxic rows and those of the folds are counted first. More clean rows can only make a term tell less, so the other
+    clean rows are counted for those terms alone that still tell when none of these rows has them.
+    """
+    spark = rows.sparkSession
+    rows = rows.toDF("label", "fold", "text")
+    sizes = {r["label"] * (FOLDS + 1) + r["fold"]: r["count"] for r in rows.groupBy("label", "fold").count().collect()}
+    every = {f"n{g}": sizes.get(g, 0) for g in range(GROUPS)}
+    totals = [without_fold(every, fold) for fold in range(FOLDS + 1)]
+    toxic_or_fold = (F.col("label") == 1) | (F.col("fold") < FOLDS)
+    first = _counted(rows.filter(toxic_or_fold), None, "toxicity-terms")
+    # a term needs three toxic documents at least for the evidence asked
+    toxic = " + ".join(f"n{FOLDS + 1 + f}" for f in range(FOLDS + 1))
+    possible = first.filter(f"{toxic} >= 3").mapInPandas(_telling(totals), first.schema)
+    possible = materialize(possible, "toxicity-possible")
+    n_bytes = possible.agg(byte_size(possible, ["term"])).first()[0]
+    # beyond the size of a measured broadcast all terms are counted, with the same result
+    wanted = None
+    if n_bytes <= BROADCAST_BYTES:
+        wanted = spark.sparkContext.broadcast({r["term"] for r in possible.select("term").collect()})
+    rest = _counted(rows.filter(~toxic_or_fold), wanted, "toxicity-clean-terms")
+    sums = [F.sum(f"n{g}").alias(f"n{g}") for g in range(GROUPS)]
+    both = possible.union(rest.join(possible, "term", "left_semi")).groupBy("term").agg(*sums)
+    telling = both.mapInPandas(_telling(totals), both.schema)
+    # a term is covered only by terms that begin like it, so they are chosen beginning by beginning
+    begun = telling.groupBy(F.substring("term", 1, STEM_LETTERS[0]))
+    kind = "fold int, term string, stem boolean, weight double, strength double"
+    chosen = begun.applyInPandas(_choose(totals), kind).orderBy("fold", F.desc("strength"), "stem", F.desc(F.length("term")), "term")
+    lexicons: list[list] = [[] for _ in range(FOLDS + 1)]
+    for row in chosen.collect():
+        lexicons[row["fold"]].append((row["term"], row["stem"], row["weight"]))
+    return lexicons
+
+
+def _telling(totals: list[tuple[int, int]]):
+    def run(frames):
         for frame in frames:
             records = frame.to_dict("records")
             yield frame[[any(_tells(r, fold, totals[fold]) for fold in range(FOLDS + 1)) for r in records]]
 
-    # a term needs three toxic documents at least for the evidence asked
-    toxic = " + ".join(f"n{FOLDS + 1 + f}" for f in range(FOLDS + 1))
-    found = counted.filter(f"term <> '' AND {toxic} >= 3").mapInPandas(telling, counted.schema).collect()
-    return [
-        strongest(((r["term"], *without_fold(r, fold)) for r in found), *totals[fold]) if all(totals[fold]) else []
-        for fold in range(FOLDS + 1)
-    ]
+    return run
+
+
+def _choose(totals: list[tuple[int, int]]):
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        records, out = frame.to_dict("records"), []
+        for fold, total in enumerate(totals):
+            if all(total):
+                counts = {r["term"]: without_fold(r, fold) for r in records}
+                for term, stem, weight in strongest(((t, *c) for t, c in counts.items()), *total):
+                    strength = round(likelihood_root(*counts[term + "*" * stem], *total), 9)
+                    out.append((fold, term, stem, weight, strength))
+        return pd.DataFrame(out, columns=["fold", "term", "stem", "weight", "strength"])
+
+    return run
 
 
 def _tells(row, fold: int, total: tuple[int, int]) -> bool:
@@ -469,9 +578,11 @@ def score(model: dict, text_col: str = "text") -> Column:
     """The score of a text, 0 to 1; a null text is empty."""
     key = f"toxicity {hash(repr(sorted(model['lexicon'])))} {model['weights']} {model['bias']}"
 
+    sent = SparkSession.active().sparkContext.broadcast(model)
+
     @F.pandas_udf("double")
     def run(texts: pd.Series) -> pd.Series:
-        scorer = worker_state(key, lambda: Scorer(model))
+        scorer = worker_state(key, lambda: Scorer(sent.value))
         return pd.Series(scorer.scores(texts.tolist()), dtype="float64")
 
     return run(text_of(text_col))
