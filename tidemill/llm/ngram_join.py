@@ -5,12 +5,13 @@ two similar sets of it can differ; call it k. The domain of shingle hashes is cu
 parts, so that similar sets agree on a whole part (small sets: on all but one sub-part of a part,
 every choice enumerated). The sum of a part's hashes, with band and part, is a signature.
 
-Sets that share a signature are not compared pair by pair. Each one is compared with the smallest
-document of the signature, and the links found so far join documents to components. Where sets that
-share signatures are still in several components, every pair of different components that may
-be similar is found by prefix filtering (similar sets share one of their rarest shingles) and
-compared as well. So no link between two components is lost, and a group of copies costs one
-comparison each.
+Sets that share a signature are not compared pair by pair. A signature of two documents is settled by
+comparing them. With more documents each one is compared, in a few rounds, with one smallest document
+of its signatures that is not in its component yet, and the links found join components between the
+rounds. Where sets that share signatures are then still in several components, every pair of different
+components that may be similar is found by prefix filtering (similar sets share one of their rarest
+shingles) and compared as well. So no link between two components is lost, a round costs a document
+one comparison, and a group of copies costs one comparison each.
 """
 
 from __future__ import annotations
@@ -38,6 +39,8 @@ ENUMERATED_BELOW = 8
 #: Comparisons with one document that a group takes at most.
 PIVOT_ROWS = 1000
 SLICE_BYTES = 8_000_000
+#: Rounds in which a document is compared with one more smallest document of its signatures.
+ROUNDS = 3
 #: Copies of an element that are told apart when elements are ordered by frequency.
 OFTEN = 5000
 
@@ -366,20 +369,22 @@ def shared_elements(batches):
 
 
 def rare_pairs(members: DataFrame, words: int, num: int, den: int) -> DataFrame:
-    """Pairs of different components that share one of their rarest shingles, from (id, component, major, size, text).
+    """Pairs of different components that share one of their rarest shingles, from the texts as ``version`` numbers.
 
     Similar sets of n elements share at least one of their first n - ceil(num * n / den) + 1 elements
     in any fixed order; rarest first leaves few of them shared. What follows the first shared one on
     either side bounds the intersection. ``major`` marks the members of a group's largest component:
     of two components one is not the largest of the group.
     """
-    rows = members.select("id", "text").mapInArrow(elements_of(words), "e long, id long")
+    sets = members.select("version", "text").distinct()
+    rows = sets.toDF("id", "text").mapInArrow(elements_of(words), "e long, id long")
     rows = rows.repartition("e").sortWithinPartitions("e").mapInArrow(shared_elements, "e long, id long, df long")
     found = rows.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("df", "e"))).alias("found"))
-    known = members.select("id", "component", "major", "size").distinct()
+    known = members.select("version", "id", "component", "major", "size").distinct()
+    found = found.withColumnRenamed("id", "version")
     length = F.col("size") - F.ceil(F.col("size") * num / den) + 1
     room = (length - (F.col("size") - F.size("found"))).cast("int")
-    prefix = found.join(known, "id").filter(room > 0).select(
+    prefix = found.join(known, "version").filter(room > 0).select(
         "id",
         "component",
         "major",
@@ -425,12 +430,18 @@ def jaccard_components(
     wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
     texts = materialize(texts_of(rows, wanted), "jaccard-texts")
 
-    # first every document with the one that it shares most signatures with, then what is still apart
-    best = pairs.groupBy("a").agg(F.max_by("b", F.struct("shared", -F.col("b"))).alias("b"))
-    links = materialize(known.union(verify(best, texts, words, num, den)), "jaccard-links")
+    # every document with the one that it shares most signatures with, and the pairs of two
+    order = F.struct("shared", -F.col("b"))
+    best = pairs.groupBy("a").agg(F.max_by("b", order).alias("b"))
+    due = materialize(best.union(pairs.filter(F.col("kind") == CLOSED).select("a", "b")).distinct(), "jaccard-due")
+    links = materialize(known.union(verify(due, texts, words, num, den)), "jaccard-links")
     found = materialize(connected_components(links), "jaccard-found")
-    apart = materialize(between(pairs.select("a", "b"), found).join(best, ["a", "b"], "left_anti"), "jaccard-apart")
-    found = joined_components(found, verify(apart, texts, words, num, den))
+    left = pairs.filter(F.col("kind") == OPEN).join(best, ["a", "b"], "left_anti")
+    for _ in range(ROUNDS - 1):
+        left = materialize(between(left, found), "jaccard-apart")
+        best = left.groupBy("a").agg(F.max_by("b", order).alias("b"))
+        found = joined_components(found, verify(best, texts, words, num, den))
+        left = left.join(best, ["a", "b"], "left_anti")
     more = later_links(pairs.filter(F.col("kind") == OPEN), found, texts, sizes, words, num, den)
     found = joined_components(found, more)
     return sizes.join(found, F.col("id") == F.col("node"), "left").select(
@@ -448,7 +459,7 @@ def labelled(pairs: DataFrame, found: DataFrame) -> DataFrame:
 
 def between(pairs: DataFrame, found: DataFrame) -> DataFrame:
     """The pairs of different components."""
-    return labelled(pairs, found).filter("ca <> cb").select("a", "b")
+    return labelled(pairs, found).filter("ca <> cb").select(*pairs.columns)
 
 
 def joined_components(found: DataFrame, links: DataFrame) -> DataFrame:
@@ -479,21 +490,28 @@ def later_links(pairs: DataFrame, found: DataFrame, texts: DataFrame, sizes: Dat
     contested = member.join(split, "group").select(
         "id", "group", "component", (F.col("component") == F.col("largest")).alias("major")
     )
-    # of a document with several texts the largest set bounds; each text counts for the prefix
     size = sizes.groupBy("id").agg(F.max("n_shingles").alias("size"), F.count("*").alias("texts"))
-    members = texts.join(contested.join(size, "id"), "id")
-    members = materialize(members.select("id", "group", "component", "major", "size", "texts", "text"), "jaccard-contested")
-    single = members.filter("texts = 1").drop("texts")
-    more = materialize(rare_pairs(single, words, num, den).union(versions(members)), "jaccard-rare")
-    return verify(more, texts, words, num, den)
-
-
-def versions(members: DataFrame) -> DataFrame:
-    """Documents with several texts are compared with all of their group: a prefix speaks for one text only."""
-    known = members.select("id", "component", "group", "texts").distinct()
-    several = known.filter("texts > 1").alias("m")
-    both = several.join(known.alias("o"), F.expr("m.group = o.group AND m.component <> o.component"))
-    return both.select(F.greatest("m.id", "o.id").alias("a"), F.least("m.id", "o.id").alias("b")).distinct()
+    members = texts.join(contested.join(size, "id"), "id").withColumn("version", F.xxhash64("id", "text"))
+    members = members.select("version", "id", "component", "major", "size", "texts", "text")
+    members = materialize(members, "jaccard-contested")
+    # each text of a document is a set of its own
+    several = members.filter("texts > 1")
+    own = several.select("version", "text").mapInArrow(set_sizes(words), "version long, size int").distinct()
+    several = several.drop("size").join(own, "version").select(*members.columns)
+    members = members.filter("texts = 1").union(several).drop("texts")
+    return verify(rare_pairs(members, words, num, den), texts, words, num, den)
+
+
+def set_sizes(words: int):
+    """From (version, text): the size of its set."""
+
+    def run(batches):
+        unpack = zstandard.ZstdDecompressor()
+        for batch in batches:
+            sizes = [len(shingle_set(unpack.decompress(t), words)) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int32())], ["version", "size"])
+
+    return run
 
 
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
