@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.llm.common import count_words, read_table, text_of
-from tidemill.storage import materialize
+from tidemill.storage import broadcast_if_small, materialize
 
 SEED = 20240229
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -33,8 +33,8 @@ BLOCK_DOCS = 64
 #: Blocks are cut until they have so many documents.
 CUT_DOCS = 1024
 SHARD_WORDS = 4_000_000
-#: Memory for reachable sums when a cut block is resolved exactly.
-SUM_BYTES = 32 << 20
+#: Changes of one or two items after the first fit.
+EXCHANGES = 16
 
 
 def targets(sizes: list[int], weights=WEIGHTS, share: float = SHARE, cap: float = CAP) -> np.ndarray:
@@ -57,45 +57,56 @@ def targets(sizes: list[int], weights=WEIGHTS, share: float = SHARE, cap: float
     return out
 
 
-def split_quotas(quotas: np.ndarray, shards: int, rng: np.random.Generator) -> np.ndarray:
-    """Shard by source: how many of each source's blocks a shard gets. Columns add up to ``quotas``."""
-    if shards == 1:
-        return quotas[None, :]
-    left_shards, total = shards // 2, int(quotas.sum())
-    left_total = round(total * left_shards / shards)
-    left = rng.multivariate_hypergeometric(quotas, left_total, method="marginals") if total else quotas
-    parts = split_quotas(left, left_shards, rng), split_quotas(quotas - left, shards - left_shards, rng)
-    return np.concatenate(parts)
+def split_quotas(quotas: np.ndarray, shards: int, rng: np.random.Generator) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Of each shard the sources and how many of their blocks it gets. A source's counts add up to its quota.
+
+    A node of the tree holds only the sources that have blocks below it.
+    """
+
+    def split(sources: np.ndarray, left: np.ndarray, n: int) -> None:
+        if n == 1:
+            out.append((sources, left))
+            return
+        first, total = n // 2, int(left.sum())
+        taken = rng.multivariate_hypergeometric(left, round(total * first / n), method="marginals") if total else left
+        for own, parts in ((taken, first), (left - taken, n - first)):
+            split(sources[own > 0], own[own > 0], parts)
+
+    out: list[tuple[np.ndarray, np.ndarray]] = []
+    split(np.arange(len(quotas))[quotas > 0], quotas[quotas > 0], shards)
+    return out
 
 
 def fill(sizes: np.ndarray, room: float) -> np.ndarray:
     """Which items to take so that their sum comes near ``room``.
 
-    Few items: the nearest sum there is, by the set of reachable sums held as the bits of an
-    integer. Many: each item that still fits, in order, which leaves less than the smallest rest.
+    Each item that still fits is taken, in order. Then, while it comes nearer, one item is added, left out, or
+    exchanged for another: the best such change each time.
     """
-    whole = int(round(room))
-    if len(sizes) * 2 * whole > 8 * SUM_BYTES:
-        taken, left = np.zeros(len(sizes), bool), room
-        for i, size in enumerate(sizes.tolist()):
-            if size <= left:
-                taken[i] = True
-                left -= size
-        return taken
-    within = (1 << (2 * whole + 1)) - 1
-    reached = [1]
-    for size in sizes.tolist():
-        reached.append((reached[-1] | reached[-1] << size) & within)
-    sums = reached[-1]
-    below = (sums & ((1 << whole + 1) - 1)).bit_length() - 1
-    rest = sums >> whole + 1
-    above = whole + 1 + ((rest & -rest).bit_length() - 1) if rest else None
-    at = above if above is not None and above - room < room - below else below
-    taken = np.zeros(len(sizes), bool)
-    for i in range(len(sizes) - 1, -1, -1):
-        if not reached[i] >> at & 1:
+    taken, left = np.zeros(len(sizes), bool), room
+    for i, size in enumerate(sizes.tolist()):
+        if size <= left:
             taken[i] = True
-            at -= int(sizes[i])
+            left -= size
+    for _ in range(EXCHANGES):
+        # what goes out (0: nothing) and what comes in (0: nothing), both by size
+        outs, ins = (np.append(-1, own[np.argsort(sizes[own], kind="stable")]) for own in (np.flatnonzero(taken), np.flatnonzero(~taken)))
+        gone, come = (np.where(own < 0, 0, sizes[own]) if len(sizes) else np.zeros(1) for own in (outs, ins))
+        at = np.searchsorted(come, gone + left)
+        best = abs(left), -1, -1
+        for near in (np.maximum(at - 1, 0), np.minimum(at, len(come) - 1)):
+            off = np.abs(left + gone - come[near])
+            i = int(off.argmin())
+            if off[i] < best[0]:
+                best = off[i], i, int(near[i])
+        _, i, j = best
+        if i < 0:
+            break
+        left += gone[i] - come[j]
+        if outs[i] >= 0:
+            taken[outs[i]] = False
+        if ins[j] >= 0:
+            taken[ins[j]] = True
     return taken | (sizes == 0)
 
 
@@ -123,8 +134,12 @@ def plan(blocks: pd.DataFrame, weights, share: float, cap: float, seed: int) ->
     words still to be taken from it. ``block`` counts coarse blocks, ``shift`` merges fine ones.
     """
     names = sorted((s for s in blocks["source"].unique() if s is not None), key=lambda s: s)
+    if not names and not len(blocks):
+        return pd.DataFrame({"source": [], "source_size": [], "target": []}), pd.DataFrame()
     names += [None] if blocks["source"].isna().any() else []
-    by_source = [blocks[blocks["source"].isna() if s is None else blocks["source"] == s] for s in names]
+    place = {s: i for i, s in enumerate(names)}
+    at = np.array([place[s] for s in blocks["source"]], np.int64)
+    by_source = [blocks.iloc[rows] for rows in np.split(np.argsort(at, kind="stable"), np.cumsum(np.bincount(at))[:-1])]
     sizes = [int(b["words"].sum()) for b in by_source]
     goal = targets(sizes, weights, share, cap)
     table = pd.DataFrame({"source": pd.Series(names, dtype=object), "source_size": sizes, "target": goal})
@@ -148,11 +163,18 @@ def plan(blocks: pd.DataFrame, weights, share: float, cap: float, seed: int) ->
                 drawn.append((i, shift, repeat, cut, at, left))
                 at += len(cut)
         quotas.append(at)
-    shards = max(1, min(1024, math.ceil(sum(goal) / SHARD_WORDS)))
-    shares = np.cumsum(split_quotas(np.array(quotas, np.int64), shards, rng), axis=0)
+    # a shard has a block at least
+    shards = max(1, min(sum(quotas), math.ceil(sum(goal) / SHARD_WORDS)))
+    shares = split_quotas(np.array(quotas, np.int64), shards, rng)
+    of = np.concatenate([own for own, _ in shares])
+    shard_of = np.repeat(np.arange(shards), [len(own) for own, _ in shares])
+    many = np.concatenate([n for _, n in shares])
+    order_of = np.argsort(of, kind="stable")
+    starts = np.searchsorted(of[order_of], np.arange(len(quotas) + 1))
+    own_shards = [np.repeat(shard_of[rows], many[rows]) for rows in (order_of[a:b] for a, b in zip(starts, starts[1:]))]
     draws = []
     for i, shift, repeat, order, at, left in drawn:
-        shard = np.searchsorted(shares[:, i], np.arange(at, at + len(order)), "right")
+        shard = own_shards[i][at : at + len(order)]
         draws.append(
             pd.DataFrame(
                 {"at": i, "block": order, "shift": shift, "repeat": repeat, "shard": shard,
@@ -176,11 +198,11 @@ def mix(
 
     The first frame has one row per input row: id, ``size`` (words), ``source``, ``source_size``,
     ``target``, ``times`` and ``taken``. The second has one row per time a document is taken:
-    id, ``repeat``, ``shard`` and ``place``, the order inside the shard. ``weights`` go to the
+    id, ``source``, ``repeat``, ``shard`` and ``place``, the order inside the shard. ``weights`` go to the
     sources in code point order, null last, over and over.
 
-    Null texts have size 0; documents without words are taken whenever their block is. Rows that
-    share an id are taken together. A null id is an id like any other. Other columns are ignored.
+    Null texts have size 0; documents without words are taken whenever their block is. Rows of a
+    source that share an id are taken together; in different sources they are different documents. A null id is an id like any other. Other columns are ignored.
     An empty table gives empty frames. The result depends on the rows and ``seed`` alone.
     """
     spark = docs.sparkSession
@@ -216,39 +238,40 @@ def mix(
         for a, b, r, s, w in zip(*(draws[c] for c in ("at", "block", "repeat", "shard", "rest")))
     ]
     drawn = spark.createDataFrame(listed, "source string, block int, repeat int, shard int, rest double")
-    known = sized.alias("d").join(F.broadcast(sources).alias("s"), F.expr("d.source <=> s.source"))
+    sources = broadcast_if_small(materialize(sources, "mix-sources"))
+    drawn = broadcast_if_small(materialize(drawn, "mix-draws"))
+    known = sized.alias("d").join(sources.alias("s"), F.expr("d.source <=> s.source"))
     known = known.select(
         "id", "d.source", "size", "hash", "source_size", "target", F.expr("shiftright(fine, shift)").alias("block")
     )
-    # the draws are bounded by MAX_BLOCKS blocks, each taken at most cap times and once in part
-    taken = known.alias("d").join(F.broadcast(drawn).alias("b"), F.expr("d.source <=> b.source AND d.block = b.block"))
+    taken = known.alias("d").join(drawn.alias("b"), F.expr("d.source <=> b.source AND d.block = b.block"))
     taken = taken.select("id", "d.source", "size", "hash", "repeat", "shard", "rest")
-    whole = taken.filter("rest IS NULL").select("id", "size", "repeat", "shard")
+    whole = taken.filter("rest IS NULL").select("id", "source", "repeat", "shard")
     cut = taken.filter("rest IS NOT NULL").groupBy("source", "id", "hash", "repeat", "shard", "rest")
     cut = cut.agg(F.sum("size").alias("size"), F.count("*").alias("rows"))
 
     def resolve(group: pd.DataFrame) -> pd.DataFrame:
         order = group.sort_values(["hash", "id"], ignore_index=True)
-        return order[fill(order["size"].to_numpy(), float(order["rest"].iloc[0]))][["id", "repeat", "shard"]]
+        return order[fill(order["size"].to_numpy(), float(order["rest"].iloc[0]))][["id", "source", "repeat", "shard"]]
 
     kind = sized.schema["id"].dataType.simpleString()
-    partly = cut.groupBy("source").applyInPandas(resolve, f"id {kind}, repeat int, shard int")
+    partly = cut.groupBy("source").applyInPandas(resolve, f"id {kind}, source string, repeat int, shard int")
     partly = materialize(partly, "mix-cut")
-    both = whole.groupBy("id").agg(F.countDistinct("repeat").alias("times"))
-    both = both.unionByName(partly.groupBy("id").agg(F.count("*").alias("times")))
-    times = both.groupBy("id").agg(F.sum("times").alias("times"))
+    both = whole.groupBy("id", "source").agg(F.countDistinct("repeat").alias("times"))
+    both = both.unionByName(partly.groupBy("id", "source").agg(F.count("*").alias("times")))
+    times = both.groupBy("id", "source").agg(F.sum("times").alias("times"))
     left, right = known.alias("d"), times.alias("t")
-    report = left.join(right, F.expr("d.id <=> t.id"), "left").select(
+    report = left.join(right, F.expr("d.id <=> t.id AND d.source <=> t.source"), "left").select(
         F.col("d.id").alias(id_col),
         "size",
-        "source",
+        "d.source",
         "source_size",
         "target",
         F.coalesce("times", F.lit(0)).alias("times"),
         (F.col("size") * F.coalesce("times", F.lit(0))).alias("taken"),
     )
-    mixed = whole.select("id", "repeat", "shard").distinct().unionByName(partly)
-    mixed = mixed.withColumn("place", F.xxhash64("id", "repeat", F.lit(seed + 1)))
+    mixed = whole.distinct().unionByName(partly)
+    mixed = mixed.withColumn("place", F.xxhash64("id", "source", "repeat", F.lit(seed + 1)))
     return report, mixed.withColumnRenamed("id", id_col)
 
 
@@ -256,15 +279,18 @@ def _empty(sized: DataFrame, id_col: str) -> tuple[DataFrame, DataFrame]:
     report = sized.selectExpr(
         f"id AS `{id_col}`", "size", "source", "0L AS source_size", "0D AS target", "0L AS times", "0L AS taken"
     )
-    return report, sized.selectExpr(f"id AS `{id_col}`", "0 AS repeat", "0 AS shard", "hash AS place")
+    return report, sized.selectExpr(f"id AS `{id_col}`", "source", "0 AS repeat", "0 AS shard", "hash AS place")
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them, by shard and shuffled inside each."""
     _, mixed = mix(docs, **options)
-    id_col = options.get("id_col", "doc_id")
-    side = mixed.withColumnRenamed(id_col, "_mix_id").select("_mix_id", F.struct("shard", "place").alias("_mix"))
-    rows = docs.join(side, F.col(id_col).eqNullSafe(F.col("_mix_id")))
+    id_col, source_col = options.get("id_col", "doc_id"), options.get("source_col", "source")
+    side = mixed.select(
+        F.col(id_col).alias("_mix_id"), F.col("source").alias("_mix_source"), F.struct("shard", "place").alias("_mix")
+    )
+    same = F.col(id_col).eqNullSafe(F.col("_mix_id")) & F.col(source_col).cast("string").eqNullSafe(F.col("_mix_source"))
+    rows = docs.join(side, same)
     rows = rows.repartition(F.col("_mix.shard")).sortWithinPartitions("_mix.shard", "_mix.place")
     return rows.select(*(F.col(f"`{c}`") for c in docs.columns))
 
