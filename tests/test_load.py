@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemill.operators import load
 from tidemill.operators.quality import GateFailed
-from tidemill.storage import VersionedTables
+from tidemill.storage import VersionedTables, data_files
 
 TOOL = "tool_id int, name string, weight int, depot string, fee double"
 TOOLS = [(11, "kiln", 40, "north", 12.5), (12, "loom", 9, "north", 31.0), (13, "anvil", 75, "south", 7.25), (14, "lathe", 60, "north", 19.0)]
@@ -88,6 +88,59 @@ def test_vacuum_keeps_the_newest_versions(spark, tmp_path):
     assert store.read("t").count() == 4
 
 
+def test_update_and_delete_keep_untouched_files(spark, tmp_path):
+    """Only files with rows of the condition are written anew, also in partitions whose names need escaping."""
+    store = VersionedTables(spark, str(tmp_path / "a store"))
+    rows = spark.range(400).withColumn("group", F.concat(F.lit("g "), (F.col("id") % 4).cast("string")))
+    store.replace("t", rows.repartitionByRange(8, "id"), partition_by=["group"])
+    first = data_files(spark, store.path("t"))
+    assert len(first) == 32
+    store.update("t", F.col("id") == 7, {"id": F.lit(1007).cast("long")})
+    parts = store.parts("t", 2)
+    assert sorted(map(len, (parts["v1"], data_files(spark, store.path("t"))))) == [1, 31]
+    assert set(parts["v1"]) < set(first)
+    store.delete("t", F.col("id") < 60)  # rows of two ranges in each group, of which one is already new
+    assert ids(store.read("t")) == [*range(60, 400), 1007]
+    assert {f: len(n) for f, n in store.parts("t", 3).items() if n} == {"v1": 24}
+    assert store.delete("t", F.col("id") == 5).count() == 341 and store.current("t") == 3
+    store.delete("t", F.lit(True))
+    assert store.read("t").count() == 0
+    assert store.vacuum("t", keep=2) == [2]
+
+
+def test_appends_are_versions_that_share_files(spark, tmp_path):
+    store = VersionedTables(spark, str(tmp_path))
+    for n in range(5):
+        store.append("t", spark.range(10 * n, 10 * n + 10))
+    assert len(store.parts("t", 5)) == 5 and store.vacuum("t", keep=1) == []
+
+    def refuse(_):
+        raise GateFailed("no")
+
+    with pytest.raises(GateFailed):
+        store.append("t", spark.range(3), gate=refuse)
+    assert ids(store.read("t")) == list(range(50))
+    assert ids(store.compact("t")) == list(range(50)) and store.parts("t", store.current("t")) == {"v7": None}
+    assert store.vacuum("t", keep=1) == [1, 2, 3, 4, 5, 6] and ids(store.read("t")) == list(range(50))
+
+
+def test_builds_are_read_without_a_job(spark, tmp_path):
+    """A build names all tables ever built, so only the newest file is read."""
+    store = VersionedTables(spark, str(tmp_path))
+    for _ in range(4):
+        store.publish({name: store.write_version(name, spark.range(2))[0] for name in ("a", "b")})
+    store.publish({"c": store.write_version("c", spark.range(3))[0]})
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("builds", "builds")
+    try:
+        assert store.current("a") == 4 and store.exists("c") and store.path("b").endswith("v4")
+        assert not jobs.getJobIdsForGroup("builds")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert store.read_together(["a", "c"])["c"].count() == 3
+    assert store.vacuum("a", keep=2) == [1, 2] and store._build_numbers() == [3, 4, 5]
+
+
 def test_missing_table(spark, tmp_path):
     store = VersionedTables(spark, str(tmp_path))
     assert not store.exists("t")

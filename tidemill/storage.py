@@ -8,6 +8,9 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -84,27 +87,63 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataF
     return F.broadcast(df) if df.agg(byte_size(df)).first()[0] <= max_bytes else df
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file, read by the Hadoop file system without a Spark job."""
+    fs, hpath = filesystem(spark, path)
+    stream = fs.open(hpath)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, hpath = filesystem(spark, path)
+    stream = fs.create(hpath, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def data_files(spark: SparkSession, folder: str) -> list[str]:
+    """Names of a folder's Parquet files, relative to it."""
+    fs, hpath = filesystem(spark, folder)
+    base, found, files = fs.resolvePath(hpath).toString().rstrip("/") + "/", [], fs.listFiles(hpath, True)
+    while files.hasNext():
+        path = files.next().getPath().toString()
+        name = path[len(base) :] if path.startswith(base) else path.split(folder.rstrip("/") + "/", 1)[-1]
+        if name.endswith(".parquet") and not any(part.startswith(("_", ".")) for part in name.split("/")):
+            found.append(name)
+    return sorted(found)
+
+
+#: Folders and the files of them that make up a version; None stands for all files.
+Parts = dict[str, list[str] | None]
+
+
 class VersionedTables:
     """Tables under ``root/<name>/v<number>``; the newest published version is the current one.
 
-    Parquet has no UPDATE / DELETE / MERGE, and overwriting a path that is being read
-    destroys it. A replacement is therefore written beside the old version and becomes
-    visible through one marker file, after its gate has passed. Tables that belong together are
-    published by one file that names the version of each.
+    Parquet has no UPDATE / DELETE / MERGE, and overwriting a path that is being read destroys it. A replacement is
+    therefore written beside the old version and becomes visible through one marker file, after its gate has passed.
+    A version may take over files of older ones, which a list in its folder names; its own folder then holds only what
+    is new. Tables that belong together are published by one file that names the version of each.
     """
 
     MARKER = "_PUBLISHED"
     BUILDS = "_builds"
+    PARTS = "_PARTS"
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def _versions(self, name: str, published: bool) -> list[int]:
+    def _versions(self, name: str, published: bool, builds: int = 1) -> list[int]:
         fs, hpath = filesystem(self.spark, f"{self.root}/{name}")
         if not fs.exists(hpath):
             return []
-        found, built = [], {build[name] for build in self._builds() if name in build} if published else set()
+        found, built = [], {build[name] for build in self._builds(builds) if name in build} if published else set()
         for status in fs.listStatus(hpath):
             label = status.getPath().getName()
             if label.startswith("v") and label[1:].isdigit():
@@ -113,72 +152,108 @@ class VersionedTables:
                     found.append(int(label[1:]))
         return sorted(found)
 
-    def _builds(self) -> list[dict[str, int]]:
-        """Versions by table of every build, oldest first."""
+    def _build_numbers(self) -> list[int]:
         fs, folder = filesystem(self.spark, f"{self.root}/{self.BUILDS}")
         if not fs.exists(folder):
             return []
-        labels = [s.getPath().getName() for s in fs.listStatus(folder)]
-        numbers = sorted(int(x) for x in labels if x.isdigit())
-        return [json.loads(self.spark.read.text(f"{self.root}/{self.BUILDS}/{n}").first()[0]) for n in numbers]
+        return sorted(int(n) for n in (s.getPath().getName() for s in fs.listStatus(folder)) if n.isdigit())
+
+    def _builds(self, last: int = 1) -> list[dict[str, int]]:
+        """Versions by table of the newest builds, oldest first. A build names all tables ever built."""
+        numbers = self._build_numbers()[-last:] if last else []
+        return [json.loads(read_text(self.spark, f"{self.root}/{self.BUILDS}/{n}")) for n in numbers]
 
     def publish(self, versions: dict[str, int]) -> None:
         """Make written versions current, all at the same moment: by the renaming of one file."""
-        number = len(self._builds()) + 1
-        fs, hidden = filesystem(self.spark, f"{self.root}/{self.BUILDS}/_{uuid.uuid4().hex}")
-        out = fs.create(hidden, True)
-        out.write(bytearray(json.dumps(versions).encode()))
-        out.close()
-        if not fs.rename(hidden, filesystem(self.spark, f"{self.root}/{self.BUILDS}/{number}")[1]):
+        number = max(self._build_numbers(), default=0) + 1
+        before = self._builds()[0] if number > 1 else {}
+        hidden = f"{self.root}/{self.BUILDS}/_{uuid.uuid4().hex}"
+        write_text(self.spark, hidden, json.dumps(before | versions))
+        fs, source = filesystem(self.spark, hidden)
+        if not fs.rename(source, filesystem(self.spark, f"{self.root}/{self.BUILDS}/{number}")[1]):
             raise RuntimeError(f"another build was published as number {number}")
 
     def read_together(self, names: list[str]) -> dict[str, DataFrame]:
         """Tables of one build, also while another is published: the builds are listed once."""
-        builds = [b for b in self._builds() if all(n in b for n in names)]
-        if not builds:
+        builds = self._builds()
+        if not builds or any(n not in builds[0] for n in names):
             raise ValueError(f"no build holds {', '.join(names)}")
-        return {n: self.spark.read.parquet(f"{self.root}/{n}/v{builds[-1][n]}") for n in names}
+        return {n: self.read_version(n, builds[0][n]) for n in names}
 
     def exists(self, name: str) -> bool:
         return bool(self._versions(name, published=True))
 
-    def path(self, name: str) -> str:
+    def current(self, name: str) -> int:
         versions = self._versions(name, published=True)
         if not versions:
             raise ValueError(f"table {name} has no published version under {self.root}")
-        return f"{self.root}/{name}/v{versions[-1]}"
+        return versions[-1]
+
+    def path(self, name: str) -> str:
+        """The folder of the current version."""
+        return f"{self.root}/{name}/v{self.current(name)}"
+
+    def parts(self, name: str, version: int) -> Parts:
+        """The files of a version by folder (v1, v2, ...)."""
+        listed = f"{self.root}/{name}/v{version}/{self.PARTS}"
+        taken = json.loads(read_text(self.spark, listed)) if path_exists(self.spark, listed) else {}
+        return taken | {f"v{version}": None}
+
+    def read_version(self, name: str, version: int, parts: Parts | None = None) -> DataFrame:
+        """The rows of a version, folder by folder; ``parts`` are some of its files."""
+        frames = []
+        for folder, files in (parts or self.parts(name, version)).items():
+            base = f"{self.root}/{name}/{folder}"
+            if files is None:
+                frames.append(self.spark.read.parquet(base))
+            elif files:
+                paths = [f"{base}/{file}" for file in files]
+                frames.append(self.spark.read.option("basePath", base).parquet(*paths))
+        return reduce(DataFrame.unionByName, frames)
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        return self.read_version(name, self.current(name))
 
     def replace(self, name: str, df: DataFrame, gate=None, partition_by: list[str] | None = None) -> DataFrame:
         """Write version n+1, run ``gate`` on the written rows, then publish it."""
         version, written = self.write_version(name, df, partition_by)
         if gate is not None:
             gate(written)
+        self._mark(name, version)
+        return written
+
+    def _mark(self, name: str, version: int) -> None:
         fs, marker = filesystem(self.spark, f"{self.root}/{name}/v{version}/{self.MARKER}")
         fs.create(marker, True).close()
-        return written
 
-    def write_version(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> tuple[int, DataFrame]:
-        """Write version n+1 without publishing it."""
+    def write_version(
+        self, name: str, df: DataFrame, partition_by: list[str] | None = None, taken: Parts | None = None
+    ) -> tuple[int, DataFrame]:
+        """Write version n+1 without publishing it: the rows of ``df`` and the files that are taken over."""
         version = max(self._versions(name, published=False), default=0) + 1
         target = f"{self.root}/{name}/v{version}"
         writer = df.write.mode("errorifexists")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(target)
-        return version, self.spark.read.parquet(target)
+        if taken:
+            write_text(self.spark, f"{target}/{self.PARTS}", json.dumps(taken))
+        return version, self.read_version(name, version)
 
     def vacuum(self, name: str, keep: int = 2) -> list[int]:
-        """Drop all but the newest ``keep`` published versions; returns the dropped numbers.
+        """Drop all but the newest ``keep`` published versions, and builds that name others; returns the dropped numbers.
 
-        Call it when no reader of an old version and no writer is active.
+        Folders from which a kept version takes files stay. Call it when no reader of an old version and no writer
+        is active.
         """
-        kept = set(self._versions(name, published=True)[-max(keep, 1) :])
+        numbers = self._build_numbers()
+        newest = self._versions(name, published=True, builds=len(numbers))[-max(keep, 1) :]
+        kept = {int(folder[1:]) for version in newest for folder in self.parts(name, version)}
         dropped = [v for v in self._versions(name, published=False) if v not in kept]
-        for version in dropped:
-            fs, hpath = filesystem(self.spark, f"{self.root}/{name}/v{version}")
+        builds = zip(numbers, self._builds(len(numbers)))
+        old = [f"{self.BUILDS}/{n}" for n, build in builds if build.get(name) in dropped]
+        for folder in [*(f"{name}/v{version}" for version in dropped), *old]:
+            fs, hpath = filesystem(self.spark, f"{self.root}/{folder}")
             fs.delete(hpath, True)
         return dropped
 
@@ -186,23 +261,64 @@ class VersionedTables:
         """Keep the current version when there is one, otherwise write the first."""
         return self.read(name) if self.exists(name) else self.replace(name, df)
 
-    def append(self, name: str, df: DataFrame) -> DataFrame:
-        """Add files to the current version; existing files are not rewritten.
+    def append_version(
+        self, name: str, df: DataFrame, partition_by: list[str] | None = None
+    ) -> tuple[int, DataFrame]:
+        """Write a version of the current rows and those of ``df``, of which only the latter are written."""
+        return self.write_version(name, df, partition_by, self.parts(name, self.current(name)))
 
-        There is no gate and no new version: a reader may see some of the new files before the
-        others, and a repeated call adds the rows again unless the caller leaves out known keys.
+    def append(self, name: str, df: DataFrame, gate=None) -> DataFrame:
+        """Add rows as a new version that takes over all files of the current one.
+
+        The rows become visible at once, after the gate. A repeated call adds them again unless the caller leaves out
+        known keys. :meth:`compact` joins the folders of many appends.
         """
         if not self.exists(name):
-            return self.replace(name, df)
-        df.write.mode("append").parquet(self.path(name))
-        return self.read(name)
+            return self.replace(name, df, gate)
+        version, written = self.append_version(name, df)
+        if gate is not None:
+            gate(written)
+        self._mark(name, version)
+        return written
+
+    def compact(self, name: str, partition_by: list[str] | None = None, folders: int = 1) -> DataFrame:
+        """One folder again, if the current version is spread over more than ``folders``."""
+        version = self.current(name)
+        if len(self.parts(name, version)) <= folders:
+            return self.read_version(name, version)
+        return self.replace(name, self.read_version(name, version), partition_by=partition_by)
 
     def update(self, name: str, condition: Column, values: dict[str, Column]) -> DataFrame:
         from tidemill.operators.load import update_rows
 
-        return self.replace(name, update_rows(self.read(name), condition, values))
+        return self.rewrite(name, condition, lambda df: update_rows(df, condition, values))
 
     def delete(self, name: str, condition: Column) -> DataFrame:
         from tidemill.operators.load import delete_rows
 
-        return self.replace(name, delete_rows(self.read(name), condition))
+        return self.rewrite(name, condition, lambda df: delete_rows(df, condition))
+
+    def rewrite(self, name: str, condition: Column, change: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """Copy on write: ``change`` the files that hold rows of the condition, and take over all others.
+
+        The files hit are found by their rows' ``_metadata.file_path``, so the first pass reads the condition's columns
+        only. Without a row hit the current version stays.
+        """
+        version = self.current(name)
+        hit: Parts = {}
+        rest: Parts = {}
+        for folder, files in self.parts(name, version).items():
+            base = f"{self.root}/{name}/{folder}"
+            rows = self.read_version(name, version, {folder: files}) if files != [] else None
+            paths = rows.filter(condition).select("_metadata.file_path").distinct().collect() if rows is not None else []
+            listed = data_files(self.spark, base) if files is None else files
+            # Spark escapes paths as URIs; the relative names are compared without that
+            changed = {unquote(row[0]).split(f"/{name}/{folder}/", 1)[-1] for row in paths}
+            hit[folder] = [f for f in listed if unquote(f) in changed]
+            rest[folder] = [f for f in listed if unquote(f) not in changed]
+        if not any(hit.values()):
+            return self.read_version(name, version)
+        changed = change(self.read_version(name, version, {f: files for f, files in hit.items() if files}))
+        version, written = self.write_version(name, changed, taken={f: files for f, files in rest.items() if files})
+        self._mark(name, version)
+        return written
