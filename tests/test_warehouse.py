@@ -120,7 +120,7 @@ def test_invalid_dates_stop_the_build(spark, tmp_path):
 def test_missing_keys_stop_the_build(spark, tmp_path, monkeypatch):
     staging = testbed.staging(spark, SF)
     monkeypatch.setitem(
-        warehouse.DIMENSIONS, "dim_shipping", lambda s: warehouse.dim_shipping(s).filter("shipping_mode <> '1-URGENT'")
+        warehouse.DIMENSIONS, "dim_shipping", lambda s, known=None: warehouse.dim_shipping(s, known).filter("shipping_mode <> '1-URGENT'")
     )
     store = VersionedTables(spark, str(tmp_path))
     with pytest.raises(quality.GateFailed, match="missing dimension keys"):
@@ -143,7 +143,7 @@ def test_a_failed_rebuild_leaves_the_whole_star_as_it_was(spark, tmp_path):
     with pytest.raises(quality.GateFailed):
         warehouse.build_warehouse(broken, store)
     moved = staging.withColumn("row_id", -F.col("row_id"))
-    lost = {**warehouse.DIMENSIONS, "dim_shipping": lambda s: warehouse.dim_shipping(s).limit(1)}
+    lost = {**warehouse.DIMENSIONS, "dim_shipping": lambda s, known=None: warehouse.dim_shipping(s, known).limit(1)}
     with pytest.MonkeyPatch.context() as patch, pytest.raises(quality.GateFailed):
         patch.setattr(warehouse, "DIMENSIONS", lost)
         warehouse.build_warehouse(moved, store)
@@ -235,7 +235,7 @@ def test_products_that_share_a_name_stay_apart(spark):
 def test_negative_zero_average_is_printed_as_zero(spark):
     tables = {
         "fact_sales": spark.createDataFrame(
-            [(1, i, -1 if i == 0 else 0) for i in range(1000)], "shipping_key long, order_id long, shipping_delay_days int"
+            [(1, i, -1 if i == 0 else 0) for i in range(1000)], "shipping_key long, order_number long, shipping_delay_days int"
         ),
         "dim_shipping": spark.createDataFrame([(1, "Standard Class")], "shipping_key long, shipping_mode string"),
     }

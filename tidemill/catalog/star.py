@@ -179,13 +179,13 @@ def warehouse_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = testbed.tables(spark, sf_dir)
+    tables = warehouse.public(testbed.tables(spark, sf_dir))
     raw = {name: testbed.table(spark, sf_dir, name) for name in ("lineitem", "orders", "customer")}
     return quality.stage_audit({**raw, "staging": tables["staging"], "fact_sales": tables["fact_sales"]})
 
 
 def export_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = {name: df for name, df in testbed.tables(spark, sf_dir).items() if name != "staging"}
+    tables = warehouse.public(testbed.tables(spark, sf_dir))
     names = [*warehouse.TABLES, "dim_unknown"]
     audit = sinks.export_tables(spark, names, tables, scratch_path(spark, "export"))
     return audit.select("name", "rows", "columns", "status")

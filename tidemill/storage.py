@@ -180,6 +180,10 @@ class VersionedTables:
             raise ValueError(f"no build holds {', '.join(names)}")
         return {n: self.read_version(n, builds[0][n]) for n in names}
 
+    def holds_build(self, names: list[str]) -> bool:
+        builds = self._builds()
+        return bool(builds) and all(n in builds[0] for n in names)
+
     def exists(self, name: str) -> bool:
         return bool(self._versions(name, published=True))
 
