@@ -167,48 +167,70 @@ class Matcher:
                 self.allowed[node] = max(self.allowed[node], edits)
             self.term[node] = number
         self.edits = [0 if s else (len(t) >= ONE_EDIT) + (len(t) >= TWO_EDITS) for t, s, _ in lexicon]
+        # children that a letter too many or a wrong one may lead to, by the edits they must allow
+        self.wrong = [[()] * len(self.children)]
+        for edits in (1, 2):
+            self.wrong.append([tuple(c for c in own.values() if self.allowed[c] >= edits) for own in self.children])
+        self.wrong.append([()] * len(self.children))
+        self.closed: dict[tuple[int, int], tuple] = {}
         self.states: dict[frozenset, int] = {}
         self.sets: list[frozenset] = []
         self.accepts: list[tuple[int, int] | None] = []
         self.ends: list[tuple[int, int] | None] = []
         self.steps: list[dict[str, int]] = []
-        self.start = self.state({(0, 0)})
+        self.start = self.state({0: 0})
         self.heads: dict[str, tuple[int, tuple[int, int] | None]] = {}
 
-    def state(self, pairs: set) -> int:
-        """The number of a state, closed under skipped letters of the trie."""
-        closed, waiting = set(), list(pairs)
-        while waiting:
-            node, edits = waiting.pop()
-            if (node, edits) in closed or edits > self.allowed[node]:
-                continue
-            closed.add((node, edits))
-            waiting.extend((child, edits + 1) for child in self.children[node].values())
-        best = {}
-        for node, edits in closed:
-            best[node] = min(edits, best.get(node, edits))
-        key = frozenset(best.items())
-        if key not in self.states:
-            self.states[key] = len(self.sets)
+    def _closure(self, node: int, edits: int) -> tuple:
+        """(node, edits) and what skipped letters of the trie lead to."""
+        key = (node, edits)
+        if key not in self.closed:
+            out, waiting = [], [key]
+            while waiting:
+                at, used = waiting.pop()
+                out.append((at, used))
+                if used < 2:
+                    waiting.extend((child, used + 1) for child in self.wrong[used + 1][at])
+            self.closed[key] = tuple(out)
+        return self.closed[key]
+
+    def state(self, best: dict[int, int]) -> int:
+        """The number of a state, given as the least edits of each node; it is closed under skipped letters."""
+        closed: dict[int, int] = {}
+        for node, edits in best.items():
+            for at, used in self._closure(node, edits):
+                if used < closed.get(at, 3):
+                    closed[at] = used
+        key = frozenset(closed.items())
+        number = self.states.get(key)
+        if number is None:
+            number = self.states[key] = len(self.sets)
             self.sets.append(key)
             whole = [(e, self.term[n]) for n, e in key if self.term[n] is not None and e <= self.edits[self.term[n]]]
             self.accepts.append(min(whole) if whole else None)
             stems = [(e, t) for e, t in whole if self.lexicon[t][1] and e == 0]
             self.ends.append(min(stems) if stems else None)
             self.steps.append({})
-        return self.states[key]
+        return number
 
     def step(self, state: int, letter: str) -> int:
         known = self.steps[state]
-        if letter not in known:
-            after = set()
+        after = known.get(letter)
+        if after is None:
+            best: dict[int, int] = {}
             for node, edits in self.sets[state]:
-                for other, child in self.children[node].items():
-                    after.add((child, edits + (other != letter)))
-                after.add((node, edits + 1))
-            after = {(n, e) for n, e in after if e <= self.allowed[n]}
-            known[letter] = self.state(after) if after else -1
-        return known[letter]
+                child = self.children[node].get(letter)
+                if child is not None and edits <= self.allowed[child] and edits < best.get(child, 3):
+                    best[child] = edits
+                if edits < 2:
+                    more = edits + 1
+                    for child in self.wrong[more][node]:
+                        if more < best.get(child, 3):
+                            best[child] = more
+                    if more <= self.allowed[node] and more < best.get(node, 3):
+                        best[node] = more
+            after = known[letter] = self.state(best) if best else -1
+        return after
 
     def _walk(self, state: int, stem: tuple[int, int] | None, letters: str) -> tuple[int, tuple[int, int] | None]:
         """The state after some letters, -1 if no term is near any more, and the last stem passed."""
