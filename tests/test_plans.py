@@ -7,6 +7,8 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from test_copies import shuffled_bytes
+
 from tidemill import catalog, storage
 from tidemill.operators import eda, keys, load
 from tidemill.plans import reports, testbed
@@ -40,6 +42,50 @@ def test_filters_reach_the_scan(spark):
     assert "GreaterThanOrEqual(value" in pushed and "LessThanOrEqual(value" in pushed
 
 
+def test_dated_reports_read_the_years_they_need(spark):
+    """A condition on the calendar prunes the fact's partitions at run time."""
+    tables = testbed.tables(spark, SF)
+    period = F.expr("full_date BETWEEN '1997-04-01' AND '1997-06-30'")
+    for report in (reports.yearly_sales, reports.monthly_sales):
+        scans = re.findall(r"PartitionFilters: \[(.*?)\]", plan(report(tables, period)))
+        assert any("order_year" in scan and "dynamicpruning" in scan for scan in scans), report.__name__
+    whole = reports.monthly_sales(tables).filter("year = 1997 AND month BETWEEN 4 AND 6").collect()
+    assert whole and reports.monthly_sales(tables, period).collect() == whole
+
+
+COUNTED = ["overall_performance", "yearly_sales", "market_sales", "region_sales", "customer_segments",
+           "shipping_performance", "top_cities"]
+
+
+@pytest.mark.parametrize("name", COUNTED)
+def test_distinct_orders_do_not_shuffle_ids(spark, name):
+    """Bitmaps are shuffled: no Expand, no id in an exchange, and no more bytes for more rows of an order."""
+    tables = testbed.tables(spark, SF)
+    text = plan(reports.REPORTS[name](tables))
+    assert "Expand" not in text and "bitmap_construct_agg" in text
+    assert not re.search(r"Exchange hashpartitioning\([^)]*order_(id|number)#", text)
+    fact = storage.materialize(tables["fact_sales"].coalesce(2), "fact")
+    often = storage.materialize(fact.withColumn("n", F.explode(F.array(*[F.lit(i) for i in range(5)]))).drop("n").coalesce(2), "often")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1g")
+    try:
+        one, five = (shuffled_bytes(reports.REPORTS[name]({**tables, "fact_sales": f})) for f in (fact, often))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert five <= 1.2 * one + 2000
+
+
+def test_bitmaps_of_loads_add_up(spark):
+    tables = testbed.tables(spark, SF)
+    fact = tables["fact_sales"].join(tables["dim_shipping"], "shipping_key")
+    halves = [fact.filter(f"sales_key % 2 = {i}") for i in (0, 1)]
+    bits = [reports.order_bitmaps(half, ["shipping_mode"]) for half in halves]
+    merged = bits[0].union(bits[1]).groupBy("shipping_mode", "bucket").agg(F.bitmap_or_agg("orders").alias("orders"))
+    got = merged.groupBy("shipping_mode").agg(F.sum(F.bitmap_count("orders")))
+    assert sorted(map(tuple, got.collect())) == sorted(
+        map(tuple, fact.groupBy("shipping_mode").agg(F.count_distinct("order_id")).collect())
+    )
+
+
 def test_reports_read_only_their_columns(spark):
     tables = testbed.tables(spark, SF)
     fact_scan = re.findall(r"ReadSchema: struct<(.*?)>", plan(reports.discount_analysis(tables)))[0]

@@ -152,6 +152,41 @@ def test_a_failed_rebuild_leaves_the_whole_star_as_it_was(spark, tmp_path):
     assert all(store.path(n) != paths[n] for n in warehouse.TABLES)
 
 
+def test_increments_equal_one_load_and_repeat_without_effect(spark, tmp_path, monkeypatch):
+    """Rows loaded part by part get the keys of one load, also when folders are joined in between."""
+    staging, whole = testbed.staging(spark, SF), testbed.tables(spark, SF)
+    store = VersionedTables(spark, str(tmp_path))
+    n = staging.count()
+    warehouse.build_warehouse(staging.filter(F.col("row_id") <= n // 4), store)
+    folders = len(store.parts("fact_sales", store.current("fact_sales")))
+    monkeypatch.setattr(warehouse, "MAX_FOLDERS", 2)
+    for upto in (n // 2, n // 2, n):
+        tables = warehouse.extend_warehouse(staging.filter(F.col("row_id") <= upto), store)
+    assert folders == 1 and store.current("fact_sales") == 3
+    again = store.read_together(warehouse.TABLES)
+    for name in warehouse.TABLES:
+        key = whole[name].columns
+        expected = sorted(map(str, whole[name].select(*key).collect()))
+        for found in (tables[name], again[name]):
+            assert sorted(map(str, found.select(*key).collect())) == expected, name
+
+
+def test_known_keys_stay_over_a_rebuild(spark, tmp_path):
+    """A member that is missing for one build has its key again in the next, in a rebuild or an increment."""
+    staging = testbed.staging(spark, SF)
+    store = VersionedTables(spark, str(tmp_path))
+    some = F.col("customer_id") % 3 == 0
+
+    def keys(tables):
+        return {r["customer_id"]: r["customer_key"] for r in tables["dim_customer"].collect()}
+
+    first = keys(warehouse.build_warehouse(staging, store))
+    fewer = keys(warehouse.build_warehouse(staging.filter(some), store))
+    assert fewer == {c: k for c, k in first.items() if c % 3 == 0}
+    assert keys(warehouse.extend_warehouse(staging, store)) == first
+    assert keys(warehouse.build_warehouse(staging.withColumn("row_id", -F.col("row_id")), store)) == first
+
+
 def test_null_natural_keys_are_found(spark):
     fact = spark.createDataFrame([(1, None), (2, 7), (3, 8)], "n int, id int")
     dim = spark.createDataFrame([(10, None), (11, 7)], "k int, id int")

@@ -47,12 +47,12 @@ staging AS MATERIALIZED (
   FROM earned)"""
 
 
-def _dimension(name: str, key: str, natural: list[str], attributes: list[str]) -> str:
+def _dimension(name: str, key: str, natural: list[str], attributes: list[str], order: str = "row_id") -> str:
     columns = ", ".join([*natural, *attributes])
     return f"""
-{name}_first AS (SELECT {columns}, row_id FROM staging
-  QUALIFY row_number() OVER (PARTITION BY {", ".join(natural)} ORDER BY row_id) = 1),
-{name} AS MATERIALIZED (SELECT row_number() OVER (ORDER BY row_id) AS {key}, {columns} FROM {name}_first)"""
+{name}_first AS (SELECT {columns}, {order} FROM staging
+  QUALIFY row_number() OVER (PARTITION BY {", ".join(natural)} ORDER BY {order}) = 1),
+{name} AS MATERIALIZED (SELECT row_number() OVER (ORDER BY {order}) AS {key}, {columns} FROM {name}_first)"""
 
 
 def _parts(d: str, prefix: str = "") -> str:
@@ -61,16 +61,19 @@ def _parts(d: str, prefix: str = "") -> str:
     CAST(day({d}) AS INTEGER) AS {prefix}day, dayname({d}) AS {prefix}day_name"""
 
 
+_DIMENSIONS = [
+    ("dim_customer", "customer_key", ["customer_id"], warehouse.CUSTOMER),
+    ("dim_product", "product_key", ["product_id"], warehouse.PRODUCT),
+    ("dim_location", "location_key", warehouse.LOCATION, []),
+    ("dim_shipping", "shipping_key", warehouse.SHIPPING, []),
+]
 DIM_SQL = {
     "dim_date": f"""
 dim_date AS (SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, strftime(d, '%Y-%m-%d') AS full_date,
     {_parts("d")}
   FROM (SELECT CAST(order_datetime AS DATE) AS d FROM staging UNION SELECT CAST(shipping_datetime AS DATE) FROM staging)
   WHERE d IS NOT NULL)""",
-    "dim_customer": _dimension("dim_customer", "customer_key", ["customer_id"], warehouse.CUSTOMER),
-    "dim_product": _dimension("dim_product", "product_key", ["product_id"], warehouse.PRODUCT),
-    "dim_location": _dimension("dim_location", "location_key", warehouse.LOCATION, []),
-    "dim_shipping": _dimension("dim_shipping", "shipping_key", warehouse.SHIPPING, []),
+    **{name: _dimension(name, *of) for name, *of in _DIMENSIONS},
 }
 FACT_SQL = f"""
 fact_sales AS MATERIALIZED (
@@ -90,6 +93,11 @@ def _with(*parts: str) -> str:
 
 
 STAR = _with(STAGING, *DIM_SQL.values(), FACT_SQL)
+# The loads of the incremental warehouse: members are numbered load by load, each by first appearance.
+_LOAD = f"""CASE WHEN order_datetime < '{testbed.LOADS[0]}' THEN 1 WHEN order_datetime < '{testbed.LOADS[1]}' THEN 2 ELSE 3 END"""
+STAGING_LOADS = STAGING.replace("staging AS MATERIALIZED", "rows_staged AS MATERIALIZED") + f""",
+staging AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY {_LOAD}, row_id) AS loaded FROM rows_staged)"""
+LOADS = _with(STAGING_LOADS, DIM_SQL["dim_date"], *(_dimension(n, *of, order="loaded") for n, *of in _DIMENSIONS), FACT_SQL)
 
 
 def _table(name: str):
@@ -100,6 +108,31 @@ def fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warehouse.fact_output(testbed.tables(spark, sf_dir)["fact_sales"])
 
 
+def _loaded(name: str):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        df = testbed.loaded(spark, sf_dir)[name]
+        return warehouse.fact_output(df) if name == "fact_sales" else df
+
+    return run
+
+
+def stable_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers after a rebuild that sees earlier rows for the first time: known ones keep their keys."""
+    return testbed.rebuilt(spark, sf_dir)["dim_customer"]
+
+
+PERIOD = "full_date BETWEEN '1996-04-01' AND '1997-06-30'"
+
+
+def period_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months of a period: the fact is read for its years only."""
+    return reports.monthly_sales(testbed.tables(spark, sf_dir), F.expr(PERIOD))
+
+
+def period_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.yearly_sales(testbed.tables(spark, sf_dir), F.expr(PERIOD))
+
+
 def _report(name: str):
     run = reports.REPORTS.get(name) or getattr(reports, name)
     return lambda spark, sf_dir: run(testbed.tables(spark, sf_dir))
@@ -158,6 +191,10 @@ def key_uniqueness(spark: SparkSession, sf_dir: str) -> DataFrame:
         quality.key_uniqueness(tables["dim_date"], ["date_key"], "dim_date"),
         quality.key_uniqueness(tables["dim_customer"], ["customer_id"], "dim_customer"),
         quality.key_uniqueness(tables["dim_product"], ["product_id"], "dim_product"),
+        quality.key_uniqueness(tables["dim_location"], ["location_key"], "dim_location"),
+        quality.key_uniqueness(tables["dim_location"], warehouse.LOCATION, "dim_location places"),
+        quality.key_uniqueness(tables["dim_shipping"], ["shipping_key"], "dim_shipping"),
+        quality.key_uniqueness(tables["dim_shipping"], warehouse.SHIPPING, "dim_shipping modes"),
         quality.key_uniqueness(tables["fact_sales"], ["sales_key"], "fact_sales"),
         quality.key_uniqueness(tables["fact_sales"], ["order_id", "order_item_id"], "fact_sales order items"),
         quality.key_uniqueness(_labelled(spark, sf_dir), ["quality"], "documents by label"),
@@ -178,9 +215,13 @@ def warehouse_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.row_counts({name: tables[name] for name in warehouse.TABLES})
 
 
+#: The raw tables of the star schema and how many columns they have.
+RAW_COLUMNS = {"lineitem": 11, "orders": 6, "customer": 5, "part": 6, "nation": 3, "region": 2}
+
+
 def stage_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = warehouse.public(testbed.tables(spark, sf_dir))
-    raw = {name: testbed.table(spark, sf_dir, name) for name in ("lineitem", "orders", "customer")}
+    raw = {name: testbed.table(spark, sf_dir, name) for name in RAW_COLUMNS}
     return quality.stage_audit({**raw, "staging": tables["staging"], "fact_sales": tables["fact_sales"]})
 
 
@@ -211,6 +252,12 @@ QUERIES = {
     "row_reconcile": row_reconcile,
     "warehouse_counts": warehouse_counts,
     "stage_audit": stage_audit,
+    "incremental_fact_sales": _loaded("fact_sales"),
+    "incremental_dim_customer": _loaded("dim_customer"),
+    "incremental_dim_product": _loaded("dim_product"),
+    "stable_customer_keys": stable_keys,
+    "rpt_period_sales": period_sales,
+    "rpt_period_orders": period_orders,
     "export_tables": export_tables,
     "run_reports": run_reports,
     **{f"rpt_{name}": _report(name) for name in [*reports.REPORTS, "order_status"]},
@@ -292,6 +339,22 @@ ORACLE = {
     **{name: f"{_with(STAGING, sql)} SELECT * FROM {name}" for name, sql in DIM_SQL.items()},
     "fact_sales": f"""{STAR} SELECT * REPLACE ({
         ", ".join(_DOUBLES.format(c) for c in ("sales", "discount_amount", "revenue", "profit"))}) FROM fact_sales""",
+    "incremental_fact_sales": f"""{LOADS} SELECT * REPLACE ({
+        ", ".join(_DOUBLES.format(c) for c in ("sales", "discount_amount", "revenue", "profit"))}) FROM fact_sales""",
+    "incremental_dim_customer": f"{LOADS} SELECT * FROM dim_customer",
+    "incremental_dim_product": f"{LOADS} SELECT * FROM dim_product",
+    "stable_customer_keys": f"""{STAR}, before AS (
+  SELECT customer_id, row_number() OVER (ORDER BY min(row_id)) AS customer_key
+  FROM staging WHERE order_datetime < '{testbed.LOADS[1]}' GROUP BY customer_id),
+later AS (
+  SELECT customer_id, (SELECT max(customer_key) FROM before) + row_number() OVER (ORDER BY min(row_id)) AS customer_key
+  FROM staging WHERE customer_id NOT IN (SELECT customer_id FROM before) GROUP BY customer_id)
+  SELECT k.customer_key, c.* EXCLUDE (customer_key)
+  FROM dim_customer c JOIN (SELECT * FROM before UNION ALL SELECT * FROM later) k USING (customer_id)""",
+    "rpt_period_sales": f"""{STAR} SELECT year, month, month_name, {_SALES_PROFIT} FROM {_DATE}
+  WHERE {PERIOD} GROUP BY year, month, month_name""",
+    "rpt_period_orders": f"""{STAR} SELECT year, {_ORDERS}, {_SALES_PROFIT} FROM {_DATE}
+  WHERE {PERIOD} GROUP BY year""",
     "derived_measures": f"""{_with(STAGING)} SELECT row_id, order_id, shipping_delay_days,
   {_DOUBLES.format("discount_amount")}, {_DOUBLES.format("revenue")}, profit_margin FROM staging""",
     "shipping_flag": f"""{_with(STAGING)} SELECT row_id, shipping_delay_days,
@@ -313,6 +376,10 @@ ORACLE = {
             _unique("dim_date", "date_key", "dim_date"),
             _unique("dim_customer", "customer_id", "dim_customer"),
             _unique("dim_product", "product_id", "dim_product"),
+            _unique("dim_location", "location_key", "dim_location"),
+            _unique("dim_location", ", ".join(warehouse.LOCATION), "dim_location places"),
+            _unique("dim_shipping", "shipping_key", "dim_shipping"),
+            _unique("dim_shipping", ", ".join(warehouse.SHIPPING), "dim_shipping modes"),
             _unique("fact_sales", "sales_key", "fact_sales"),
             _unique("fact_sales", "order_id, order_item_id", "fact_sales order items"),
             _unique(_LABELS, "quality", "documents by label"),
@@ -325,7 +392,7 @@ ORACLE = {
     ),
     "stage_audit": STAR + " " + " UNION ALL ".join(
         f"SELECT '{t}' AS stage, COUNT(*) AS rows, {n} AS columns FROM {t}"
-        for t, n in [("lineitem", 11), ("orders", 6), ("customer", 5), ("staging", 43), ("fact_sales", 16)]
+        for t, n in [*RAW_COLUMNS.items(), ("staging", 43), ("fact_sales", 16)]
     ),
     "export_tables": STAR + " " + " UNION ALL ".join(
         f"SELECT '{t}' AS name, COUNT(*) AS rows, {n} AS columns, 'ok' AS status FROM {t}"

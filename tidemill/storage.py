@@ -134,6 +134,7 @@ class VersionedTables:
     MARKER = "_PUBLISHED"
     BUILDS = "_builds"
     PARTS = "_PARTS"
+    SCHEMA = "_SCHEMA"
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -208,11 +209,12 @@ class VersionedTables:
         frames = []
         for folder, files in (parts or self.parts(name, version)).items():
             base = f"{self.root}/{name}/{folder}"
+            schema = T.StructType.fromJson(json.loads(read_text(self.spark, f"{base}/{self.SCHEMA}")))
             if files is None:
-                frames.append(self.spark.read.parquet(base))
+                frames.append(self.spark.read.schema(schema).parquet(base))
             elif files:
                 paths = [f"{base}/{file}" for file in files]
-                frames.append(self.spark.read.option("basePath", base).parquet(*paths))
+                frames.append(self.spark.read.schema(schema).option("basePath", base).parquet(*paths))
         return reduce(DataFrame.unionByName, frames)
 
     def read(self, name: str) -> DataFrame:
@@ -240,6 +242,8 @@ class VersionedTables:
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(target)
+        # a table by partitions has no file that would tell the columns of no rows
+        write_text(self.spark, f"{target}/{self.SCHEMA}", df.schema.json())
         if taken:
             write_text(self.spark, f"{target}/{self.PARTS}", json.dumps(taken))
         return version, self.read_version(name, version)
