@@ -19,7 +19,9 @@ def distance(a: str, b: str) -> int:
     return row[-1]
 
 
-def test_automaton_against_every_term():
+@pytest.mark.parametrize("states", [150_000, 20])
+def test_automaton_against_every_term(monkeypatch, states):
+    monkeypatch.setattr(tx, "KNOWN_STATES", states)
     random.seed(1)
     terms = ["abcde", "abxde", "bcdefghijkl", "aaaa", "edcba", "abcdefgh"]
     stems = ["bad", "cde"]

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterable
@@ -37,10 +38,14 @@ STEM_LETTERS = (3, 12)
 ONE_EDIT, TWO_EDITS = 5, 10
 WINDOW = 8
 #: Bytes of words that a worker remembers before it starts anew, and what a word takes besides its letters.
-KNOWN_BYTES = 48 << 20
+KNOWN_BYTES = 24 << 20
 WORD_BYTES = 120
+#: Texts that are Python strings at a time.
+SLICE_ROWS = 250
+#: States that an automaton keeps before it starts anew.
+KNOWN_STATES = 150_000
 #: Counts that a task holds before it hands on what it has added up.
-COUNTED = 150_000
+COUNTED = 60_000
 #: Words near a term that speak about it instead of using it, and marks of quotation.
 REPORTING = frozenset("said says called calling wrote writes quote quoted quotes word term phrase".split())
 ADDRESSING = frozenset("you your yours u ur youre you're".split())
@@ -173,13 +178,17 @@ class Matcher:
             self.wrong.append([tuple(c for c in own.values() if self.allowed[c] >= edits) for own in self.children])
         self.wrong.append([()] * len(self.children))
         self.closed: dict[tuple[int, int], tuple] = {}
-        self.states: dict[frozenset, int] = {}
-        self.sets: list[frozenset] = []
+        self.forget()
+
+    def forget(self) -> None:
+        """Start the states anew. A state is kept as the bytes of its sorted numbers, 3 * node + edits."""
+        self.states: dict[bytes, int] = {}
+        self.sets: list[bytes] = []
         self.accepts: list[tuple[int, int] | None] = []
         self.ends: list[tuple[int, int] | None] = []
         self.steps: list[dict[str, int]] = []
-        self.start = self.state({0: 0})
         self.heads: dict[str, tuple[int, tuple[int, int] | None]] = {}
+        self.start = self.state({0: 0})
 
     def _closure(self, node: int, edits: int) -> tuple:
         """(node, edits) and what skipped letters of the trie lead to."""
@@ -201,12 +210,13 @@ class Matcher:
             for at, used in self._closure(node, edits):
                 if used < closed.get(at, 3):
                     closed[at] = used
-        key = frozenset(closed.items())
+        key = array("i", sorted([3 * at + used for at, used in closed.items()])).tobytes()
         number = self.states.get(key)
         if number is None:
             number = self.states[key] = len(self.sets)
             self.sets.append(key)
-            whole = [(e, self.term[n]) for n, e in key if self.term[n] is not None and e <= self.edits[self.term[n]]]
+            ended = [(e, self.term[n]) for n, e in closed.items() if self.term[n] is not None]
+            whole = [(e, t) for e, t in ended if e <= self.edits[t]]
             self.accepts.append(min(whole) if whole else None)
             stems = [(e, t) for e, t in whole if self.lexicon[t][1] and e == 0]
             self.ends.append(min(stems) if stems else None)
@@ -218,7 +228,7 @@ class Matcher:
         after = known.get(letter)
         if after is None:
             best: dict[int, int] = {}
-            for node, edits in self.sets[state]:
+            for node, edits in (divmod(pair, 3) for pair in array("i", self.sets[state])):
                 child = self.children[node].get(letter)
                 if child is not None and edits <= self.allowed[child] and edits < best.get(child, 3):
                     best[child] = edits
@@ -243,11 +253,11 @@ class Matcher:
 
     def find(self, word: str) -> tuple[int, int] | None:
         """(edits, term) of the nearest term, or None."""
+        if len(self.sets) > KNOWN_STATES:
+            self.forget()
         head = word[:3]
         found = self.heads.get(head)
         if found is None:
-            if len(self.heads) > 200_000:
-                self.heads.clear()
             found = self.heads[head] = self._walk(self.start, None, head)
         state, stem = found
         if state >= 0 and len(word) > 3:
@@ -447,7 +457,7 @@ def count_terms(wanted):
             types = (pa.string(), pa.int32(), pa.int64())
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["term", "grp", "n"])
 
-        for batch in batches:
+        for batch in (whole.slice(low, SLICE_ROWS) for whole in batches for low in range(0, whole.num_rows, SLICE_ROWS)):
             for label, fold, text in zip(*(c.to_pylist() for c in batch.columns)):
                 words = set(text.split())
                 new = words.difference(seen)
@@ -602,10 +612,11 @@ def score(model: dict, text_col: str = "text") -> Column:
 
     sent = SparkSession.active().sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def run(texts: pd.Series) -> pd.Series:
+    @F.arrow_udf("double")
+    def run(texts: pa.Array) -> pa.Array:
         scorer = worker_state(key, lambda: Scorer(sent.value))
-        return pd.Series(scorer.scores(texts.tolist()), dtype="float64")
+        slices = (texts.slice(low, SLICE_ROWS) for low in range(0, len(texts), SLICE_ROWS))
+        return pa.array(np.concatenate([np.zeros(0), *(scorer.scores(own.to_pylist()) for own in slices)]))
 
     return run(text_of(text_col))
 
