@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tidemill.catalog import eda, formats, loading, quality, relational, star, texts
+from tidemill.catalog import eda, formats, loading, pipelines, quality, relational, star, texts
 
-MODULES = (star, relational, quality, eda, texts, formats, loading)
+MODULES = (star, relational, quality, eda, texts, formats, loading, pipelines)
 
 
 def queries() -> dict:

@@ -11,7 +11,7 @@ from tidemill.plans.testbed import table, tables
 from tidemill.plans.warehouse import TABLES, register_views
 from tidemill.sources import files, sinks
 from tidemill.sources.nested import flatten_struct
-from tidemill.storage import scratch_path
+from tidemill.storage import materialize, scratch_path
 
 DOCUMENT = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 CUSTOMER = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
@@ -103,13 +103,22 @@ def extract_json_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.extract_json(spark, path, schema).unionByName(files.extract_json(spark, f"{path}/none", schema))
 
 
+#: Rows of one landed JSON array.
+ARRAY_ROWS = 1000
+
+
+def write_json_arrays(rows: DataFrame, group: str, key: str, columns: list[str], path: str) -> str:
+    """Rows as JSON arrays, a file for each group and range of keys; text files do not add anything to them."""
+    landed = rows.withColumn("page", F.floor(F.col(key) / ARRAY_ROWS)).groupBy(group, "page")
+    arrays = landed.agg(F.to_json(F.collect_list(F.struct(*columns))).alias("value"))
+    arrays.write.mode("overwrite").partitionBy(group, "page").text(path)
+    return f"{path}/*/*"
+
+
 def _json_arrays(spark: SparkSession, sf_dir: str) -> str:
-    """Suppliers as one array for each nation; text files do not add anything to it."""
-    rows = table(spark, sf_dir, "supplier").select("s_nationkey", F.struct("s_suppkey", "s_name", "s_acctbal").alias("s"))
-    arrays = rows.groupBy("s_nationkey").agg(F.to_json(F.collect_list("s")).alias("value"))
-    path = scratch_path(spark, "arrays")
-    arrays.write.mode("overwrite").partitionBy("s_nationkey").text(path)
-    return f"{path}/*"
+    """Suppliers as arrays of a nation."""
+    suppliers, path = table(spark, sf_dir, "supplier"), scratch_path(spark, "arrays")
+    return write_json_arrays(suppliers, "s_nationkey", "s_suppkey", ["s_suppkey", "s_name", "s_acctbal"], path)
 
 
 def json_array(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,15 +156,15 @@ def csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def binary_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Names of the regions, a file for each, read as bytes."""
+    """Documents in files of a hundred ids, one line each in the order of ids, read as bytes."""
     path = scratch_path(spark, "bytes")
-    rows = table(spark, sf_dir, "region").select("r_regionkey", F.col("r_name").alias("value"))
-    rows.write.mode("overwrite").partitionBy("r_regionkey").text(path)
-    found = files.read_binary(spark, f"{path}/r_regionkey=*/*")
-    key = F.regexp_extract("path", r"r_regionkey=(\d+)", 1).cast("int")
-    return found.select(
-        key.alias("r_regionkey"), "length", F.hex(F.substring("content", 1, F.col("length").cast("int") - 1)).alias("bytes")
-    )
+    line = F.struct("doc_id", F.regexp_replace("text", "[\\r\\n]", " ").alias("line"))
+    rows = table(spark, sf_dir, "documents").groupBy(F.floor(F.col("doc_id") / 100).alias("page"))
+    rows = rows.agg(F.array_join(F.transform(F.array_sort(F.collect_list(line)), lambda x: x["line"]), "\n").alias("value"))
+    rows.write.mode("overwrite").partitionBy("page").text(path)
+    found = files.read_binary(spark, f"{path}/page=*/*")
+    key = F.regexp_extract("path", r"page=(\d+)", 1).cast("bigint")
+    return found.select(key.alias("page"), "length", F.md5("content").alias("digest"))
 
 
 def sql_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,11 +178,11 @@ def sql_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def null_key_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nations looked up by a region key that is NULL for one region on both sides."""
-    hidden = lambda c: F.when(F.col(c) != 2, F.col(c))
-    nations = table(spark, sf_dir, "nation").select("n_name", hidden("n_regionkey").alias("region"))
-    regions = table(spark, sf_dir, "region").select(hidden("r_regionkey").alias("id"), F.col("r_name").alias("found"))
-    return lookup_key(nations, regions, {"region": "id"}, "found")
+    """Orders looked up by a customer key that is NULL for one customer on both sides."""
+    hidden = lambda c: F.when(F.col(c) != 4, F.col(c))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", hidden("o_custkey").alias("customer"))
+    customers = table(spark, sf_dir, "customer").select(hidden("c_custkey").alias("id"), F.col("c_name").alias("found"))
+    return lookup_key(orders, materialize(customers, "customers"), {"customer": "id"}, "found")
 
 
 QUERIES = {
@@ -204,14 +213,16 @@ ORACLE = {
   CASE WHEN p_size > 5 THEN CAST(p_size AS VARCHAR) END AS size FROM part""",
     "csv_multi_file": "SELECT c_custkey AS id, c_name AS name FROM customer UNION ALL SELECT s_suppkey, s_name FROM supplier",
     "csv_inferred": "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders",
-    "binary_files": """SELECT CAST(r_regionkey AS INTEGER) AS r_regionkey, strlen(r_name) + 1 AS length,
-  hex(r_name) AS bytes FROM region""",
+    "binary_files": r"""SELECT page, strlen(bytes) AS length, md5(bytes) AS digest FROM (
+  SELECT CAST(floor(doc_id / 100) AS BIGINT) AS page,
+    string_agg(regexp_replace(text, '[\r\n]', ' ', 'g'), chr(10) ORDER BY doc_id) || chr(10) AS bytes
+  FROM documents GROUP BY 1)""",
     "sql_reports": """SELECT CAST(year(o_orderdate) AS INTEGER) AS year, c_mktsegment AS customer_segment, COUNT(*) AS items,
   CAST(ROUND(SUM(CAST(p_retailprice AS DECIMAL(10,2)) * CAST(l_quantity AS INTEGER)), 2) AS DOUBLE) AS sales
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
   JOIN part ON l_partkey = p_partkey GROUP BY 1, 2""",
-    "null_key_lookup": """SELECT n_name, CASE WHEN n_regionkey <> 2 THEN n_regionkey END AS region, r_name AS found
-  FROM nation JOIN region ON n_regionkey = r_regionkey""",
+    "null_key_lookup": """SELECT o_orderkey, nullif(o_custkey, 4) AS customer, c_name AS found
+  FROM orders LEFT JOIN customer ON o_custkey = c_custkey""",
     "csv_roundtrip": "SELECT * FROM documents",
     "csv_latin1": "SELECT * FROM documents",
     "csv_parse_dates": """SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_orderdate END AS shipped,

@@ -112,7 +112,7 @@ def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         return _BUILT[key][1]
 
 
-def _once(label: str, spark: SparkSession, sf_dir: str, make: Callable[[], dict[str, DataFrame]]) -> dict[str, DataFrame]:
+def once(label: str, spark: SparkSession, sf_dir: str, make: Callable[[], dict[str, DataFrame]]) -> dict[str, DataFrame]:
     """What ``make`` writes, once per application and source folder."""
     key = (f"{label} {spark.sparkContext.applicationId}", sf_dir)
     with _LOCK:
@@ -136,7 +136,7 @@ def loaded(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         extend_warehouse(rows.filter((day >= first) & (day < second)), store)
         return extend_warehouse(rows.filter(day >= first), store)
 
-    return _once("loads", spark, sf_dir, make)
+    return once("loads", spark, sf_dir, make)
 
 
 def rebuilt(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -148,7 +148,7 @@ def rebuilt(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         build_warehouse(rows.filter(F.col("order_datetime") < F.to_timestamp_ntz(F.lit(f"{LOADS[1]} 00:00:00"))), store)
         return build_warehouse(rows, store)
 
-    return _once("rebuilt", spark, sf_dir, make)
+    return once("rebuilt", spark, sf_dir, make)
 
 
 def staging(spark: SparkSession, sf_dir: str) -> DataFrame:
