@@ -149,7 +149,7 @@ def arrive(spark, tmp_path, **options):
 
 def test_arrivals_load_each_key_once(spark, tmp_path):
     schema = order_frame(spark, ORDERS).schema
-    arrivals.backfill(order_frame(spark, ORDERS[:3]), str(tmp_path / "target"))
+    arrivals.backfill(order_frame(spark, ORDERS[:3]), str(tmp_path / "target"), ["order_id"])
     late = (706, 2, 51, 1, "2021-08-06")
     twice = (706, 9, 9, 9, "2021-08-07")  # in one file with the other row of its key, hence in one batch
     order_frame(spark, [*ORDERS[2:], late, twice]).coalesce(1).write.parquet(str(tmp_path / "in"))

@@ -80,7 +80,7 @@ def stream_new_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "arrivals")
     events = table(spark, sf_dir, "events")
     early = F.col("event_type").isin("click", "view")
-    arrivals.backfill(events.filter(early), f"{root}/target")
+    arrivals.backfill(events.filter(early), f"{root}/target", ["event_id"])
     for name, part in {"a": events, "b": events.filter(~early)}.items():
         part.write.mode("overwrite").parquet(f"{root}/landing/{name}")
     for _ in range(2):
@@ -94,7 +94,7 @@ def stream_new_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
             f"{root}/checkpoint",
             files_per_batch=2,
         )
-    return arrivals.read_target(spark, f"{root}/target", events.schema).drop(arrivals.ARRIVAL)
+    return arrivals.read_target(spark, f"{root}/target", events.schema)
 
 
 def _ecommerce(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:

@@ -94,12 +94,12 @@ def ecommerce_run(
         for name in ("customers", "products", "payments"):
             audit.record(name, store.replace(name, clean_frame(tables[name])))
         sold = clean_frame(tables["orders"]).filter(F.col("quantity") > 0)
-        arrivals.backfill(historical_split(sold, "order_date", cutoff)[0].select(*schema.names), orders)
+        arrivals.backfill(historical_split(sold, "order_date", cutoff)[0].select(*schema.names), orders, ["order_item_id"])
         audit.record("history", arrivals.read_target(spark, orders, schema))
         arrivals.stream_new_arrivals(
             spark, arriving, schema, ["order_item_id"], ["order_date", "order_id"], orders, f"{root}/stream"
         )
-        loaded = arrivals.read_target(spark, orders, schema).drop(arrivals.ARRIVAL)
+        loaded = arrivals.read_target(spark, orders, schema)
         audit.record("orders", loaded)
         unpaid = loaded.select("order_id").distinct().join(store.read("payments"), "order_id", "left_anti")
         audit.check("orders without payment", unpaid.count())

@@ -5,25 +5,21 @@ from __future__ import annotations
 import json
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemill.operators.keys import dedupe_keep_first
-from tidemill.operators.load import anti_join_new
-from tidemill.storage import filesystem, materialize
+from tidemill.storage import filesystem
+from tidemill.streaming.key_index import KeyedTable
 
-ARRIVAL = "arrival"
 
-
-def backfill(df: DataFrame, target: str) -> None:
-    """First load of the target."""
-    df.write.mode("overwrite").parquet(f"{target}/{ARRIVAL}=history")
+def backfill(df: DataFrame, target: str, keys: list[str]) -> None:
+    """First load of the target, whose rows have their own key each."""
+    KeyedTable(df.sparkSession, target, df.schema, keys).backfill(df)
 
 
 def read_target(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
     """All loaded rows."""
-    with_arrival = T.StructType([*schema.fields, T.StructField(ARRIVAL, T.StringType())])
-    return spark.read.schema(with_arrival).option("basePath", target).parquet(target)
+    return KeyedTable(spark, target, schema, []).read()
 
 
 def _stream_id(spark: SparkSession, checkpoint: str) -> str:
@@ -45,9 +41,9 @@ def stream_new_arrivals(
 ) -> int:
     """Load every file that arrived since the last call; returns the number of micro-batches.
 
-    Within a batch the first row per key wins, and a key that the target already holds is
-    ignored. A batch writes its own folder, named by stream and batch number, in overwrite
-    mode and compares with the other folders only, so a repeated batch gives the same result.
+    Within a batch the first row per key wins, and a key that the target already holds is ignored: the target's key
+    index tells which of its files may hold one (see :mod:`tidemill.streaming.key_index`). A batch writes its own
+    folder, named by stream and batch number, so a repeated batch gives the same result. Many folders become few.
     """
     reader = spark.readStream.format(fmt).schema(schema)
     if glob:
@@ -60,9 +56,7 @@ def stream_new_arrivals(
     def load(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         mine = f"{_stream_id(session, checkpoint)}-{batch_id}"
-        first = materialize(dedupe_keep_first(batch, keys, order_by), "arrival")
-        known = read_target(session, target, schema).filter(F.col(ARRIVAL) != mine)
-        anti_join_new(first, known, keys).write.mode("overwrite").parquet(f"{target}/{ARRIVAL}={mine}")
+        KeyedTable(session, target, schema, keys).load(dedupe_keep_first(batch, keys, order_by), mine)
         loaded.add(batch_id)
 
     fs, folder = filesystem(spark, target)
