@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -42,6 +43,26 @@ def test_correlation_uses_complete_pairs(spark):
     assert got["a", "b"] == pytest.approx(np.corrcoef([1, 2, 4], [2, 4, 8.5])[0, 1])
 
 
+def test_correlation_of_many_columns(spark):
+    """200 columns with gaps, far from zero, some constant as a whole or where another is present."""
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=(300, 200)) + rng.normal(size=(300, 1)) + 1e6
+    base[rng.random(base.shape) < 0.1] = np.nan
+    base[:, 5] = 7.25
+    base[150:, 6] = np.nan
+    base[:150, 7], base[150:, 7] = 3.1, rng.normal(size=150)  # constant where column 6 is present
+    base[:, 8] = np.nan
+    names = [f"c{i}" for i in range(200)]
+    df = spark.createDataFrame(pd.DataFrame(base, columns=names)).repartition(3)
+    got = eda.corr_matrix(df, names).toPandas().pivot(index="column_a", columns="column_b", values="correlation")
+    got = got.loc[names, names].to_numpy()
+    want = pd.DataFrame(base).corr().to_numpy()
+    want[5, :] = want[:, 5] = np.nan
+    want[6, 7] = want[7, 6] = np.nan
+    assert np.array_equal(np.isnan(got), np.isnan(want))
+    assert np.nanmax(np.abs(got - want)) < 1e-9
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_quantiles_equal_brute_force(spark, seed):
     rng = np.random.default_rng(seed)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemill.functions.measures import nan_to_null
-from tidemill.operators import quantiles
+from tidemill.operators import gram, quantiles
 from tidemill.operators.cleaning import columns_of_type, quoted
 
 
@@ -107,43 +109,41 @@ def describe_stats(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def corr_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
     """``column_a, column_b, correlation`` for all ordered pairs: Pearson over the rows where
-    both are present, NULL when either does not vary.
+    both are present, NULL when either does not vary there.
 
-    A light first pass finds columns that are constant or have gaps. Constant columns and the
-    diagonal then need no aggregate, and columns without gaps share one deviation among all
-    their pairs, so k such columns cost k(k+1)/2 aggregates in the second pass.
+    A light first pass finds the columns' ranges, means and gaps. The second multiplies blocks of rows (see
+    :mod:`tidemill.operators.gram`), so any number of columns is one scan with one row for a pair and task.
     """
-    typed = {c: _number(c) for c in columns}
+    typed = [_number(c) for c in columns]
+    if not columns:
+        return df.sparkSession.createDataFrame([], "column_a string, column_b string, correlation double")
     seen = df.agg(
         F.count(F.lit(1)).alias("rows"),
-        *[F.struct(F.count(v), F.min(v), F.max(v)).alias(f"c{i}") for i, v in enumerate(typed.values())],
+        *[F.struct(F.count(v), F.min(v), F.max(v), F.avg(v)).alias(f"c{i}") for i, v in enumerate(typed)],
     ).first()
-    varies, complete = {}, {}
-    for i, c in enumerate(columns):
-        present, low, high = seen[f"c{i}"]
-        varies[c] = low is not None and high > low
-        complete[c] = present == seen["rows"]
-
-    def deviation(of: str, other: str) -> Column:
-        value = typed[of] if complete[other] else F.when(typed[other].isNotNull(), typed[of])
-        return F.stddev_pop(value)
-
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :] if varies[a] and varies[b]]
-    one_row = df.agg(
-        F.lit(1.0).alias("one"),
-        *[
-            F.try_divide(F.covar_pop(typed[a], typed[b]), deviation(a, b) * deviation(b, a)).alias(f"p{i}")
-            for i, (a, b) in enumerate(pairs)
-        ],
+    stats = [seen[f"c{i}"] for i in range(len(columns))]
+    gaps = [i for i, s in enumerate(stats) if s[0] < seen["rows"]]
+    varies = [s[1] is not None and s[2] > s[1] for s in stats]
+    centre = [s[3] if s[3] is not None and math.isfinite(s[3]) else 0.0 for s in stats]
+    cells = gram.pair_moments(df, typed, centre, gaps)
+    # the range of one column over the rows that have the other; without gaps it is that of the whole column
+    other = cells.select(F.col("j").alias("i"), F.col("i").alias("j"), F.col("low").alias("low_y"), F.col("high").alias("high_y"))
+    names, moving = F.array(*[F.lit(c) for c in columns]), F.array(*[F.lit(v) for v in varies])
+
+    def moves(low: str, high: str, this: str, that: str) -> Column:
+        with_gaps = F.col(that).isin(gaps) if gaps else F.lit(False)
+        return F.when(with_gaps, F.col(low) < F.col(high)).otherwise(F.get(moving, F.col(this)))
+
+    def spread(square: str, total: str) -> Column:
+        return F.col(square) - F.col(total) * F.col(total) / F.col("n")
+
+    covariance = F.col("xy") - F.col("x") * F.col("y") / F.col("n")
+    pearson = covariance / F.sqrt(F.greatest(spread("xx", "x"), F.lit(0.0)) * F.greatest(spread("yy", "y"), F.lit(0.0)))
+    both = moves("low", "high", "i", "j") & moves("low_y", "high_y", "j", "i")
+    value = F.when(both & (F.col("i") == F.col("j")), F.lit(1.0)).when(both & (F.col("n") > 0), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), pearson)))
+    return cells.join(other, ["i", "j"]).select(
+        F.get(names, F.col("i")).alias("column_a"), F.get(names, F.col("j")).alias("column_b"), nan_to_null(value).alias("correlation")
     )
-    place = {pair: f"p{i}" for i, pair in enumerate(pairs)}
-    cells = []
-    for a in columns:
-        for b in columns:
-            name = "one" if a == b and varies[a] else place.get((a, b)) or place.get((b, a))
-            value = F.col(name) if name else F.lit(None).cast("double")
-            cells.append(F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), value.alias("correlation")))
-    return one_row.select(F.inline(F.array(*cells)))
 
 
 def histogram_bins(df: DataFrame, columns: list[str], bins: int = 10) -> DataFrame:
