@@ -155,7 +155,7 @@ def table_rows(html: str | None) -> list[tuple[int, int, bool, list[str]]]:
 def extract_html_tables(pages: DataFrame, key: str, html: str) -> DataFrame:
     """One row per table row: ``key, table_idx, row_idx, is_header, cells``.
 
-    The only Python function in the library, because HTML has no built-in reader. It is a
+    A Python function, because HTML has no built-in reader. It is a
     narrow map over Arrow batches, one page at a time and without a shuffle, and pages without
     a table never reach it. For very large pages lower
     ``spark.sql.execution.arrow.maxRecordsPerBatch``.
