@@ -74,6 +74,18 @@ def test_distinct_orders_do_not_shuffle_ids(spark, name):
     assert five <= 1.2 * one + 2000
 
 
+def test_reports_share_their_scans_of_the_fact(spark):
+    """Two scans answer thirteen reports; the fourteenth reads the fact for ten products."""
+    tables = testbed.tables(spark, SF)
+    shared = reports.shared(tables)
+    for name, report in {**reports.REPORTS, "order_status": reports.order_status}.items():
+        reads_fact = any("/fact_sales/" in file for file in report(shared).inputFiles())
+        assert reads_fact == (name == "top_products"), name
+        one, other = (report(t) for t in (tables, shared))
+        assert one.schema.simpleString() == other.schema.simpleString()
+        assert one.collect() == other.collect(), name
+
+
 def test_bitmaps_of_loads_add_up(spark):
     tables = testbed.tables(spark, SF)
     fact = tables["fact_sales"].join(tables["dim_shipping"], "shipping_key")

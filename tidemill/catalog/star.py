@@ -234,7 +234,7 @@ def export_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def run_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     audit = sinks.run_reports(
-        spark, reports.REPORTS, testbed.tables(spark, sf_dir), scratch_path(spark, "reports")
+        spark, reports.REPORTS, reports.shared(testbed.tables(spark, sf_dir)), scratch_path(spark, "reports")
     )
     return audit.select("name", "rows", "columns", "status")
 

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.functions.measures import report_money
+from tidemill.storage import materialize
 
 Tables = dict[str, DataFrame]
 
@@ -52,6 +53,87 @@ def _partial_sums(*columns: str) -> list[Column]:
     return [F.sum(c).alias(c) for c in columns]
 
 
+#: What can be added up, by the name that reports use.
+MEASURES: dict[str, Callable[[], Column]] = {
+    "items": lambda: F.count(F.lit(1)),
+    **{c: lambda c=c: F.sum(c) for c in ("quantity", "sales", "revenue", "profit", "profit_margin")},
+    "margins": lambda: F.count("profit_margin"),
+    "discount": lambda: F.sum("discount_amount"),
+    "discounts": lambda: F.count("discount_amount"),
+    "delay": lambda: F.sum("shipping_delay_days"),
+    "delays": lambda: F.count("shipping_delay_days"),
+    "delayed": lambda: F.count_if(F.col("shipping_delay_days") > 0),
+}
+#: Columns of the fact by which measures are added up in one scan, each by itself and all together.
+ROLLUP_KEYS = ["order_date_key", "location_key", "product_key", "shipping_key", "customer_key", "shipping_delay_days"]
+#: Groups whose distinct orders are counted in one scan, and the whole.
+ORDER_GROUPS = [
+    ["year"], ["market"], ["order_region"], ["order_city", "order_state", "order_country"], ["shipping_mode"],
+    ["customer_segment"], ["category_name"], [],
+]
+
+
+def _set_number(all_columns: list[str], grouped: list[str]) -> int:
+    """What grouping_id gives for a grouping set: a bit for each column that is not in it."""
+    return sum(1 << (len(all_columns) - 1 - i) for i, c in enumerate(all_columns) if c not in grouped)
+
+
+def shared(t: Tables) -> Tables:
+    """The tables with the answers of two scans of the fact, from which the reports then come.
+
+    ``rollup`` has all measures by each key of the fact, as many rows as the dimensions together; ``order_counts`` the
+    distinct orders of every group that a report asks for, by bitmaps. Reports look there first.
+    """
+    fact = t["fact_sales"]
+    sets = [[k] for k in ROLLUP_KEYS] + [[]]
+    rollup = fact.groupingSets([[F.col(c) for c in one] for one in sets], *[F.col(c) for c in ROLLUP_KEYS])
+    rollup = rollup.agg(F.grouping_id().alias("grouped"), *[m().alias(f"_{name}") for name, m in MEASURES.items()])
+    columns = [c for group in ORDER_GROUPS for c in group]
+    placed = fact.select("order_number", "order_date_key", *ROLLUP_KEYS[1:5])
+    for name, key in (("dim_location", "location_key"), ("dim_product", "product_key"), ("dim_shipping", "shipping_key"),
+                      ("dim_customer", "customer_key")):
+        placed = placed.join(t[name].select(key, *[c for c in columns if c in t[name].columns]), key, "left")
+    days = t["dim_date"].select(F.col("date_key").alias("order_date_key"), "year")
+    placed = placed.join(days, "order_date_key", "left").withColumn("bucket", F.bitmap_bucket_number("order_number"))
+    bits = placed.filter("order_number IS NOT NULL").groupingSets(
+        [[F.col(c) for c in (*group, "bucket")] for group in ORDER_GROUPS], *[F.col(c) for c in (*columns, "bucket")]
+    )
+    bits = bits.agg(F.grouping_id().alias("grouped"), F.bitmap_construct_agg(F.bitmap_bit_position("order_number")).alias("bits"))
+    counts = bits.groupBy("grouped", *columns).agg(F.sum(F.bitmap_count("bits")).alias("total_orders"))
+    return {**t, "rollup": materialize(rollup, "rollup"), "order_counts": materialize(counts, "order-counts")}
+
+
+def _added_up(t: Tables, key: str | None, *measures: str) -> DataFrame:
+    """Measures by a key of the fact, or of the whole: from the shared scan if there was one."""
+    if "rollup" in t:
+        number = _set_number(ROLLUP_KEYS, [key] if key else [])
+        rows = t["rollup"].filter(F.col("grouped") == number)
+        return rows.select(*([key] if key else []), *[F.col(f"_{m}").alias(m) for m in measures])
+    aggregates = [MEASURES[m]().alias(m) for m in measures]
+    return t["fact_sales"].groupBy(key).agg(*aggregates) if key else t["fact_sales"].agg(*aggregates)
+
+
+def _order_counts(t: Tables, group: list[str]) -> DataFrame:
+    """``group, total_orders`` of the shared scan; a group without a partner in its dimension is left out."""
+    columns = [c for own in ORDER_GROUPS for c in own]
+    rows = t["order_counts"].filter(F.col("grouped") == _set_number([*columns, "bucket"], [*group, "bucket"]))
+    return rows.select(*group, "total_orders")
+
+
+def _counted(t: Tables, placed: DataFrame, group: list[str], final: list[Column]) -> DataFrame:
+    """Final aggregates of the shared scan's measures with the distinct orders of each group."""
+    sums = placed.groupBy(*group).agg(*final).alias("s") if group else placed.agg(*final).alias("s")
+    same = F.lit(True)
+    for c in group:
+        same = same & F.col(f"s.{c}").eqNullSafe(F.col(f"o.{c}"))
+    orders = _order_counts(t, group).alias("o")
+    if not group:  # one row on either side
+        sums, orders, same = sums.withColumn("_one", F.lit(1)), orders.withColumn("_one", F.lit(1)), F.expr("s._one = o._one")
+    names = [c for c in sums.columns if c not in (*group, "_one")]
+    total = F.coalesce("o.total_orders", F.lit(0).cast("long")).alias("total_orders")
+    return sums.alias("s").join(orders.alias("o"), same, "left").select(*[f"s.{c}" for c in group], total, *[f"s.{c}" for c in names])
+
+
 def _money(column: str, name: str) -> Column:
     return report_money(F.sum(column)).alias(name)
 
@@ -67,11 +149,7 @@ def _sales_profit() -> list[Column]:
 
 
 def overall_performance(t: Tables) -> DataFrame:
-    partial = [
-        *_partial_sums("quantity", "sales", "revenue", "profit", "profit_margin"),
-        F.count("profit_margin").alias("margins"),
-        F.count(F.lit(1)).alias("items"),
-    ]
+    measures = ["quantity", "sales", "revenue", "profit", "profit_margin", "margins", "items"]
     final = [
         F.coalesce(F.sum("items"), F.lit(0)).alias("total_order_items"),
         F.sum("quantity").alias("total_quantity"),
@@ -80,7 +158,9 @@ def overall_performance(t: Tables) -> DataFrame:
         _money("profit", "total_profit"),
         _mean("profit_margin", rows="margins").alias("average_profit_margin"),
     ]
-    return _with_orders(t["fact_sales"], [], partial, final)
+    if "rollup" in t:
+        return _counted(t, _added_up(t, None, *measures), [], final)
+    return _with_orders(t["fact_sales"], [], [MEASURES[m]().alias(m) for m in measures], final)
 
 
 def _dated(t: Tables, period: Column | None = None) -> DataFrame:
@@ -95,18 +175,28 @@ def _dated(t: Tables, period: Column | None = None) -> DataFrame:
 
 
 def yearly_sales(t: Tables, period: Column | None = None) -> DataFrame:
+    if "rollup" in t and period is None:
+        per_day = _added_up(t, "order_date_key", "sales", "profit")
+        placed = per_day.join(t["dim_date"], F.col("order_date_key") == F.col("date_key"))
+        return _counted(t, placed, ["year"], _sales_profit()).orderBy("year")
     by_year = _with_orders(_dated(t, period), ["year"], _partial_sums("sales", "profit"), _sales_profit())
     return by_year.orderBy("year")
 
 
 def monthly_sales(t: Tables, period: Column | None = None) -> DataFrame:
-    days = t["dim_date"] if period is None else t["dim_date"].filter(period)
-    per_day = t["fact_sales"].groupBy("order_year", "order_date_key").agg(*_partial_sums("sales", "profit"))
-    same = (F.col("order_date_key") == F.col("date_key")) & (F.col("order_year") == F.col("year"))
+    days, same = t["dim_date"], F.col("order_date_key") == F.col("date_key")
+    if period is None:
+        per_day = _added_up(t, "order_date_key", "sales", "profit")
+    else:
+        days, same = days.filter(period), same & (F.col("order_year") == F.col("year"))
+        per_day = t["fact_sales"].groupBy("order_year", "order_date_key").agg(*_partial_sums("sales", "profit"))
     return per_day.join(days, same).groupBy("year", "month", "month_name").agg(*_sales_profit()).orderBy("year", "month")
 
 
 def _by_location(t: Tables, *group: str) -> DataFrame:
+    if "rollup" in t:
+        placed = _added_up(t, "location_key", "sales", "profit").join(t["dim_location"], "location_key")
+        return _counted(t, placed, list(group), _sales_profit())
     placed = t["fact_sales"].join(t["dim_location"], "location_key")
     return _with_orders(placed, list(group), _partial_sums("sales", "profit"), _sales_profit())
 
@@ -126,7 +216,12 @@ def top_cities(t: Tables) -> DataFrame:
 
 def top_products(t: Tables) -> DataFrame:
     """The product key identifies a row, also where two products share a name."""
-    per_product = t["fact_sales"].groupBy("product_key").agg(
+    fact = t["fact_sales"]
+    if "rollup" in t:  # the ten are known without the orders, which are counted for them alone
+        first = _added_up(t, "product_key", "sales").join(t["dim_product"].select("product_key"), "product_key")
+        first = first.orderBy(F.desc(report_money(F.col("sales"))), "product_key").limit(TOP).collect()
+        fact = fact.filter(F.col("product_key").isin([r["product_key"] for r in first]))
+    per_product = fact.groupBy("product_key").agg(
         _orders(), F.sum("quantity").alias("quantity_sold"), *_sales_profit()
     )
     return (
@@ -139,6 +234,10 @@ def top_products(t: Tables) -> DataFrame:
 
 def category_sales(t: Tables) -> DataFrame:
     """Grouped by name: categories that share a name are one row."""
+    if "rollup" in t:
+        placed = _added_up(t, "product_key", "quantity", "sales", "profit").join(t["dim_product"], "product_key")
+        final = [F.sum("quantity").alias("quantity_sold"), *_sales_profit()]
+        return _counted(t, placed, ["category_name"], final).orderBy(F.desc("total_sales"), "category_name")
     return (
         t["fact_sales"]
         .join(t["dim_product"], "product_key")
@@ -150,6 +249,10 @@ def category_sales(t: Tables) -> DataFrame:
 
 def customer_segments(t: Tables) -> DataFrame:
     """Two distinct counts: orders by their numbers, customers by their dense surrogate key, both by bitmaps."""
+    if "rollup" in t:  # which has one row for a customer
+        placed = _added_up(t, "customer_key", "sales", "profit").join(t["dim_customer"], "customer_key")
+        found = _counted(t, placed, ["customer_segment"], [F.count("customer_key").alias("unique_customers"), *_sales_profit()])
+        return found.orderBy(F.desc("total_sales"), "customer_segment")
     placed = t["fact_sales"].join(t["dim_customer"], "customer_key")
     partial, final = _partial_sums("sales", "profit"), _sales_profit()
     orders = _with_orders(placed, ["customer_segment"], partial, final)
@@ -163,24 +266,29 @@ def customer_segments(t: Tables) -> DataFrame:
 
 
 def shipping_performance(t: Tables) -> DataFrame:
-    partial = [
-        F.sum("shipping_delay_days").alias("delay"),
-        F.count("shipping_delay_days").alias("delays"),
-        F.count_if(F.col("shipping_delay_days") > 0).alias("delayed"),
-        F.count(F.lit(1)).alias("items"),
-    ]
+    measures = ["delay", "delays", "delayed", "items"]
     final = [
         _mean("delay", rows="delays").alias("average_shipping_delay"),
         F.sum("delayed").alias("delayed_items"),
         F.round(F.lit(100.0) * F.sum("delayed") / F.sum("items"), 2).alias("delay_percentage"),
     ]
-    shipped = t["fact_sales"].join(t["dim_shipping"], "shipping_key")
-    return _with_orders(shipped, ["shipping_mode"], partial, final).orderBy(F.desc("delay_percentage"), "shipping_mode")
+    if "rollup" in t:
+        shipped = _added_up(t, "shipping_key", *measures).join(t["dim_shipping"], "shipping_key")
+        found = _counted(t, shipped, ["shipping_mode"], final)
+    else:
+        shipped = t["fact_sales"].join(t["dim_shipping"], "shipping_key")
+        found = _with_orders(shipped, ["shipping_mode"], [MEASURES[m]().alias(m) for m in measures], final)
+    return found.orderBy(F.desc("delay_percentage"), "shipping_mode")
 
 
 def _product_profit(t: Tables) -> DataFrame:
-    per_product = t["fact_sales"].groupBy("product_key").agg(
-        *_sales_profit(), _mean("profit_margin").alias("average_profit_margin")
+    measures = _added_up(t, "product_key", "sales", "profit", "profit_margin", "margins")
+    margin = F.try_divide(F.col("profit_margin"), F.col("margins"))
+    per_product = measures.select(
+        "product_key",
+        report_money(F.col("sales")).alias("total_sales"),
+        report_money(F.col("profit")).alias("total_profit"),
+        (F.round(margin, 2) + F.lit(0.0)).alias("average_profit_margin"),
     )
     return per_product.join(t["dim_product"], "product_key")
 
@@ -197,31 +305,25 @@ def loss_products(t: Tables) -> DataFrame:
 
 
 def discount_analysis(t: Tables) -> DataFrame:
-    per_product = t["fact_sales"].groupBy("product_key").agg(
-        F.sum("discount_amount").alias("discount"),
-        F.count("discount_amount").alias("items"),
-        F.sum("sales").alias("sales"),
-        F.sum("profit").alias("profit"),
-    )
+    per_product = _added_up(t, "product_key", "discount", "discounts", "sales", "profit")
     return (
         per_product.join(t["dim_product"], "product_key")
         .groupBy("category_name")
-        .agg(_mean("discount", rows="items").alias("average_discount"), *_sales_profit())
+        .agg(_mean("discount", rows="discounts").alias("average_discount"), *_sales_profit())
         .orderBy(F.desc("average_discount"), "category_name")
     )
 
 
 def shipping_delay(t: Tables) -> DataFrame:
-    return (
-        t["fact_sales"]
-        .groupBy("shipping_delay_days")
-        .agg(F.count(F.lit(1)).alias("order_items"), *_sales_profit())
-        .orderBy("shipping_delay_days")
-    )
+    found = _added_up(t, "shipping_delay_days", "items", "sales", "profit")
+    money = [report_money(F.col(c)).alias(f"total_{c}") for c in ("sales", "profit")]
+    return found.select("shipping_delay_days", F.col("items").alias("order_items"), *money).orderBy("shipping_delay_days")
 
 
 def order_status(t: Tables) -> DataFrame:
     """Kept from the SQL catalogue: order, sales and profit totals."""
+    if "rollup" in t:
+        return _counted(t, _added_up(t, None, "sales", "profit"), [], _sales_profit())
     return _with_orders(t["fact_sales"], [], _partial_sums("sales", "profit"), _sales_profit())
 
 
