@@ -38,12 +38,12 @@ STEM_LETTERS = (3, 12)
 ONE_EDIT, TWO_EDITS = 5, 10
 WINDOW = 8
 #: Bytes of words that a worker remembers before it starts anew, and what a word takes besides its letters.
-KNOWN_BYTES = 24 << 20
+KNOWN_BYTES = 40 << 20
 WORD_BYTES = 120
 #: Texts that are Python strings at a time.
 SLICE_ROWS = 250
 #: States that an automaton keeps before it starts anew.
-KNOWN_STATES = 150_000
+KNOWN_STATES = 200_000
 #: Counts that a task holds before it hands on what it has added up.
 COUNTED = 60_000
 #: Words near a term that speak about it instead of using it, and marks of quotation.
@@ -244,11 +244,15 @@ class Matcher:
 
     def _walk(self, state: int, stem: tuple[int, int] | None, letters: str) -> tuple[int, tuple[int, int] | None]:
         """The state after some letters, -1 if no term is near any more, and the last stem passed."""
+        steps, ends, known = self.steps, self.ends, self.letters
         for letter in letters:
-            state = self.step(state, letter if letter in self.letters else "")
+            if letter not in known:
+                letter = ""
+            after = steps[state].get(letter)
+            state = self.step(state, letter) if after is None else after
             if state < 0:
                 break
-            stem = self.ends[state] or stem
+            stem = ends[state] or stem
         return state, stem
 
     def find(self, word: str) -> tuple[int, int] | None:
@@ -281,23 +285,30 @@ class Scorer:
     """Evidence and score of texts. ``model`` is the plain dictionary that :func:`fit` returns.
 
     What a word is by itself is remembered: whether it was looked up, and for those that match, the match and form.
+    When the remembered words pass their bound, those not met since it was last reached are forgotten.
     """
 
     def __init__(self, model: dict):
         self.model, self.matcher = model, Matcher(model["lexicon"])
         self.usual = model["usual"]
         self.seen: set[str] = set()
+        self.older: set[str] = set()
         self.held = 0
         self.hits: dict[str, tuple[int, int, str]] = {}
         self.traits: dict[str, int] = {}
 
     def look(self, words: set[str]) -> None:
         new = words.difference(self.seen)
+        if not new:
+            return
         self.held += sum(map(len, new)) + WORD_BYTES * len(new)
-        if self.held > KNOWN_BYTES:
-            self.seen, self.hits, self.traits, self.held, new = set(), {}, {}, 0, words
+        if self.held > KNOWN_BYTES // 2:
+            self.older, self.seen, self.held = self.seen, set(), 0
+            self.hits = {w: hit for w, hit in self.hits.items() if w in self.older or w in words}
+            self.traits = {w: bits for w, bits in self.traits.items() if w in self.older or w in words}
+            new = words
         find, usual = self.matcher.find, self.usual
-        for word in new:
+        for word in new.difference(self.older):
             form = bare(word)
             hit = find(form) if len(form) > 2 else None
             if hit and not (hit[0] and form in usual):
