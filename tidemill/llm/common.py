@@ -27,6 +27,20 @@ def worker_state(key: str, build: Callable):
     return store[key]
 
 
+def worker_model(key: str, build: Callable):
+    """A large thing that a Python worker keeps from task to task: one at a time, whatever operators it serves."""
+    held = worker_state("model", dict)
+    if key not in held:
+        held.clear()
+        held[key] = build()
+    return held[key]
+
+
+def release_model() -> None:
+    """Drop what an earlier stage left in this worker, before a stage that needs the memory itself."""
+    worker_state("model", dict).clear()
+
+
 def text_of(column: str = "text") -> Column:
     """The text, null as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

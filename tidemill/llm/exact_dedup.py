@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import SPACES, read_table, text_of
+from tidemill.llm.common import SPACES, read_table, release_model, text_of
 from tidemill.storage import materialize
 
 #: Bytes of tries in a task before subtrees are spilled, and what a node counts besides its label.
@@ -175,6 +175,7 @@ def _batch(schema: str, rows: list[tuple]) -> pa.RecordBatch:
 
 
 def digests(batches):
+    release_model()
     for batch in batches:
         rows = []
         for key, row, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
@@ -184,6 +185,7 @@ def digests(batches):
 
 def senders(batches):
     """Every distinct text of a task once, and later one row without text for its further copies."""
+    release_model()
     seen: dict[bytes, list] = {}
 
     def further() -> list[tuple]:
@@ -219,6 +221,7 @@ def senders(batches):
 
 def build_tries(budget: int):
     def run(batches):
+        release_model()
         more: dict[bytes, list] = {}
 
         def items():

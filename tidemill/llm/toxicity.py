@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import read_table, text_of, worker_state
+from tidemill.llm.common import read_table, text_of, worker_model
 from tidemill.storage import BROADCAST_BYTES, broadcast_if_small, byte_size, materialize
 
 #: Bounds of the labelled sample that the regression is fitted on; the lexicon is counted from all
@@ -625,7 +625,7 @@ def score(model: dict, text_col: str = "text") -> Column:
 
     @F.arrow_udf("double")
     def run(texts: pa.Array) -> pa.Array:
-        scorer = worker_state(key, lambda: Scorer(sent.value))
+        scorer = worker_model(key, lambda: Scorer(sent.value))
         slices = (texts.slice(low, SLICE_ROWS) for low in range(0, len(texts), SLICE_ROWS))
         return pa.array(np.concatenate([np.zeros(0), *(scorer.scores(own.to_pylist()) for own in slices)]))
 
