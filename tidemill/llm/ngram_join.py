@@ -5,13 +5,13 @@ two similar sets of it can differ; call it k. The domain of shingle hashes is cu
 parts, so that similar sets agree on a whole part (small sets: on all but one sub-part of a part,
 every choice enumerated). The sum of a part's hashes, with band and part, is a signature.
 
-Sets that share a signature are not compared pair by pair. A signature of two documents is settled by
-comparing them. With more documents each one is compared, in a few rounds, with one smallest document
-of its signatures that is not in its component yet, and the links found join components between the
-rounds. Where sets that share signatures are then still in several components, every pair of different
-components that may be similar is found by prefix filtering (similar sets share one of their rarest
-shingles) and compared as well. So no link between two components is lost, a round costs a document
-one comparison, and a group of copies costs one comparison each.
+Sets that share a signature are not compared pair by pair. Each one is compared with the smallest
+documents of its signatures, those that it shares most with first: in rounds, between which the links
+found join components, so that only what is still apart is compared in the next. Where sets that
+share signatures are then still in several components, every pair of different components that may
+be similar is found by prefix filtering (similar sets share one of their rarest shingles) and
+compared as well. So no link between two components is lost, and a group of copies costs one
+comparison each.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemill.llm.common import (
@@ -39,8 +39,8 @@ ENUMERATED_BELOW = 8
 #: Comparisons with one document that a group takes at most.
 PIVOT_ROWS = 1000
 SLICE_BYTES = 8_000_000
-#: Rounds in which a document is compared with one more smallest document of its signatures.
-ROUNDS = 3
+#: Up to which place of a document's smallest documents a round compares; a last round takes the others.
+ROUNDS = (1, 8, 64)
 #: Copies of an element that are told apart when elements are ordered by frequency.
 OFTEN = 5000
 
@@ -430,18 +430,15 @@ def jaccard_components(
     wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
     texts = materialize(texts_of(rows, wanted), "jaccard-texts")
 
-    # every document with the one that it shares most signatures with, and the pairs of two
-    order = F.struct("shared", -F.col("b"))
-    best = pairs.groupBy("a").agg(F.max_by("b", order).alias("b"))
-    due = materialize(best.union(pairs.filter(F.col("kind") == CLOSED).select("a", "b")).distinct(), "jaccard-due")
+    place = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("shared"), "b"))
+    left = materialize(pairs.select("a", "b", place.alias("place")), "jaccard-places")
+    due = left.filter(F.col("place") <= ROUNDS[0]).select("a", "b")
     links = materialize(known.union(verify(due, texts, words, num, den)), "jaccard-links")
     found = materialize(connected_components(links), "jaccard-found")
-    left = pairs.filter(F.col("kind") == OPEN).join(best, ["a", "b"], "left_anti")
-    for _ in range(ROUNDS - 1):
-        left = materialize(between(left, found), "jaccard-apart")
-        best = left.groupBy("a").agg(F.max_by("b", order).alias("b"))
-        found = joined_components(found, verify(best, texts, words, num, den))
-        left = left.join(best, ["a", "b"], "left_anti")
+    for done, upto in zip(ROUNDS, [*ROUNDS[1:], 1 << 30]):
+        left = materialize(between(left.filter(F.col("place") > done), found), "jaccard-apart")
+        due = left.filter(F.col("place") <= upto).select("a", "b")
+        found = joined_components(found, verify(due, texts, words, num, den))
     more = later_links(pairs.filter(F.col("kind") == OPEN), found, texts, sizes, words, num, den)
     found = joined_components(found, more)
     return sizes.join(found, F.col("id") == F.col("node"), "left").select(
