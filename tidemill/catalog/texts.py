@@ -67,7 +67,10 @@ def html_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_mktsegment"),
         F.lit("</b></td></tr></tbody></table></body></html>"),
     )
-    pages = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("page_id"), page.alias("html"))
+    # the small columnar file is one split; its rows are dealt out before the pages, many times as large, are made
+    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment").repartition(n_parts)
+    pages = customers.select(F.col("c_custkey").alias("page_id"), page.alias("html"))
     body = html.pick_table(html.extract_html_tables(pages, "page_id", "html"), 1, ["id", "name", "segment"])
     return body.select("page_id", F.col("id").try_cast("bigint").alias("id"), "name", "segment")
 
