@@ -4,9 +4,12 @@ import os
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemill import catalog
+from tidemill.operators import load
 from tidemill.plans import testbed, warehouse
+from tidemill.storage import VersionedTables, materialize, scratch_path, shared_dir
 
 SF = "/root/testdata/sf0.001"
 
@@ -49,3 +52,30 @@ def test_staging_does_not_wait_for_the_star(spark, tmp_path):
     assert catalog.queries()["derived_measures"](spark, str(tmp_path)).count() > 0
     assert len(testbed._BUILT) == before
     assert testbed.tables(spark, str(tmp_path))["staging"].inputFiles() == testbed.staging(spark, str(tmp_path)).inputFiles()
+
+
+def test_an_increment_writes_no_copy_of_its_rows(spark):
+    def copies():
+        root = f"{shared_dir(spark)}/tidemill/{spark.sparkContext.applicationId}"
+        return {n for n in os.listdir(root) if n.startswith(("new-staging", "new-facts", "new-rows"))}
+
+    before = copies()
+    rows, store = testbed.staging(spark, SF), VersionedTables(spark, scratch_path(spark, "store"))
+    warehouse.build_warehouse(rows.filter("row_id % 3 = 0"), store)
+    grown = warehouse.extend_warehouse(rows, store)
+    assert grown["fact_sales"].count() == rows.count() == grown["fact_sales"].select("sales_key").distinct().count()
+    assert copies() == before
+
+
+@pytest.mark.parametrize("small_bytes", [64 << 20, 0])
+def test_anti_join_of_numbers(spark, small_bytes):
+    new = [(1,), (7,), (7,), (8,), (32768,), (32769,), (65536,), (0,), (-1,), (-9,), (None,), (10**15,)]
+    known = [(7,), (7,), (32768,), (65536,), (-9,), (0,), (None,), (16,)]
+    new = materialize(spark.createDataFrame(new, "row_id long").withColumn("n", F.lit("x")), "new")
+    known = materialize(spark.createDataFrame(known, "row_id long"), "known")
+    left = load.anti_join_numbers(new, known, "row_id", small_bytes)
+    assert left.columns == ["row_id", "n"]
+    found = sorted((r[0] for r in left.collect()), key=lambda v: (v is None, v))
+    assert found == [-1, 1, 8, 32769, 10**15, None]
+    if small_bytes:
+        assert "Exchange hashpartitioning" not in plan(left)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from tidemill.functions.dates import calendar_columns, date_key, iso_date
 from tidemill.operators import quality
 from tidemill.operators.keys import dense_key, first_versions, lookup_key
-from tidemill.operators.load import anti_join_new
+from tidemill.operators.load import anti_join_numbers
 from tidemill.storage import VersionedTables, materialize
 
 # Column names of the star schema, which exports and reports use.
@@ -268,7 +268,7 @@ def extend_warehouse(staging: DataFrame, store: VersionedTables) -> dict[str, Da
     """
     before = store.read_together([*TABLES, *MAPS])
     loaded = before["fact_sales"].select(F.col("sales_key").alias("row_id"))
-    rows = materialize(anti_join_new(staging, loaded, ["row_id"]), "new-staging")
+    rows = anti_join_numbers(staging, loaded, "row_id")
     if rows.isEmpty():
         return {name: before[name] for name in [*TABLES, "order_numbers"]}
     quality.assert_gate(quality.invalid_dates(rows, DATE_COLUMNS), "invalid dates", "invalid")
@@ -292,9 +292,9 @@ def extend_warehouse(staging: DataFrame, store: VersionedTables) -> dict[str, Da
 
     built = _together({name: lambda name=name: number(name) for name in [*DIMENSIONS, "order_numbers"]})
     written = {name: version for group in built.values() for name, version in group.items()}
-    fact = materialize(fact_sales(rows, {name: df for name, (_, df) in written.items()}), "new-facts")
-    _check_fact(fact)
-    written["fact_sales"] = _grow(store, "fact_sales", before["fact_sales"], fact, ["order_year"])
+    fact = fact_sales(rows, {name: df for name, (_, df) in written.items()})
+    version, _ = written["fact_sales"] = _grow(store, "fact_sales", before["fact_sales"], fact, ["order_year"])
+    _check_fact(store.read_version("fact_sales", version, {f"v{version}": None}))
     store.publish({name: version for name, (version, _) in written.items()})
     return {name: written[name][1] for name in [*TABLES, "order_numbers"]}
 
