@@ -10,7 +10,7 @@ from tidemill.operators import load
 from tidemill.operators.keys import read_with_row_id
 from tidemill.plans import etl
 from tidemill.plans.testbed import table
-from tidemill.storage import VersionedTables, scratch_path
+from tidemill.storage import CODEC, VersionedTables, scratch_path
 from tidemill.streaming import arrivals
 
 CUTOFF = "1998-01-01"
@@ -124,7 +124,7 @@ def _ecommerce(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
     # an item that is known already arrives again with another quantity
     known = items.filter("order_date < DATE '1996-06-01' AND product_id % 7 = 0").withColumn("quantity", F.lit(999))
     late = items.filter("order_date >= DATE '1996-06-01'").unionByName(known)
-    late.write.mode("overwrite").parquet(f"{root}/arriving")
+    late.write.mode("overwrite").parquet(f"{root}/arriving", compression=CODEC)
     report = etl.ecommerce_run(spark, frames, f"{root}/arriving", items.schema, "1996-06-01", root)
     return report, root
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemill.storage import data_files, filesystem, materialize, read_text, write_text
+from tidemill.storage import CODEC, data_files, filesystem, materialize, read_text, write_text
 
 BUCKET = "key_bucket"
 #: Buckets of a table: one for so many rows of its first load, within these bounds.
@@ -103,7 +103,7 @@ class KeyedTable:
     def write(self, folder: str, rows: DataFrame, buckets: int) -> None:
         """Write a folder anew, with its index; it is not part of the table before it is listed."""
         laid = rows.select(*self.schema.names).withColumn(BUCKET, self._bucket(buckets)).hint("rebalance", BUCKET)
-        laid.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.root}/{folder}")
+        laid.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.root}/{folder}", compression=CODEC)
         stored = self._read([folder])
         sizes = stored.groupBy(BUCKET).agg(F.ceil(F.count(F.lit(1)) / SEGMENT_KEYS).cast("int").alias("segments"))
         # one row for a bucket
