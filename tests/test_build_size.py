@@ -54,6 +54,16 @@ def test_staging_does_not_wait_for_the_star(spark, tmp_path):
     assert testbed.tables(spark, str(tmp_path))["staging"].inputFiles() == testbed.staging(spark, str(tmp_path)).inputFiles()
 
 
+def test_staging_by_itself_still_refuses_invalid_dates(spark, tmp_path):
+    for name in ("region", "nation", "customer", "part", "orders"):
+        os.symlink(f"{SF}/{name}.parquet", tmp_path / f"{name}.parquet")
+    items = testbed.table(spark, SF, "lineitem")
+    broken = F.when(F.col("l_linenumber") > 1, F.col("l_shipdate")).alias("l_shipdate")
+    items.select(*[broken if c == "l_shipdate" else c for c in items.columns]).write.parquet(str(tmp_path / "lineitem.parquet"))
+    with pytest.raises(Exception, match="invalid dates"):
+        catalog.queries()["derived_measures"](spark, str(tmp_path))
+
+
 def test_an_increment_writes_no_copy_of_its_rows(spark):
     def copies():
         root = f"{shared_dir(spark)}/tidemill/{spark.sparkContext.applicationId}"

@@ -15,5 +15,6 @@ def test_written_tables_have_the_codec(spark, tmp_path):
     for folder in (f"{table.root}/history", store.path("rows")):
         names = data_files(spark, folder)
         assert names and all(name.endswith(f".{CODEC}.parquet") for name in names)
-    assert all(f".{CODEC}." in path for path in materialize(rows, "rows").inputFiles())
+    assert all(f".{CODEC}." in path for path in materialize(rows, "rows", CODEC).inputFiles())
+    assert not any(f".{CODEC}." in path for path in materialize(rows, "rows").inputFiles())
     assert table.read().count() == 100

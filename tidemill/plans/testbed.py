@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemill.functions import measures
 from tidemill.operators.keys import read_with_row_id
 from tidemill.plans.transform import transform
-from tidemill.plans.warehouse import build_warehouse, extend_warehouse
+from tidemill.plans.warehouse import build_warehouse, check_dates, extend_warehouse
 from tidemill.storage import VersionedTables, scratch_path
 
 _BUILT: dict[tuple[str, str], tuple[VersionedTables, dict[str, DataFrame]]] = {}
@@ -165,10 +165,10 @@ def rebuilt(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def staging(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The staging table, written once. Queries that read nothing else do not wait for the star schema."""
+    """The staging table, written once, with its dates checked. Who reads nothing else does not wait for the star schema."""
 
     def make() -> dict[str, DataFrame]:
         store = VersionedTables(spark, scratch_path(spark, "staging"))
-        return {"staging": store.replace("staging", staging_plan(spark, sf_dir))}
+        return {"staging": store.replace("staging", staging_plan(spark, sf_dir), check_dates)}
 
     return once("staging", spark, sf_dir, make)["staging"]

@@ -189,6 +189,10 @@ def _map_name(table: str) -> str:
 MAPS = [_map_name(name) for name in KEYS]
 
 
+def check_dates(staging: DataFrame) -> None:
+    quality.assert_gate(quality.invalid_dates(staging, DATE_COLUMNS), "invalid dates", "invalid")
+
+
 def _check_fact(fact: DataFrame) -> None:
     quality.assert_gate(quality.missing_keys(fact, FACT_KEYS), "missing dimension keys", "missing")
 
@@ -230,7 +234,7 @@ def build_warehouse(staging: DataFrame, store: VersionedTables) -> dict[str, Dat
     dimension reads only its own columns of it. The dimensions do not depend on each other, so their jobs are
     submitted together.
     """
-    quality.assert_gate(quality.invalid_dates(staging, DATE_COLUMNS), "invalid dates", "invalid")
+    check_dates(staging)
     known = store.read_together(MAPS) if store.holds_build(MAPS) else dict.fromkeys(MAPS)
 
     def number(name: str):
@@ -271,7 +275,7 @@ def extend_warehouse(staging: DataFrame, store: VersionedTables) -> dict[str, Da
     rows = anti_join_numbers(staging, loaded, "row_id")
     if rows.isEmpty():
         return {name: before[name] for name in [*TABLES, "order_numbers"]}
-    quality.assert_gate(quality.invalid_dates(rows, DATE_COLUMNS), "invalid dates", "invalid")
+    check_dates(rows)
 
     def number(name: str):
         if name == "order_numbers":

@@ -50,15 +50,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
-#: Codec of written tables: a third smaller than the default, which is what a build writes most.
+#: Codec of stored tables: smaller than the default, and they are most of what a build writes.
 CODEC = "zstd"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Cut the lineage by writing ``df`` once and reading the written table back."""
+def materialize(df: DataFrame, label: str, codec: str | None = None) -> DataFrame:
+    """Cut the lineage by writing ``df`` once and reading the written table back; the session's codec unless one is named."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.mode("overwrite").parquet(path, compression=CODEC)
+    df.write.mode("overwrite").parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
 
 

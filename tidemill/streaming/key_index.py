@@ -139,7 +139,7 @@ class KeyedTable:
         The batch has a key once. A repeated call with the same folder gives the same table: a folder that is listed is
         compared with the others and written anew, one that was joined to others meanwhile finds its rows there.
         """
-        batch = materialize(batch.select(*self.schema.names), "keyed-batch")
+        batch = materialize(batch.select(*self.schema.names), "keyed-batch", CODEC)
         state = self._state()
         others, buckets = [f for f in state["folders"] if f != folder], state["buckets"]
         opened = self.places(batch, others, buckets)
