@@ -105,6 +105,34 @@ def test_random_texts(spark, library, monkeypatch, small):
     assert pairs == {pair: (n, links[pair]) for pair, n in count.items()}
 
 
+def test_chunks_are_encoded_together_and_frequent_ones_stay_known(monkeypatch):
+    got = []
+    aligner, plain = ta.Aligner(*PATHS), ta.Aligner(*PATHS)
+    encode = aligner._encode
+    monkeypatch.setattr(aligner, "_encode", lambda texts: got.extend(texts) or encode(texts))
+    monkeypatch.setattr(plain, "_learn_runs", lambda chunks: chunks)
+    texts = [" ".join(f"w{i * k % 997}é,x" for i in range(500)) + "\nlast  two" for k in (1, 3, 0, 3)]
+
+    def known(of, row):
+        pairs = [of.pairs[of.first[i] : of.first[i + 1]].tolist() for i in row]
+        return [of.texts[i] for i in row], of.counts[row].tolist(), pairs
+
+    for text in texts:
+        assert known(aligner, aligner.numbers([text])[0]) == known(plain, plain.numbers([text])[0])
+    assert len(plain.known) > 600 and len(got) < 100
+    often = {c for c in aligner.known if sum(c in aligner.chunks(t) for t in texts) > 1}
+    del got[:]
+    aligner.forget_rare()
+    assert often <= set(aligner.known) and len(aligner.known) < len(plain.known)
+    for text in texts:
+        assert known(aligner, aligner.numbers([text])[0]) == known(plain, plain.numbers([text])[0])
+    assert not any(c in often for c in got)
+    monkeypatch.setattr(ta, "KNOWN_BYTES", 2000)
+    aligner.forget_rare()
+    assert 0 < aligner.known_bytes <= 1000 and len(aligner.known) == len(aligner.texts)
+    assert known(aligner, aligner.numbers(texts[1:2])[0]) == known(plain, plain.numbers(texts[1:2])[0])
+
+
 @pytest.mark.parametrize("n_docs", [1, 2, 17, 300, 16384])
 def test_bitmaps_round_trip(n_docs):
     rng = np.random.default_rng(n_docs)

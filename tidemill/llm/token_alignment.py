@@ -29,9 +29,11 @@ from tidemill.storage import materialize
 #: A block of documents is closed at so many documents (numbers of 16 bits) or links.
 BLOCK_DOCS = 1 << 14
 BLOCK_LINKS = 2_000_000
-#: Bytes of text that the tokenizers get at once, and after which a worker forgets the chunks it knows.
+#: Bytes of text that the tokenizers get at once, and after which a worker forgets chunks it knows.
 SLICE_BYTES = 2 << 20
 KNOWN_BYTES = 64 << 20
+#: Plain chunks that the tokenizers get as one text.
+RUN = 64
 #: Links of a group from which its distinct ids are paired instead of its tokens.
 BIG_GROUP = 1 << 20
 
@@ -79,10 +81,28 @@ class Aligner:
         self.texts: list[str] = []  # a chunk's groups as text
         self.counts = np.zeros((0, 4), np.int64)  # tokens of A, of B, groups, links
         self.valid = np.zeros(0, bool)
+        self.seen = np.zeros(0, np.int64)  # how often a chunk came up since it was learned or last kept
+        self.sizes = np.zeros(0, np.int64)  # bytes that it takes, about
         self.first = np.zeros(1, np.int64)  # a chunk's pairs are pairs[first[i]:first[i + 1]]
         self.pairs = np.zeros(0, np.int64)
         self.times = np.zeros(0, np.int64)
 
+    def forget_rare(self) -> None:
+        """Keep the chunks that came up most, more than once each, in half of the room."""
+        order = np.argsort(-self.seen, kind="stable")
+        order = order[self.seen[order] > 1]
+        kept = np.sort(order[np.cumsum(self.sizes[order]) <= KNOWN_BYTES // 2])
+        names = list(self.known)  # in the order of their numbers
+        count = self.first[kept + 1] - self.first[kept]
+        at = np.repeat(self.first[kept] - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
+        self.known = {names[i]: place for place, i in enumerate(kept.tolist())}
+        self.texts = [self.texts[i] for i in kept.tolist()]
+        self.counts, self.valid, self.sizes = self.counts[kept], self.valid[kept], self.sizes[kept]
+        self.seen = np.zeros(len(kept), np.int64)
+        self.first = np.concatenate((np.zeros(1, np.int64), np.cumsum(count)))
+        self.pairs, self.times = self.pairs[at], self.times[at]
+        self.known_bytes = int(self.sizes.sum())
+
     def chunks(self, text: str) -> list[str]:
         whole = " " + text
         if not self.cuts:
@@ -104,20 +124,64 @@ class Aligner:
             self._learn(held)
 
     def _learn(self, chunks: list[str]) -> None:
-        raw = [utf8(c) for c in chunks]
-        of_a = [e.ids for e in self.a.encode_batch(chunks, add_special_tokens=False)]
+        single = self._learn_runs(chunks) if self.cuts else chunks
+        if single:
+            self._learn_each(single)
+
+    def _learn_runs(self, chunks: list[str]) -> list[str]:
+        """Encode plain chunks many at a time, as one text that both cut between them. Returns those left over."""
+        runs, joined, left = [], [], []
+        for i in range(0, len(chunks), RUN):
+            run = chunks[i : i + RUN]
+            text = "".join(run)
+            if PLAIN.findall(text) == run:
+                runs.append(run)
+                joined.append(text)
+            else:
+                left += run
+        of_a, of_b = self._encode(joined)
+        raw = [utf8(text) for text in joined]
+        fits = self._spelled(self.bytes_a, of_a, raw) & self._spelled(self.bytes_b, of_b, raw)
+        done, sizes, ids_a, ids_b = [], [], [], []
+        for run, text, own, a, b, fit in zip(runs, joined, raw, of_a, of_b, fits.tolist()):
+            size = np.fromiter(map(len, run if len(own) == len(text) else map(utf8, run)), np.int64, len(run))
+            a, b = np.array(a, np.int64), np.array(b, np.int64)
+            n_a, n_b = (_per_chunk(np.cumsum(of[x]), size) if fit else None for of, x in ((self.len_a, a), (self.len_b, b)))
+            if n_a is None or n_b is None:
+                left += run
+                continue
+            done += run
+            sizes.append((size, n_a, n_b))
+            ids_a.append(a)
+            ids_b.append(b)
+        if done:
+            size, n_a, n_b = (np.concatenate(x) for x in zip(*sizes))
+            self._keep(done, size, n_a, n_b, np.concatenate(ids_a), np.concatenate(ids_b), np.ones(len(done), bool))
+        return left
+
+    def _encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        """Ids of A and of B."""
+        of_a = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
         # B puts a space before a text: the chunk's own, or one too many before a line feed
-        of_b = self.b.encode([c[1:] if c[0] == " " else c for c in chunks], num_threads=1)
-        of_b = [ids if c[0] == " " else ids[1:] for c, ids in zip(chunks, of_b)]
+        of_b = self.b.encode([t[1:] if t[0] == " " else t for t in texts], num_threads=1)
+        return of_a, [ids if t[0] == " " else ids[1:] for t, ids in zip(texts, of_b)]
+
+    def _learn_each(self, chunks: list[str]) -> None:
+        raw = [utf8(c) for c in chunks]
+        of_a, of_b = self._encode(chunks)
         valid = self._spelled(self.bytes_a, of_a, raw) & self._spelled(self.bytes_b, of_b, raw)
         if not valid.all():
             of_a = [x if ok else () for x, ok in zip(of_a, valid)]
             of_b = [x if ok else () for x, ok in zip(of_b, valid)]
-        n, base = len(chunks), len(self.texts)
+        n = len(chunks)
         n_a = np.fromiter(map(len, of_a), np.int64, n)
         n_b = np.fromiter(map(len, of_b), np.int64, n)
         a = np.fromiter(chain.from_iterable(of_a), np.int64, int(n_a.sum()))
         b = np.fromiter(chain.from_iterable(of_b), np.int64, int(n_b.sum()))
+        self._keep(chunks, np.fromiter(map(len, raw), np.int64, n), n_a, n_b, a, b, valid)
+
+    def _keep(self, chunks: list[str], size, n_a, n_b, a, b, valid) -> None:
+        n, base = len(chunks), len(self.texts)
         ends_a, ends_b = np.cumsum(self.len_a[a]), np.cumsum(self.len_b[b])
         common = np.intersect1d(ends_a, ends_b, assume_unique=True)
         in_a, in_b = np.searchsorted(common, ends_a), np.searchsorted(common, ends_b)
@@ -129,10 +193,13 @@ class Aligner:
         owner, pairs, times = self._links(a, b, in_a, size_a, size_b, chunk_of)
         self.texts += self._group_texts(a, b, in_a, in_b, chunk_of, n_a > 0)
         self.known.update(zip(chunks, range(base, base + n)))
-        self.known_bytes += 2 * sum(map(len, raw)) + 16 * len(pairs) + 8 * (len(a) + len(b)) + 200 * n
+        per_chunk = np.bincount(owner, minlength=n)
+        takes = 2 * size + 16 * per_chunk + 8 * (n_a + n_b) + 200
+        self.known_bytes += int(takes.sum())
+        self.sizes = np.concatenate((self.sizes, takes))
+        self.seen = np.concatenate((self.seen, np.zeros(n, np.int64)))
         self.counts = np.concatenate((self.counts, np.stack(counts, 1)))
         self.valid = np.concatenate((self.valid, valid))
-        per_chunk = np.bincount(owner, minlength=n)
         self.first = np.concatenate((self.first, self.first[-1] + np.cumsum(per_chunk)))
         self.pairs, self.times = np.concatenate((self.pairs, pairs)), np.concatenate((self.times, times))
 
@@ -189,9 +256,20 @@ class Aligner:
                     self.learn([whole])
                 row = np.array([self.known[whole]])
             out.append(row if len(row) and self.valid[row].all() else None)
+        used = [row for row in out if row is not None]
+        if used:
+            self.seen += np.bincount(np.concatenate(used), minlength=len(self.seen))
         return out
 
 
+def _per_chunk(ends: np.ndarray, size: np.ndarray) -> np.ndarray | None:
+    """Tokens of each chunk, of the ends of all tokens and the chunks' sizes; None if one lies across two chunks."""
+    cuts = np.cumsum(size)
+    last = np.searchsorted(ends, cuts)
+    whole = len(ends) and (np.diff(ends) > 0).all() and ends[0] > 0 and ends[-1] == cuts[-1]
+    return np.diff(last, prepend=-1) if whole and (ends[last] == cuts).all() else None
+
+
 def _summed(keys: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys, sorted, with their times added up."""
     if not len(keys):
@@ -330,7 +408,7 @@ def _indexer(path_a: str, path_b: str):
                         yield made
                     block, rows, links = block + 1, [], 0
                     if aligner.known_bytes > KNOWN_BYTES:
-                        aligner.forget()
+                        aligner.forget_rare()
                 low = high
         made = postings()
         if made is not None:
