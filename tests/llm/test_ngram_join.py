@@ -2,9 +2,11 @@ from __future__ import annotations
 
 import random
 import re
+from itertools import combinations
 
 import numpy as np
 import pytest
+import zstandard
 from helpers import awkward, docs, words
 
 from tidemill.llm import ngram_join as nj
@@ -84,6 +86,36 @@ def test_groups_of_near_copies(spark, monkeypatch, slices, often):
     assert found(spark, rows) == brute(rows)
 
 
+def test_groups_too_large_to_compare_all_pairs(spark, monkeypatch):
+    """Many copies of one text with other edits: few rows are paired, and no link is lost."""
+    made = []
+    join = nj.verify
+    monkeypatch.setattr(nj, "verify", lambda pairs, *rest: made.append(pairs.count()) or join(pairs, *rest))
+    rng = random.Random(11)
+    base = words("b", 150).split()
+    rows = [(i, edited(rng, base, rng.choice([1, 2, 3, 8, 9, 10, 11, 12]))) for i in range(300)]
+    rows += [(300 + i, edited(rng, words("c", 90 + i % 9).split(), 1 + i % 4)) for i in range(60)]
+    assert found(spark, rows) == brute(rows)
+    links = sum(
+        100 * len(a & b) >= 85 * len(a | b) for a, b in combinations([shingles(t) for _, t in rows], 2)
+    )
+    assert sum(made) < links + 12 * len(rows)
+
+
+def test_prefixes_pair_each_likely_pair_once(spark):
+    """Not similar, but alike in their rarest shingles: the parities tell them apart in the join."""
+    rng = random.Random(3)
+    base = words("b", 120).split()
+    texts = [" ".join(base)] * 2 + [edited(rng, base, 12) for _ in range(40)]
+    pack = zstandard.ZstdCompressor().compress
+    schema = "version long, id long, component long, major boolean, size int, text binary"
+    members = [
+        (i, i, i, i == 0, len(shingles(t)), bytearray(pack(t.encode()))) for i, t in enumerate(texts)
+    ]
+    pairs = nj.rare_pairs(spark.createDataFrame(members, schema), 4, 85, 100).collect()
+    assert [(r.a, r.b) for r in pairs] == [(1, 0)]
+
+
 def test_repeated_ids_are_one_document(spark):
     rows = [(3, words("a", 40)), (3, words("b", 40)), (2, words("a", 40)), (1, words("b", 40))]
     assert {r[2] for r in found(spark, rows)} == {1}

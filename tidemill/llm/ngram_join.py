@@ -6,12 +6,13 @@ parts, so that similar sets agree on a whole part (small sets: on all but one su
 every choice enumerated). The sum of a part's hashes, with band and part, is a signature.
 
 Sets that share a signature are not compared pair by pair. Each one is compared with the smallest
-documents of its signatures, those that it shares most with first: in rounds, between which the links
-found join components, so that only what is still apart is compared in the next. Where sets that
+documents of its signatures, those that it shares most with first: in two rounds, between which the
+links found join components, so that only what is still apart is compared in the next. Where sets that
 share signatures are then still in several components, every pair of different components that may
-be similar is found by prefix filtering (similar sets share one of their rarest shingles) and
-compared as well. So no link between two components is lost, and a group of copies costs one
-comparison each.
+be similar is found by prefix filtering (similar sets share one of their rarest shingles) with a
+bitmap filter (the bits in which the parities of two sets differ are no more than the elements in
+which the sets do) and compared as well. So no link between two components is lost, and a group of
+copies costs one comparison each.
 """
 
 from __future__ import annotations
@@ -39,8 +40,10 @@ ENUMERATED_BELOW = 8
 #: Comparisons with one document that a group takes at most.
 PIVOT_ROWS = 1000
 SLICE_BYTES = 8_000_000
-#: Up to which place of a document's smallest documents a round compares; a last round takes the others.
-ROUNDS = (1, 8, 64)
+#: Up to which place of a document's smallest documents the two rounds compare. Prefix filtering covers the others.
+ROUNDS = (1, 8)
+#: 64-bit words of a set's parities, a bit for the elements of each remainder.
+PARITIES = 8
 #: Copies of an element that are told apart when elements are ordered by frequency.
 OFTEN = 5000
 
@@ -373,31 +376,44 @@ def rare_pairs(members: DataFrame, words: int, num: int, den: int) -> DataFrame:
 
     Similar sets of n elements share at least one of their first n - ceil(num * n / den) + 1 elements
     in any fixed order; rarest first leaves few of them shared. What follows the first shared one on
-    either side bounds the intersection. ``major`` marks the members of a group's largest component:
-    of two components one is not the largest of the group.
+    either side bounds the intersection. So do the elements that no other member has, and the parities
+    of the others: where these differ for a remainder, so do the sets. Prefixes that go on together from
+    one element to the next are joined at the first. ``major`` marks the members of a group's largest
+    component: of two components one is not the largest of the group.
     """
     sets = members.select("version", "text").distinct()
     rows = sets.toDF("id", "text").mapInArrow(elements_of(words), "e long, id long")
     rows = rows.repartition("e").sortWithinPartitions("e").mapInArrow(shared_elements, "e long, id long, df long")
-    found = rows.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("df", "e"))).alias("found"))
+    bits = [f"p{i}" for i in range(PARITIES)]
+    parity = [F.expr(f"bit_xor(IF((e & {PARITIES - 1}) = {i}, shiftleft(1L, CAST((e >> 8) & 63 AS INT)), 0L))") for i in range(PARITIES)]
+    found = rows.groupBy("id").agg(
+        F.sort_array(F.collect_list(F.struct("df", "e"))).alias("found"), *(p.alias(b) for p, b in zip(parity, bits))
+    )
     known = members.select("version", "id", "component", "major", "size").distinct()
     found = found.withColumnRenamed("id", "version")
     length = F.col("size") - F.ceil(F.col("size") * num / den) + 1
     room = (length - (F.col("size") - F.size("found"))).cast("int")
+    first = F.slice("found.e", F.lit(1), room)
+    before = F.concat(F.array(F.lit(None).cast("long")), F.slice("found.e", F.lit(1), room - 1))
     prefix = found.join(known, "version").filter(room > 0).select(
         "id",
         "component",
         "major",
         "size",
+        *bits,
         F.size("found").alias("often"),
-        F.posexplode(F.slice("found", F.lit(1), room)).alias("place", "x"),
+        F.posexplode(F.arrays_zip(first.alias("e"), before.alias("before"))).alias("place", "x"),
     )
     # elements from this one on, in the common order
     after = (F.col("often") - F.col("place")).alias("after")
-    prefix = materialize(prefix.select(F.col("x.e").alias("e"), "id", "component", "major", "size", after), "jaccard-prefixes")
+    alone = (F.col("size") - F.col("often")).alias("alone")
+    prefix = materialize(prefix.select("x.e", "x.before", "id", "component", "major", "size", *bits, alone, after), "jaccard-prefixes")
+    differ = " + ".join(["m.alone", "o.alone", *(f"bit_count(m.{b} ^ o.{b})" for b in bits)])
     minor, similar = prefix.filter("NOT major").alias("m"), (
         f"m.e = o.e AND m.component <> o.component AND {den} * least(m.size, o.size) >= {num} * greatest(m.size, o.size)"
         f" AND {num + den} * least(m.after, o.after) >= {num} * (m.size + o.size)"
+        " AND NOT coalesce(m.before = o.before, false)"
+        f" AND {num + den} * ({differ}) <= {den - num} * (m.size + o.size)"
     )
     both = minor.join(prefix.alias("o"), F.expr(similar))
     return both.select(F.greatest("m.id", "o.id").alias("a"), F.least("m.id", "o.id").alias("b")).distinct()
@@ -431,14 +447,14 @@ def jaccard_components(
     texts = materialize(texts_of(rows, wanted), "jaccard-texts")
 
     place = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("shared"), "b"))
-    left = materialize(pairs.select("a", "b", place.alias("place")), "jaccard-places")
+    left = materialize(pairs.select("a", "b", "kind", place.alias("place")), "jaccard-places")
     due = left.filter(F.col("place") <= ROUNDS[0]).select("a", "b")
     links = materialize(known.union(verify(due, texts, words, num, den)), "jaccard-links")
     found = materialize(connected_components(links), "jaccard-found")
-    for done, upto in zip(ROUNDS, [*ROUNDS[1:], 1 << 30]):
-        left = materialize(between(left.filter(F.col("place") > done), found), "jaccard-apart")
-        due = left.filter(F.col("place") <= upto).select("a", "b")
-        found = joined_components(found, verify(due, texts, words, num, den))
+    # a closed pair has no other to cover it
+    rest = left.filter((F.col("place") > ROUNDS[0]) & ((F.col("kind") == CLOSED) | (F.col("place") <= ROUNDS[1])))
+    due = materialize(between(rest, found).select("a", "b"), "jaccard-apart")
+    found = joined_components(found, verify(due, texts, words, num, den))
     more = later_links(pairs.filter(F.col("kind") == OPEN), found, texts, sizes, words, num, den)
     found = joined_components(found, more)
     return sizes.join(found, F.col("id") == F.col("node"), "left").select(
