@@ -2,14 +2,16 @@
 
 import os
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemill import catalog
-from tidemill.operators import load
+from tidemill.operators import keys, load
 from tidemill.plans import testbed, warehouse
-from tidemill.storage import VersionedTables, materialize, scratch_path, shared_dir
+from tidemill.sources import sinks
+from tidemill.storage import VersionedTables, join_side, materialize, scratch_path, shared_dir
 
 SF = "/root/testdata/sf0.001"
 
@@ -89,3 +91,57 @@ def test_anti_join_of_numbers(spark, small_bytes):
     assert found == [-1, 1, 8, 32769, 10**15, None]
     if small_bytes:
         assert "Exchange hashpartitioning" not in plan(left)
+
+
+def shuffles(spark) -> set[str]:
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("|")
+    return {path for path in files.split("|") if "/shuffle_" in path}
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark):
+    """Before, they stayed until the driver collected its garbage, and were most of a build's disk."""
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was, before = spark.conf.get(setting), shuffles(spark)
+    rows = spark.range(20000).groupBy((F.col("id") % 5000).alias("k")).count().orderBy("k")
+    stored = materialize(rows, "rows")
+    VersionedTables(spark, scratch_path(spark, "store")).replace("rows", rows)
+    sinks.write_csv(rows, scratch_path(spark, "rows"))
+    until = time.time() + 20
+    while shuffles(spark) - before and time.time() < until:  # files are removed behind the write
+        time.sleep(0.2)
+    assert not shuffles(spark) - before
+    assert spark.conf.get(setting) == was and stored.count() == 5000
+
+
+def test_a_well_compressed_side_is_not_broadcast(spark):
+    """Its files are under the limit of a broadcast, its rows in memory are not."""
+    known = materialize(spark.range(500_000).select("id", (F.col("id") + 1).alias("key")), "known", "zstd")
+    rows = materialize(spark.range(1000), "rows")
+    assert "BroadcastHashJoin" in plan(rows.join(known, "id", "left"))
+    assert "BroadcastHashJoin" not in plan(rows.join(join_side(known), "id", "left"))
+    assert "BroadcastHashJoin" in plan(rows.join(join_side(known.limit(1000)), "id", "left"))
+
+
+@pytest.mark.parametrize("packed_bytes", [64 << 20, 0])
+def test_a_large_dimension_is_looked_up_without_moving_rows(spark, packed_bytes):
+    """Null, negative, scattered and neighbouring numbers; beyond the limit the rows are shuffled."""
+    ids = [*range(-3000, 3000, 7), *range(90_000, 99_000), 63, 64, 127, 4095, 4096, 2**40, 2**40 + 63, -64, -(2**50)]
+    ids = sorted({*ids}, key=lambda i: (i * 7919) % 104_729)
+    members = [(i, n) for n, i in enumerate(ids, 1)]
+    dim = materialize(spark.createDataFrame([*members, (None, 1_000_000)], "id long, key long"), "members")
+    asked = [*ids[::2], None, None, 5, 89_999, -7, 2**40 + 1, -(2**50) + 1, 2**62]
+    facts = materialize(spark.createDataFrame([(i, n) for n, i in enumerate(asked)], "id long, n int"), "facts")
+    found = keys.lookup_number(facts, dim, "id", "key", plain_bytes=0, packed_bytes=packed_bytes)
+    assert ("Exchange hashpartitioning" in plan(found)) == (not packed_bytes)
+    assert found.dtypes == [("id", "bigint"), ("n", "int"), ("key", "bigint")]
+    known = dict([*members, (None, 1_000_000)])
+    rows = found.collect()
+    assert len(rows) == len(asked) and {r["n"]: r["key"] for r in rows} == {n: known.get(i) for n, i in enumerate(asked)}
+
+
+def test_numbers_that_come_twice_or_do_not_fit_are_shuffled(spark):
+    facts = spark.createDataFrame([(1,), (2,), (3,)], "id long")
+    for rows in ([(1, 10), (1, 11), (2, 20)], [(1, 10), (2, 1 << 40)], [(None, 1), (None, 2), (1, 10)]):
+        dim = materialize(spark.createDataFrame(rows, "id long, key long"), "members")
+        want = sorted(map(str, keys.lookup_key(facts, dim, {"id": "id"}, "key").collect()))
+        assert sorted(map(str, keys.lookup_number(facts, dim, "id", "key", plain_bytes=0).collect())) == want

@@ -7,8 +7,9 @@ from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemill.storage import BROADCAST_BYTES, materialize
+from tidemill.storage import BROADCAST_BYTES, broadcasts_on, byte_size, join_side, materialize
 
 #: Two long columns and a row's overhead in a broadcast table.
 _OFFSET_BYTES = 32
@@ -183,3 +184,90 @@ def lookup_key(df: DataFrame, dimension: DataFrame, natural: dict[str, str], sur
     )
     joined = df.join(side, condition, "left")
     return joined.drop(*[f"_nk_{d}" for d in natural.values()])
+
+
+#: A packed row has this many words of as many bits.
+_WORD = 64
+#: Bytes of a packed row besides its surrogates: words, counts and overhead.
+_PACKED_BYTES = _WORD * 12 + 128
+#: A dimension up to this size is broadcast row by row.
+_PLAIN_BYTES = 4 << 20
+
+
+def _slot(number: Column) -> Column:
+    return F.shiftright(number, 6).bitwiseAND(_WORD - 1).cast("int")
+
+
+def _position(number: Column) -> Column:
+    return number.bitwiseAND(_WORD - 1).cast("int")
+
+
+def _pack(pairs: DataFrame, natural: str, surrogate: str) -> DataFrame:
+    """``_block, _words, _ahead, _values``: which of 4,096 neighbouring numbers there are, and their surrogates in order.
+
+    A surrogate is found by counting the bits before its number: ``_ahead`` has the count before each word. ``_twice``
+    tells whether a number comes more than once.
+    """
+    number = F.col(natural).cast("long")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), _position(number))
+    pair = F.struct(number.alias("number"), F.col(surrogate).cast("int").alias("value"))
+    slots = pairs.filter(F.col(natural).isNotNull()).groupBy(
+        F.shiftright(number, 12).alias("_block"), _slot(number).alias("slot")
+    )
+    slots = slots.agg(F.bit_or(bit).alias("word"), F.sort_array(F.collect_list(pair)).alias("pairs"))
+    blocks = slots.groupBy("_block").agg(F.sort_array(F.collect_list(F.struct("slot", "word", "pairs"))).alias("_slots"))
+    every = F.sequence(F.lit(0), F.lit(_WORD - 1))
+    none = F.lit(0).cast("long")
+
+    def added(chosen: Column, value) -> Column:
+        return F.aggregate(chosen, none, lambda total, s: total + value(s))
+
+    def in_slot(i: Column) -> Column:
+        return F.filter("_slots", lambda s: s["slot"] == i)
+
+    def before(i: Column) -> Column:
+        return F.filter("_slots", lambda s: s["slot"] < i)
+
+    return blocks.select(
+        "_block",
+        F.transform(every, lambda i: added(in_slot(i), lambda s: s["word"])).alias("_words"),
+        F.transform(every, lambda i: added(before(i), lambda s: F.size(s["pairs"])).cast("int")).alias("_ahead"),
+        F.flatten(F.transform("_slots", lambda s: s["pairs"]["value"])).alias("_values"),
+        F.exists("_slots", lambda s: F.size(s["pairs"]) > F.bit_count(s["word"])).alias("_twice"),
+    )
+
+
+def lookup_number(
+    df: DataFrame, dimension: DataFrame, natural: str, surrogate: str, plain_bytes: int = _PLAIN_BYTES,
+    packed_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """:func:`lookup_key` by one key of whole numbers, which a dimension of millions answers without moving a row.
+
+    Rows of a broadcast table take some hundred bytes each. Packed by ranges of 4,096 numbers, a member takes a bit and
+    the four bytes of its surrogate. The packed table is measured: with more members, scattered numbers or wider
+    surrogates both sides are shuffled.
+    """
+    side = dimension.select(F.col(natural), F.col(surrogate))
+    whole = all(isinstance(f.dataType, T.IntegralType) for f in [df.schema[natural], *side.schema.fields])
+    if not (whole and broadcasts_on(df.sparkSession)):
+        return lookup_key(df, join_side(side), {natural: natural}, surrogate)
+    size, low, high = side.agg(byte_size(side), F.min(surrogate), F.max(surrogate)).first()
+    if size <= plain_bytes:
+        return lookup_key(df, F.broadcast(side), {natural: natural}, surrogate)
+    fits = -(1 << 31) <= low and high < 1 << 31
+    if not fits or side.select(F.count_distinct(F.shiftright(F.col(natural).cast("long"), 12))).first()[0] * _PACKED_BYTES > packed_bytes:
+        return lookup_key(df, side.hint("merge"), {natural: natural}, surrogate)
+    packed = materialize(_pack(side, natural, surrogate), f"packed-{surrogate}")
+    taken, twice = packed.agg(F.sum(F.size("_values") * 4 + _PACKED_BYTES), F.max("_twice")).first()
+    unknown = side.filter(F.col(natural).isNull()).select(surrogate).take(2)
+    if (taken or 0) > packed_bytes or twice or len(unknown) > 1:
+        return lookup_key(df, side.hint("merge"), {natural: natural}, surrogate)
+    number = F.col(natural).cast("long")
+    joined = df.join(F.broadcast(packed.drop("_twice")), F.shiftright(number, 12) == F.col("_block"), "left")
+    word, position = F.get("_words", _slot(number)), _position(number)
+    lower = F.bitwise_not(F.call_function("shiftleft", F.lit(-1).cast("long"), position))
+    value = F.get("_values", F.get("_ahead", _slot(number)) + F.bit_count(word.bitwiseAND(lower)))
+    found = F.when(F.getbit(word, position) == 1, value).cast(side.schema[surrogate].dataType)
+    if unknown:
+        found = F.when(F.col(natural).isNull(), F.lit(unknown[0][0])).otherwise(found)
+    return joined.select(*df.columns, found.alias(surrogate))

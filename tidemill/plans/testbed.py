@@ -12,7 +12,7 @@ from tidemill.functions import measures
 from tidemill.operators.keys import read_with_row_id
 from tidemill.plans.transform import transform
 from tidemill.plans.warehouse import build_warehouse, check_dates, extend_warehouse
-from tidemill.storage import VersionedTables, scratch_path
+from tidemill.storage import VersionedTables, join_side, scratch_path
 
 _BUILT: dict[tuple[str, str], tuple[VersionedTables, dict[str, DataFrame]]] = {}
 _LOADED: dict[tuple[str, str], dict[str, DataFrame]] = {}
@@ -37,7 +37,7 @@ def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     orders = (
         table(spark, sf_dir, "orders")
-        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
+        .join(join_side(customers), F.col("o_custkey") == F.col("c_custkey"))
         .select(
             F.col("o_orderkey").alias("order_id"),
             F.col("o_custkey").alias("customer_id"),
@@ -88,7 +88,7 @@ def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = ["row_id", "order_item_id", "quantity", "discount_rate", "cost", "shipping_datetime", "customer_id"]
     return (
         items.join(orders, "order_id")
-        .join(products, "product_id")
+        .join(join_side(products), "product_id")
         .join(F.broadcast(places), F.col("c_nationkey") == F.col("n_nationkey"))  # one row for a nation
         .select(
             "product_id", "order_id", *own, *[value.alias(name) for name, value in of_order.items()],

@@ -19,9 +19,9 @@ from pyspark.sql import functions as F
 
 from tidemill.functions.dates import calendar_columns, date_key, iso_date
 from tidemill.operators import quality
-from tidemill.operators.keys import dense_key, first_versions, lookup_key
+from tidemill.operators.keys import dense_key, first_versions, lookup_key, lookup_number
 from tidemill.operators.load import anti_join_numbers
-from tidemill.storage import VersionedTables, materialize
+from tidemill.storage import VersionedTables, join_side, materialize
 
 # Column names of the star schema, which exports and reports use.
 CUSTOMER = ["customer_city", "customer_state", "customer_country", "customer_segment"]
@@ -47,6 +47,8 @@ KEYS = {
 }
 #: Folders of a table from which its increments are joined.
 MAX_FOLDERS = 16
+#: Jobs of an increment that run beside each other.
+AT_ONCE = 2
 
 
 def dim_date(staging: DataFrame) -> DataFrame:
@@ -75,7 +77,7 @@ def _numbered(
     if known is None:
         return dense_key(first, key, ["first_row"]).drop("first_row")
     first = materialize(first, f"first-{key}").alias("f")
-    known = known.select(*keys, key).alias("k")
+    known = join_side(known.select(*keys, key)).alias("k")
     old = first.join(known, _same("f", "k", keys)).select(F.col(f"k.{key}"), *[f"f.{c}" for c in (*keys, *attributes)])
     return old.unionByName(_unknown(first, known, keys, key).drop("first_row"))
 
@@ -83,7 +85,7 @@ def _numbered(
 def _unknown(first: DataFrame, known: DataFrame, keys: list[str], key: str) -> DataFrame:
     """Natural keys that the map does not hold, numbered from its highest key on."""
     top = known.agg(F.max(key)).first()[0] or 0
-    new = first.alias("f").join(known.alias("k"), _same("f", "k", keys), "left_anti")
+    new = first.alias("f").join(join_side(known.select(*keys)).alias("k"), _same("f", "k", keys), "left_anti")
     return dense_key(new, key, ["first_row"]).withColumn(key, F.col(key) + top)
 
 
@@ -120,7 +122,8 @@ def fact_sales(staging: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
         ("dim_shipping", SHIPPING, "shipping_key"),
         ("dim_location", LOCATION, "location_key"),
     ]:
-        looked_up = lookup_key(looked_up, dims[table], {c: c for c in natural}, key)
+        side = join_side(dims[table].select(*natural, key))
+        looked_up = lookup_key(looked_up, side, {c: c for c in natural}, key)
     looked_up = looked_up.select(
         F.col("row_id").alias("sales_key"),
         "order_id",
@@ -132,13 +135,12 @@ def fact_sales(staging: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
         "location_key",
         "shipping_key",
         *MEASURES,
-        F.year("order_datetime").alias("order_year"),
     )
     for table, natural, key in [
         ("dim_customer", "customer_id", "customer_key"),
         ("dim_product", "product_id", "product_key"),
     ]:
-        looked_up = lookup_key(looked_up, dims[table], {natural: natural}, key)
+        looked_up = lookup_number(looked_up, dims[table], natural, key)
     # orders grow with the fact, so this one lookup shuffles at every size
     orders = dims["order_numbers"].hint("merge")
     looked_up = lookup_key(looked_up, orders, {"order_id": "order_id"}, "order_number")
@@ -154,7 +156,7 @@ def fact_sales(staging: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
         "shipping_key",
         *MEASURES,
         "order_number",
-        "order_year",
+        F.expr("order_date_key div 10000").cast("int").alias("order_year"),
     )
 
 
@@ -197,9 +199,9 @@ def _check_fact(fact: DataFrame) -> None:
     quality.assert_gate(quality.missing_keys(fact, FACT_KEYS), "missing dimension keys", "missing")
 
 
-def _together(jobs: dict[str, Callable[[], object]]) -> dict[str, object]:
-    """Results of jobs that do not depend on each other, submitted at the same time."""
-    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+def _together(jobs: dict[str, Callable[[], object]], at_once: int | None = None) -> dict[str, object]:
+    """Results of jobs that do not depend on each other, submitted at the same time, or ``at_once`` of them."""
+    with ThreadPoolExecutor(max_workers=at_once or len(jobs)) as pool:
         submitted = {name: pool.submit(job) for name, job in jobs.items()}
         return {name: job.result() for name, job in submitted.items()}
 
@@ -288,13 +290,15 @@ def extend_warehouse(staging: DataFrame, store: VersionedTables) -> dict[str, Da
         first = materialize(first_versions(rows, natural, attributes, "row_id"), f"first-{key}")
         members = materialize(_unknown(first, known, natural, key).select(*table.columns), f"new-{key}")
         # a member that the build before left out comes back with the key it had
-        back = first.alias("f").join(table.alias("d"), _same("f", "d", natural), "left_anti")
-        back = back.alias("f").join(known.alias("k"), _same("f", "k", natural))
+        there = join_side(table.select(*natural)).alias("d")
+        back = first.alias("f").join(there, _same("f", "d", natural), "left_anti")
+        back = back.alias("f").join(join_side(known.select(*natural, key)).alias("k"), _same("f", "k", natural))
         back = back.select(F.col(f"k.{key}"), *[f"f.{c}" for c in (*natural, *attributes)])
         grown = _grow(store, name, table, members.unionByName(back))
         return {name: grown, _map_name(name): _grow(store, _map_name(name), known, members.select(*natural, key))}
 
-    built = _together({name: lambda name=name: number(name) for name in [*DIMENSIONS, "order_numbers"]})
+    # each job holds the bitmaps of the loaded rows on the driver while it runs
+    built = _together({name: lambda name=name: number(name) for name in [*DIMENSIONS, "order_numbers"]}, at_once=AT_ONCE)
     written = {name: version for group in built.values() for name, version in group.items()}
     fact = fact_sales(rows, {name: df for name, (_, df) in written.items()})
     version, _ = written["fact_sales"] = _grow(store, "fact_sales", before["fact_sales"], fact, ["order_year"])

@@ -8,23 +8,29 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tidemill.storage import shuffles_dropped
+
 # Writers cut timestamps to milliseconds unless told otherwise.
 TIMESTAMP_FORMATS = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }
+#: Rows of a compressed file, which one task reads.
+PACKED_FILE_ROWS = 1_000_000
 #: Exports submitted at the same time.
 JOBS = 4
 AUDIT_SCHEMA = "name string, rows long, columns int, status string, error string"
 
 
-def write_csv(df: DataFrame, path: str, encoding: str = "UTF-8", single_file: bool = False) -> str:
+def write_csv(
+    df: DataFrame, path: str, encoding: str = "UTF-8", single_file: bool = False, compression: str | None = None
+) -> str:
     """CSV folder with headers that reads back unchanged: spaces are kept, quotes are doubled.
 
-    ``single_file`` is for small reports only.
+    ``single_file`` is for small reports only. Compressed files are not split by readers, so their rows are limited.
     """
     out = df.coalesce(1) if single_file else df
-    (
+    writer = (
         out.write.mode("overwrite")
         .options(**TIMESTAMP_FORMATS)
         .option("header", True)
@@ -33,8 +39,11 @@ def write_csv(df: DataFrame, path: str, encoding: str = "UTF-8", single_file: bo
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .option("emptyValue", '""')
-        .csv(path)
     )
+    if compression:
+        writer = writer.option("compression", compression).option("maxRecordsPerFile", PACKED_FILE_ROWS)
+    with shuffles_dropped(df.sparkSession):
+        writer.csv(path)
     return path
 
 

@@ -8,8 +8,10 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import reduce
+from threading import Lock
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -53,12 +55,40 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 #: Codec of stored tables: smaller than the default, and they are most of what a build writes.
 CODEC = "zstd"
 
+_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_DROPPING: dict[int, tuple[int, str | None]] = {}
+_DROPPING_LOCK = Lock()
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the writes inside go as soon as a write ends, not when the driver collects its garbage.
+
+    A written table never needs them again. Writes of several threads may overlap; the last restores the setting.
+    """
+    with _DROPPING_LOCK:
+        writers, before = _DROPPING.get(id(spark), (0, spark.conf.get(_DROP_SHUFFLES, None)))
+        _DROPPING[id(spark)] = writers + 1, before
+        spark.conf.set(_DROP_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        with _DROPPING_LOCK:
+            writers, before = _DROPPING.pop(id(spark))
+            if writers > 1:
+                _DROPPING[id(spark)] = writers - 1, before
+            elif before is None:
+                spark.conf.unset(_DROP_SHUFFLES)
+            else:
+                spark.conf.set(_DROP_SHUFFLES, before)
+
 
 def materialize(df: DataFrame, label: str, codec: str | None = None) -> DataFrame:
     """Cut the lineage by writing ``df`` once and reading the written table back; the session's codec unless one is named."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.mode("overwrite").parquet(path, compression=codec)
+    with shuffles_dropped(spark):
+        df.write.mode("overwrite").parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -91,6 +121,26 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataF
     return F.broadcast(df) if df.agg(byte_size(df)).first()[0] <= max_bytes else df
 
 
+#: What one side of a join that runs beside others may take, with what a row takes in a hash table besides its bytes.
+SIDE_BYTES = BROADCAST_BYTES // 2
+_HASHED_ROW_BYTES = 64
+
+
+def broadcasts_on(spark: SparkSession) -> bool:
+    return not spark.conf.get("spark.sql.autoBroadcastJoinThreshold").startswith("-")
+
+
+def join_side(df: DataFrame, max_bytes: int = SIDE_BYTES) -> DataFrame:
+    """One side of a join, broadcast or shuffled by its measured bytes.
+
+    Without a hint the size of the files decides, and a well compressed file is a small part of its rows in memory:
+    the driver would hold many times the limit. ``df`` should be read from files.
+    """
+    taken = byte_size(df) + F.count(F.lit(1)) * _HASHED_ROW_BYTES
+    small = broadcasts_on(df.sparkSession) and df.agg(taken).first()[0] <= max_bytes
+    return F.broadcast(df) if small else df.hint("merge")
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     """A small file, read by the Hadoop file system without a Spark job."""
     fs, hpath = filesystem(spark, path)
@@ -245,7 +295,8 @@ class VersionedTables:
         writer = df.write.mode("errorifexists")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.parquet(target, compression=CODEC)
+        with shuffles_dropped(self.spark):
+            writer.parquet(target, compression=CODEC)
         # a table by partitions has no file that would tell the columns of no rows
         write_text(self.spark, f"{target}/{self.SCHEMA}", df.schema.json())
         if taken:
