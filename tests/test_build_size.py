@@ -8,8 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemill import catalog
+from tidemill.catalog import pipelines
 from tidemill.operators import keys, load
-from tidemill.plans import testbed, warehouse
+from tidemill.plans import supply_chain, testbed, warehouse
 from tidemill.sources import sinks
 from tidemill.storage import VersionedTables, join_side, materialize, scratch_path, shared_dir
 
@@ -145,3 +146,30 @@ def test_numbers_that_come_twice_or_do_not_fit_are_shuffled(spark):
         dim = materialize(spark.createDataFrame(rows, "id long, key long"), "members")
         want = sorted(map(str, keys.lookup_key(facts, dim, {"id": "id"}, "key").collect()))
         assert sorted(map(str, keys.lookup_number(facts, dim, "id", "key", plain_bytes=0).collect())) == want
+
+
+def test_compressed_csv_files_are_read_alike(spark, tmp_path, monkeypatch):
+    """Small files of limited rows, in the order of the rows, with the text of plain files."""
+    monkeypatch.setattr(sinks, "PACKED_FILE_ROWS", 300)
+    rows = spark.range(1000).repartition(2).select("id", F.concat(F.lit(' "é", '), F.col("id").cast("string"), F.lit(" ")).alias("text"))
+    rows = materialize(rows, "rows")
+    plain = sinks.write_csv(rows, str(tmp_path / "plain"), encoding="ISO-8859-1")
+    packed = sinks.write_csv(rows, str(tmp_path / "packed"), encoding="ISO-8859-1", compression="gzip")
+    assert len([f for f in os.listdir(packed) if f.endswith(".csv.gz")]) >= 4
+    found = []
+    for path in (plain, packed):
+        stored = materialize(supply_chain.ingest(spark, path), "ingested")
+        found.append(sorted(map(tuple, keys.number_by_position(stored).select("row_id", "id", "text").collect())))
+    assert found[0] == found[1] and [r[0] for r in found[1]] == list(range(1, 1001))
+
+
+def test_a_supply_chain_run_exports_packed_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(pipelines, "scratch_path", lambda _, label: str(tmp_path / label))
+    monkeypatch.setattr(testbed, "once", lambda label, spark, sf_dir, make: make())
+    done = pipelines._supply_chain(spark, SF)
+    for folder in (tmp_path / "raw-orders", tmp_path / "supply-chain" / "export" / "fact_sales"):
+        files = [f for f in os.listdir(folder) if f.startswith("part-")]
+        assert files and all(f.endswith(".csv.gz") for f in files)
+    assert {r["status"] for r in done["export_audit"].collect()} == {"ok"}
+    exported = spark.read.option("header", True).csv(str(tmp_path / "supply-chain" / "export" / "fact_sales"))
+    assert exported.count() == testbed.table(spark, SF, "lineitem").count() == done["fact_sales"].count()
