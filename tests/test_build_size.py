@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemill import catalog
 from tidemill.catalog import pipelines
 from tidemill.operators import keys, load
-from tidemill.plans import supply_chain, testbed, warehouse
+from tidemill.plans import reports, supply_chain, testbed, warehouse
 from tidemill.sources import sinks
 from tidemill.storage import VersionedTables, join_side, materialize, scratch_path, shared_dir
 
@@ -173,3 +173,30 @@ def test_a_supply_chain_run_exports_packed_files(spark, tmp_path, monkeypatch):
     assert {r["status"] for r in done["export_audit"].collect()} == {"ok"}
     exported = spark.read.option("header", True).csv(str(tmp_path / "supply-chain" / "export" / "fact_sales"))
     assert exported.count() == testbed.table(spark, SF, "lineitem").count() == done["fact_sales"].count()
+
+
+def test_orders_of_groups_are_counted_without_a_sort_of_rows(spark):
+    """More than 64 groups of a kind, orders in several groups, rows without an order or a partner."""
+    rows = [(n % 97 + 1, n % 7 + 1, n % 5 + 1, n % 89 + 1, n % 150 + 1, 20200101 + n % 2, None if n % 11 == 0 else n % 230 + 1) for n in range(4000)]
+    fact = spark.createDataFrame(
+        rows, "location_key long, shipping_key long, one long, customer_key long, product_key long, order_date_key int, order_number long"
+    ).drop("one")
+    days = spark.createDataFrame([(20200101, 2020), (20200102, 2021)], "date_key int, year int")
+    cities = [(k, "m%d" % (k % 2), None if k % 3 else "r", "c%d" % k, "s", "l") for k in range(1, 91)]
+    tables = {
+        "fact_sales": materialize(fact, "fact"),
+        "dim_date": materialize(days, "days"),
+        "dim_location": materialize(spark.createDataFrame(
+            cities, "location_key long, market string, order_region string, order_city string, order_state string, order_country string"), "places"),
+        "dim_shipping": materialize(spark.createDataFrame([(k, "mode %d" % (k % 3)) for k in range(1, 8)], "shipping_key long, shipping_mode string"), "modes"),
+        "dim_customer": materialize(spark.createDataFrame([(k, None if k % 4 == 0 else "g%d" % (k % 4)) for k in range(1, 90)], "customer_key long, customer_segment string"), "people"),
+        "dim_product": materialize(spark.createDataFrame([(k, "cat %d" % (k % 130)) for k in range(1, 151)], "product_key long, category_name string"), "goods"),
+    }
+    counts = reports._count_orders(tables)
+    assert "SortAggregate" not in plan(counts)
+    places = tables["fact_sales"].filter("order_number IS NOT NULL")
+    for table, key, group in zip(reports.ORDER_TABLES, reports.ORDER_KEYS, reports.ORDER_GROUPS):
+        joined = places if table is None else places.join(tables[table].withColumnRenamed("date_key", "order_date_key"), key)
+        want = joined.groupBy(*group).agg(F.count_distinct("order_number").alias("total_orders"))
+        got = counts.filter(F.col("grouped") == reports.ORDER_GROUPS.index(group)).select(*group, "total_orders")
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())), group
